@@ -270,15 +270,22 @@ def permuted_bytes(spark, sf):
     f"""
     {LEARN}, {ENCODED},
     t AS (SELECT doc_id, unnest(string_split(sym, '')) AS sym, generate_subscripts(string_split(sym, ''), 1) - 1 AS pos FROM e)
-    SELECT t.doc_id, CAST(pos AS INTEGER) AS pos, CAST(unicode(sym) AS INTEGER) AS token_id,
-           replace(coalesce(TRY(decode(unhex(hex))), chr(65533)), chr(10), '\\u000a') AS token
-    FROM t JOIN v{LEARNED} USING (sym)
+    SELECT CAST(unicode(sym) AS INTEGER) AS token_id,
+           replace(coalesce(TRY(decode(unhex(hex))), chr(65533)), chr(10), '\\u000a') AS token,
+           count(*) AS n, CAST(sum(pos) AS BIGINT) AS pos_sum, count(DISTINCT doc_id) AS docs
+    FROM t JOIN v{LEARNED} USING (sym) GROUP BY ALL
     """,
 )
 def token_pieces(spark, sf):
     model = learned(spark, sf)
     encoded = bpe.encode_documents(texts(spark, sf, "doc_id", "text"), model)
-    return bpe.token_pieces(encoded, model)
+    placed = bpe.token_pieces(encoded, model)
+    per_doc = placed.groupBy("token_id", "token", "doc_id").agg(
+        F.count(F.lit(1)).alias("k"), F.sum("pos").alias("p")
+    )
+    return per_doc.groupBy("token_id", "token").agg(
+        F.sum("k").alias("n"), F.sum("p").alias("pos_sum"), F.count(F.lit(1)).alias("docs")
+    )
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,3 +69,9 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataF
     """
     small = df.limit(limit + 1).count() <= limit
     return F.broadcast(df) if small else df
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder below the checkpoint folder, which all executors can reach."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
