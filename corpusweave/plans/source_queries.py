@@ -10,6 +10,7 @@ from corpusweave.session import scratch_path
 from corpusweave.sources import models, runs as run_files, texts as X
 
 TOKEN = "<|endoftext|>"
+TOKEN_HEX = TOKEN.encode().hex().upper()
 MARKED = "replace(text, '. ', '.<|endoftext|>')"
 LINES = r"regexp_extract_all(text, '[^\n]*\n|[^\n]+')"
 
@@ -87,11 +88,12 @@ def split_records(spark, sf):
     "s5_split_even",
     f"""
     WITH d AS (SELECT doc_id, {MARKED} AS t FROM documents),
-    s AS (SELECT doc_id, hex(encode(t)) AS h, octet_length(encode(t)) AS n, hex(encode('{TOKEN}')) AS m FROM d),
-    g AS (SELECT *, unnest(range(1, 4)) AS i FROM s),
-    f AS (SELECT *, i * (n // 4) AS g,
-                 list_transform(range(0, len(string_split(h, m)) - 1), lambda k:
-                   (length(array_to_string(string_split(h, m)[1:k + 1], m))) // 2) AS hits FROM g),
+    s AS (SELECT doc_id, hex(encode(t)) AS h, octet_length(encode(t)) AS n FROM d),
+    k AS (SELECT doc_id, n, string_split(h, '{TOKEN_HEX}') AS parts FROM s),
+    o AS (SELECT doc_id, n, list_transform(range(1, len(parts)), lambda j:
+            CAST((list_sum(list_transform(parts[1:j], lambda x: length(x))) + (j - 1) * {len(TOKEN_HEX)}) // 2 AS BIGINT)) AS hits FROM k),
+    g AS (SELECT *, unnest(range(1, 4)) AS i FROM o),
+    f AS (SELECT doc_id, n, hits, i * (n // 4) AS g FROM g),
     b AS (SELECT doc_id, coalesce(list_min(list_filter(hits, lambda x: x >= g)), n) AS b, n FROM f),
     e AS (SELECT DISTINCT doc_id, b FROM (SELECT doc_id, b FROM b UNION ALL SELECT doc_id, n FROM b UNION ALL SELECT doc_id, 0 FROM b))
     SELECT doc_id, CAST(row_number() OVER w - 1 AS INTEGER) AS part_no,

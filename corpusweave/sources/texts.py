@@ -87,7 +87,7 @@ def byte_chunks(docs: DataFrame, size: int, key: str = "doc_id", text: str = "te
         "_n", F.octet_length("_b")
     )
     placed = raw.filter("_n > 0").select(
-        key, "_b", "_n", F.explode(F.sequence(F.lit(0), F.expr(f"(_n - 1) div {size}"))).alias("chunk_no")
+        key, "_b", "_n", F.explode(F.sequence(F.lit(0), F.expr(f"int((_n - 1) div {size})"))).alias("chunk_no")
     )
 
     def continues(at: Column) -> Column:

@@ -54,10 +54,12 @@ def canonical(columns, rows):
 
 
 def compare(spark, con, query, sf_dir) -> str:
+    start = time.time()
     df = query.run(spark, sf_dir)
     rows = [tuple(r) for r in df.collect()]
+    took = f"spark {time.time() - start:.1f}s"
     if query.sql is None:
-        return f"rows-only {len(rows)}"
+        return f"rows-only {len(rows)} {took}"
     result = con.execute(query.sql)
     names = [d[0] for d in result.description]
     expected = result.fetchall()
@@ -75,7 +77,7 @@ def compare(spark, con, query, sf_dir) -> str:
     }
     note = f" TYPES {odd}" if odd else ""
     if got == want:
-        return f"ok {len(got)}{note}"
+        return f"ok {len(got)} {took}{note}"
     bad = [(g, w) for g, w in zip(got, want) if g != w][:2]
     return f"FAIL rows {len(got)} against {len(want)}{note}\n     spark {bad and bad[0][0]}\n     sql   {bad and bad[0][1]}"
 
