@@ -18,20 +18,20 @@ from pyspark.sql import types as T
 from corpusweave.functions import symbols as S
 from corpusweave.functions.patterns import GPT2_PATTERN
 from corpusweave.operators.pretok import encoding_pieces, piece_counts
-from corpusweave.session import durable
+from corpusweave.session import durable, work_partitions
 
 BASE_SIZE = 256
 # Rows of the pair-count table seen by the driver in one round; doubled while ties need more.
 TOP_PAIRS = 512
 # Merges guessed ahead per round, and the bounded sample the guesses come from.
-DRAFT_STEPS = 12
+DRAFT_STEPS = 16
 SAMPLE_ROWS = 16384
 SAMPLE_SEQUENCE_LENGTH = 64
 # Rounds between in-memory refreshes, and between reliable checkpoints, of the working table.
 CACHE_ROUNDS = 4
 CHECKPOINT_ROUNDS = 32
 # Up to this many merges a document is encoded by native replacements alone.
-FOLD_LIMIT = 512
+FOLD_LIMIT = 32
 # Pieces remembered by one encoding task.
 PIECE_CACHE = 200_000
 
@@ -76,18 +76,16 @@ class BpeModel:
 # --- learning ---------------------------------------------------------------------------------
 
 
+def _pair_strings(symbols: Column) -> Column:
+    """All adjacent pairs as two-symbol strings, overlapping, in one linear pass."""
+    return F.regexp_extract_all(symbols, F.lit("(?s)(?=(..))."), F.lit(1))
+
+
 def symbol_pairs(table: DataFrame, symbols: str = "symbols", weight: str = "n") -> DataFrame:
     """Adjacent pair counts; overlapping pairs count and pairs never cross a row."""
-    chars = F.split(symbols, "")
-    # One projection below the generator keeps the split from being evaluated twice.
-    arrays = table.filter(F.length(symbols) > 1).select(
-        F.col(weight).alias("_w"), chars.alias("_c")
-    )
-    zipped = F.arrays_zip(
-        F.slice("_c", F.lit(1), F.size("_c") - 1), F.slice("_c", F.lit(2), F.size("_c") - 1)
-    )
-    pairs = arrays.select("_w", F.inline(zipped)).toDF("_w", "left", "right")
-    return pairs.groupBy("left", "right").agg(F.sum("_w").alias("count"))
+    pairs = table.select(F.col(weight).alias("_w"), F.explode(_pair_strings(F.col(symbols))).alias("pair"))
+    counts = pairs.groupBy("pair").agg(F.sum("_w").alias("count"))
+    return counts.select(F.left("pair", F.lit(1)).alias("left"), F.right("pair", F.lit(1)).alias("right"), "count")
 
 
 def merge_symbols(symbols: Column, left: int, right: int, new_id: int) -> Column:
@@ -201,27 +199,23 @@ def _counts_along(work: DataFrame, guess, top: int):
     spans = (
         work.select("n", states.alias("states"))
         .select("n", F.posexplode("states").alias("at", "state"), "states")
-        .selectExpr(
+        .select(
             "n",
-            "state.step AS since",
-            f"coalesce(get(states, at + 1).step, {steps + 1}) AS until",
-            "split(state.s, '') AS c",
-        )
-        .filter("size(c) > 1")
-        .selectExpr(
-            "n", "since", "until",
-            "inline(arrays_zip(slice(c, 1, size(c) - 1), slice(c, 2, size(c) - 1)))",
+            F.col("state.step").alias("since"),
+            F.coalesce(F.get("states", F.col("at") + 1)["step"], F.lit(steps + 1)).alias("until"),
+            F.explode(_pair_strings(F.col("state.s"))).alias("pair"),
         )
-        .toDF("n", "since", "until", "left", "right")
     )
-    names = [f"c{i}" for i in range(steps + 1)]
-    counts = spans.groupBy("left", "right").agg(
+    # The first aggregation carries one plain sum; the second sees at most one row per span of steps.
+    summed = spans.groupBy("pair", "since", "until").agg(F.sum("n").alias("n"))
+    counts = summed.groupBy("pair").agg(
         *[F.expr(f"sum(if(since <= {i} AND until > {i}, n, 0L)) AS c{i}") for i in range(steps + 1)]
     )
-    peak = names[0] if not guess else f"greatest({', '.join(names)})"
+    names = ", ".join(f"c{i}" for i in range(steps + 1))
     rows = (
-        counts.selectExpr("left", "right", f"array({', '.join(names)}) AS counts", f"{peak} AS peak")
-        .orderBy(F.col("peak").desc(), "left", "right")
+        counts.selectExpr("pair", f"array({names}) AS counts")
+        .withColumn("peak", F.array_max("counts"))
+        .orderBy(F.col("peak").desc(), "pair")
         .limit(top)
         .collect()
     )
@@ -244,9 +238,7 @@ def _accept(rows, complete, guess, vocab, next_id, room, tie, min_frequency):
             return merges, complete
         if top < min_frequency:
             return merges, True
-        ties = [
-            (S.symbol_id(r["left"]), S.symbol_id(r["right"])) for r in rows if r["counts"][step] == top
-        ]
+        ties = [tuple(map(S.symbol_id, r["pair"])) for r in rows if r["counts"][step] == top]
         left, right = min(ties, key=lambda p: _rank_key(p, 0, vocab, tie))
         new = next_id + step
         merges.append((left, right, new))
@@ -280,8 +272,12 @@ def learn_merges(
         raise ValueError(f"unknown tie rule {tie!r}")
     vocab = {i: bytes([i]) for i in range(BASE_SIZE)}
     merges: list[tuple[int, int, int]] = []
+    # A fixed number of partitions: the table is small in bytes but every round works on all of it,
+    # so it must not be coalesced to a few tasks.
     work = durable(
-        sequences.select(F.col(symbols).alias("symbols"), F.col(weight).cast("long").alias("n"))
+        sequences.select(F.col(symbols).alias("symbols"), F.col(weight).cast("long").alias("n")).repartition(
+            work_partitions(sequences.sparkSession)
+        )
     )
     if work.isEmpty():
         raise ValueError("no valid text found for training")
@@ -303,7 +299,7 @@ def learn_merges(
             top *= 4
             continue
         if batch:
-            known = {(r["left"], r["right"]): r["counts"][len(batch) - 1] for r in rows}
+            known = {tuple(r["pair"]): r["counts"][len(batch) - 1] for r in rows}
             column = F.col("symbols")
             for left, right, new in batch:
                 vocab[new] = vocab[left] + vocab[right]
@@ -441,8 +437,22 @@ def _merge_lowest_rank(seq: str, ranks: Mapping[str, tuple[int, str]]) -> str:
     return seq
 
 
+class _PieceCache(dict):
+    """Merged form of the pieces seen by one task; emptied when it reaches its limit."""
+
+    def __init__(self, ranks):
+        super().__init__()
+        self.ranks = ranks
+
+    def __missing__(self, piece):
+        if len(self) >= PIECE_CACHE:
+            self.clear()
+        merged = self[piece] = _merge_lowest_rank(piece, self.ranks)
+        return merged
+
+
 def _ranked_encoder(spark: SparkSession, model: BpeModel):
-    """Arrow-batched encoding of piece arrays for large vocabularies.
+    """Arrow-batched merging of separated piece strings, for longer merge lists.
 
     The broadcast holds one entry per merge, so it is bounded by the vocabulary.
     """
@@ -451,23 +461,13 @@ def _ranked_encoder(spark: SparkSession, model: BpeModel):
         pair = S.symbol(a) + S.symbol(b)
         ranks.setdefault(pair, (rank, S.symbol(c), pair))
     shared = spark.sparkContext.broadcast(ranks)
+    separator = S.SEPARATOR
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
+    @F.pandas_udf(T.StringType())
     def merge_pieces(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table, seen = shared.value, {}
-        for pieces in batches:
-            out = []
-            for row in pieces:
-                done = []
-                for piece in row if row is not None else ():
-                    merged = seen.get(piece)
-                    if merged is None:
-                        if len(seen) >= PIECE_CACHE:
-                            seen.clear()
-                        merged = seen[piece] = _merge_lowest_rank(piece, table)
-                    done.append(merged)
-                out.append(done)
-            yield pd.Series(out)
+        merged = _PieceCache(shared.value).__getitem__
+        for texts in batches:
+            yield texts.map(lambda t: "".join(map(merged, t.split(separator))), na_action="ignore")
 
     return merge_pieces
 
@@ -478,7 +478,7 @@ def encode_pieces(pieces: DataFrame, model: BpeModel, piece: str = "piece") -> D
     if len(model.merges) <= FOLD_LIMIT:
         merged = fold_merges(symbols, model)
     else:
-        merged = _ranked_encoder(pieces.sparkSession, model)(F.array(symbols))[0]
+        merged = _ranked_encoder(pieces.sparkSession, model)(symbols)
     return pieces.withColumn("ids", S.symbols_to_ids(merged))
 
 
@@ -502,21 +502,9 @@ def encode_documents(
         ids = encode_column(F.col(text), model, allowed_special)
         out = docs.withColumn("ids", ids)
     elif strategy == "rank":
-        pieces = encoding_pieces(F.col(text), model.specials, model.pattern, allowed_special)
-        marks = [x for i in model.specials.values() for x in (F.lit(i), F.lit(S.symbol(i)))]
         merge = _ranked_encoder(docs.sparkSession, model)
-
-        def piece_symbols(p):
-            base = _base_symbols(p["piece"], model)
-            if not marks:
-                return base
-            mark = F.create_map(*marks)[p["special_id"]]
-            return F.when(p["special_id"].isNotNull(), mark).otherwise(base)
-
-        parts = docs.withColumn("_p", F.transform(pieces, piece_symbols))
-        out = parts.withColumn(
-            "ids", S.symbols_to_ids(F.array_join(merge(F.col("_p")), ""))
-        ).drop("_p")
+        merged = merge(_doc_symbols(F.col(text), model, allowed_special))
+        out = docs.withColumn("_m", merged).withColumn("ids", S.symbols_to_ids(F.col("_m"))).drop("_m")
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
     return out.withColumn("n_tokens", F.size("ids"))

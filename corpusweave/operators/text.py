@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusweave.functions import symbols as S
 from corpusweave.functions.ordered import row_index
@@ -64,13 +65,13 @@ def length_profile(docs: DataFrame, by: Iterable[str], text: str = "text") -> Da
     )
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
         yield texts.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _fold(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in batches:
         yield texts.map(lambda t: unicodedata.normalize("NFC", t).casefold(), na_action="ignore")

@@ -7,7 +7,9 @@ from corpusweave.operators import pretok as P
 from corpusweave.plans import sqltext as Q
 from corpusweave.plans.registry import query, texts
 
-PLANTED = F.expr(Q.PLANTED.replace("chr(10)", "char(10)"))
+
+def planted():
+    return F.expr(Q.PLANTED.replace("chr(10)", "char(10)"))
 
 
 def _digest(pieces):
@@ -46,7 +48,7 @@ _split_query("p3_no_split", None, "[text]")
     """,
 )
 def longest_special(spark, sf):
-    docs = texts(spark, sf, "lang", "text").withColumn("planted", PLANTED)
+    docs = texts(spark, sf, "lang", "text").withColumn("planted", planted())
     found = F.regexp_extract_all("planted", F.lit(P.special_alternation(Q.SPECIALS)), F.lit(0))
     return docs.select("lang", F.explode(found).alias("token")).groupBy("lang", "token").agg(
         F.count(F.lit(1)).alias("n")
@@ -61,7 +63,7 @@ def longest_special(spark, sf):
     """,
 )
 def training_split(spark, sf):
-    docs = texts(spark, sf, "text").withColumn("planted", PLANTED)
+    docs = texts(spark, sf, "text").withColumn("planted", planted())
     return P.piece_counts(docs, "planted", specials=list(Q.SPECIALS))
 
 
@@ -83,7 +85,7 @@ def training_split(spark, sf):
     """,
 )
 def encoding_split(spark, sf):
-    docs = texts(spark, sf, "doc_id", "text").withColumn("planted", PLANTED)
+    docs = texts(spark, sf, "doc_id", "text").withColumn("planted", planted())
     pieces = docs.select("doc_id", P.encoding_pieces(F.col("planted"), Q.SPECIALS).alias("p"))
     shown = F.transform(
         "p",
@@ -110,7 +112,7 @@ def encoding_split(spark, sf):
     """,
 )
 def specials_not_allowed(spark, sf):
-    docs = texts(spark, sf, "doc_id", "text").withColumn("planted", PLANTED)
+    docs = texts(spark, sf, "doc_id", "text").withColumn("planted", planted())
     pieces = P.encoding_pieces(F.col("planted"), Q.SPECIALS, allowed_special="none")
     return docs.select(
         "doc_id",

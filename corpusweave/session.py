@@ -51,6 +51,12 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def work_partitions(spark: SparkSession) -> int:
+    """Partitions for iterative work: enough for every core and for the configured shuffles."""
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(spark.sparkContext.defaultParallelism, shuffles)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rebalance a scan that has fewer tasks than cores.
 
