@@ -140,14 +140,12 @@ class Normalizer:
         if self.charmap.starts is None and self.whole is None:
             yield data, 0, len(data), True
             return
-        stops = []
-        if self.charmap.starts is not None:
-            stops += [m.start() for m in self.charmap.starts.finditer(text)]
+        starts = self.charmap.starts.finditer(text) if self.charmap.starts is not None else ()
         kept = {m.start(): m.end() for m in self.whole.finditer(text)} if self.whole else {}
-        stops = sorted({*stops, *kept})
-        # Byte offset of every character that may start a step.
+        stops = sorted({*(m.start() for m in starts), *kept})
+        # Source byte of every character where a step may start or a verbatim string ends.
         offsets, chars, size = {}, 0, 0
-        for stop in [*stops, *kept.values()] if not kept else sorted({*stops, *kept.values()}):
+        for stop in sorted({*stops, *kept.values()}):
             size += len(text[chars:stop].encode("utf-8", "replace"))
             chars, offsets[stop] = stop, size
         at = 0
@@ -180,12 +178,13 @@ class Normalizer:
             if same:
                 # Every byte of a character comes from the character's first byte.
                 codes = np.frombuffer(chunk, np.uint8)
-                heads = np.flatnonzero(codes & 0xC0 != 0x80)
-                source.append(start + np.repeat(heads, np.diff(np.append(heads, len(codes)))))
+                place = np.arange(start, start + len(codes), dtype=np.int32)
+                place[codes & 0xC0 == 0x80] = 0
+                source.append(np.maximum.accumulate(place))
             else:
                 source.append(np.full(len(chunk), start, np.int64))
         data = np.frombuffer(b"".join(out), np.uint8)
-        align = np.concatenate(source) if source else np.zeros(0, np.int64)
+        align = source[0] if len(source) == 1 else np.concatenate([np.zeros(0, np.int64), *source])
         end = len(text.encode("utf-8", "replace"))
         blank = data == 32
         if self.squeeze:
@@ -254,8 +253,8 @@ class Pieces:
         """(ids, begins, ends) of each text, spans in source bytes, without begin and end ids."""
         made = [self.normalize(t) for t in texts]
         out = []
-        for (text, align), ids in zip(made, self.cutter.encode([t for t, _ in made]), strict=True):
-            ids = np.array(ids, np.int64)
+        for text, align in made:
+            ids = np.asarray(self.cutter.encode(text, return_type="numpy"), np.int32)
             sizes = self.sizes[ids]
             if self.unknown[ids].any():
                 # Only the text itself tells how long an unknown piece is.
