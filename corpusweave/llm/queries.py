@@ -6,8 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusweave.llm import mixing, quality, sentencepieces, toxicity, weighted_minhash
+from corpusweave.llm import (
+    chat_format,
+    edit_counts,
+    mixing,
+    quality,
+    sentencepieces,
+    token_files,
+    top_k,
+    toxicity,
+    web_archives,
+    weighted_minhash,
+)
+from corpusweave.llm.batches import drop_folder
 from corpusweave.plans.registry import Query, table
+from corpusweave.session import durable, scratch_path
 
 QUERIES: dict[str, Query] = {}
 
@@ -20,17 +33,101 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_edit_counts")
+def op1_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    edited = docs.withColumn("edits", edit_counts.sample_edits(F.col("doc_id"), F.col("text")))
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return edit_counts.count(edited, ranks, public_tokenizers.PATTERN, keep=["doc_id"])
+
+
 @query("op2_sentencepiece")
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentencepieces.digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query("op3_chat_format")
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marks = "</s>[INST] ok [/INST]"
+    planted = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(marks).alias("text"),
+    )
+    records = chat_format.mixed_layouts(rows.unionByName(planted))
+    return chat_format.read_back(chat_format.render(chat_format.canonical_turns(records)))
+
+
+TOP_K_SQL = """
+with whole as (
+    select vec_id, list_transform(embedding, x -> floor(256 * x::double)) as v
+    from embeddings
+    where vec_id is not null and embedding is not null
+        and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+), scored as (
+    select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+    from whole q join whole c on q.vec_id <> c.vec_id
+    where q.vec_id % 50 = 0
+), ranked as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored
+)
+select query_id, rank::int as rank, vec_id, score from ranked where rank <= 5
+"""
+
+
+@query("op4_block_top_k", TOP_K_SQL)
+def op4_block_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = top_k.quantised(table(spark, sf_dir, "embeddings"))
+    return top_k.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
 @query("op5_weighted_minhash")
 def op5_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_minhash.assign(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query("op6_token_files")
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = token_files.folder_uri(spark, scratch_path(spark, "token-files"))
+    files = token_files.write(docs, folder, public_tokenizers.path("byte_bpe_50k.json"))
+    read = durable(token_files.read_back(files))
+    drop_folder(spark, folder)
+    return read
+
+
+WARC_SQL = """
+with marked as (
+    select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest
+    from pages
+), targeted as (
+    select *, case when payload_bytes >= 1000 then max(page_id) over (partition by payload_digest) end as target
+    from marked
+)
+select page_id, payload_bytes, payload_digest,
+    case when target is null or target is not distinct from page_id then 'response' else 'revisit' end as record_type,
+    case when target is null or target is not distinct from page_id then null else target end as refers_to
+from targeted
+"""
+
+
+@query("op7_web_archives", WARC_SQL)
+def op7_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = web_archives.planned(table(spark, sf_dir, "pages"))
+    folder = token_files.folder_uri(spark, scratch_path(spark, "warc-packages"))
+    files = web_archives.write(plan, folder)
+    read = web_archives.read_records(web_archives.ranges(files))
+    number = lambda c: F.when(F.col(c) != "null", F.col(c)).cast("long").alias(c)
+    result = durable(
+        read.select(number("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to"))
+    )
+    drop_folder(spark, folder)
+    return result
+
+
 MIX_SQL = r"""
 with sized as (
     select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size

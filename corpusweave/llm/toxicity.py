@@ -133,13 +133,14 @@ def train(
         return Model(np.zeros(buckets), prior)
     at, bucket = subwords(list(vocabulary), buckets)
     by_word = np.argsort(at, kind="stable")
-    bucket, share = bucket[by_word], shares(at, len(vocabulary))[by_word][:, None]
+    share = shares(at, len(vocabulary))[by_word][:, None].astype(np.float32)
+    bucket = bucket[by_word].astype(np.int32)
     n_grams = np.bincount(at, minlength=len(vocabulary))
     first = np.concatenate([[0], np.cumsum(n_grams)])
 
     y = np.asarray(labels)
-    vectors = rng.normal(0, START, (buckets, width))
-    squares = np.full((buckets, 1), DAMPING)
+    vectors = rng.normal(0, START, (buckets, width)).astype(np.float32)
+    squares = np.full((buckets, 1), DAMPING, np.float32)
     weights = rng.normal(0, 0.5, (width, 2))
     bias = np.array([0.0, prior])
     w_squares, b_squares = np.full_like(weights, 1e-2), np.full(2, 1e-2)
