@@ -38,6 +38,9 @@ DAMPING = 0.1
 GAIN = 100.0
 # Words with a zero vector that join every document, so that a short text isn't all noise.
 PAD_WORDS = 50
+# One of so many sample rows sets the slope, if there are enough of them.
+HELD_BACK = 5
+LEAST_HELD_BACK = 40
 THRESHOLD = 0.3
 # Distinct words whose score a task keeps.
 CACHE_WORDS = 400_000
@@ -100,6 +103,9 @@ class Model:
         return np.bincount(at, weights=self.values[bucket] * share, minlength=len(words))
 
     def scores(self, texts: list[str | None], cache: dict[str, float] | None = None) -> np.ndarray:
+        return 1.0 / (1.0 + np.exp(-np.clip(self.margins(texts, cache), -60, 60)))
+
+    def margins(self, texts: list[str | None], cache: dict[str, float] | None = None) -> np.ndarray:
         cache = {} if cache is None else cache
         docs = [tokens(t) for t in texts]
         new = list({w for d in docs for w in d if w not in cache})
@@ -109,18 +115,48 @@ class Model:
         if new:
             cache.update(zip(new, self.word_values(new).tolist(), strict=True))
         means = np.array([sum(map(cache.__getitem__, d)) / (len(d) + PAD_WORDS) for d in docs])
-        return 1.0 / (1.0 + np.exp(-np.clip(means + self.bias, -60, 60)))
+        return means + self.bias
 
 
 def train(
-    texts: list[str | None], labels: list[int], *, epochs: int = EPOCHS, width: int = WIDTH, buckets: int = BUCKETS
+    texts: list[str | None], labels: list[int], *, share: float | None = None, epochs: int = EPOCHS, width: int = WIDTH, buckets: int = BUCKETS
 ) -> Model:
-    """Fit vectors and softmax together with mini-batches of an adaptive-step gradient descent.
+    """Fit vectors and softmax on four fifths of the rows, then the slope of their margin on the rest.
 
-    With one class only there is nothing to learn: the model then gives the share of that class.
+    ``share`` is that of class 1 outside of the sample. With one class only there is nothing to learn:
+    the model then gives the share of that class.
     """
+    prior = log_odds(labels)
+    outside = 0.0 if share is None else float(np.log(share / (1 - share))) - prior
+    rest = [k for k in range(len(texts)) if k % HELD_BACK == HELD_BACK - 1]
+    if len(set(labels)) == 2 and len(rest) >= LEAST_HELD_BACK:
+        kept = sorted(set(range(len(texts))) - set(rest))
+        model = _learn([texts[k] for k in kept], [labels[k] for k in kept], epochs, width, buckets)
+        slope, offset = _slope(model.margins([texts[k] for k in rest]), np.array([labels[k] for k in rest]))
+    else:
+        model, slope, offset = _learn(texts, labels, epochs, width, buckets), 1.0, 0.0
+    return Model(model.values * np.float32(slope), model.bias * slope + offset + outside)
+
+
+def log_odds(labels: list[int]) -> float:
     share = (sum(labels) + 1) / (len(labels) + 2)
-    prior = float(np.log(share / (1 - share)))
+    return float(np.log(share / (1 - share)))
+
+
+def _slope(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Logistic slope and offset of the margins by Newton steps, with a light pull towards slope 1."""
+    x, at = np.stack([margins, np.ones(len(margins))], 1), np.array([1.0, 0.0])
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
+        pull = np.array([0.1, 0.0])
+        curve = x.T @ (x * (p * (1 - p))[:, None]) + np.diag(pull + 1e-3)
+        at = at - np.linalg.solve(curve, x.T @ (p - y) + pull * (at - [1.0, 0.0]))
+    return (float(at[0]), float(at[1])) if np.isfinite(at).all() and at[0] > 0 else (1.0, 0.0)
+
+
+def _learn(texts: list[str | None], labels: list[int], epochs: int, width: int, buckets: int) -> Model:
+    """Vectors and softmax together, by mini-batches with adaptive steps."""
+    prior = log_odds(labels)
     if len(set(labels)) < 2:
         return Model(np.zeros(buckets), prior)
     rng = np.random.default_rng(SEED)
@@ -240,7 +276,8 @@ def fit(
         .orderBy(*order)
         .collect()
     )
-    return train([r["text"] for r in rows], [r["label"] for r in rows])
+    ones, n = known.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("label")).first()
+    return train([r["text"] for r in rows], [r["label"] for r in rows], share=(ones + 1) / (n + 2))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", *, threshold: float = THRESHOLD) -> DataFrame:
