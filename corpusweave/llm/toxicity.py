@@ -28,6 +28,8 @@ WIDTH = 8
 CLASS_ROWS = (1500, 4500)
 SAMPLE_CHARS = 16 << 20
 EPOCHS = 3
+# A small sample is gone through more often, up to this many steps.
+LEAST_STEPS = 200
 BATCH_DOCS = 64
 RATE = 0.05
 VECTOR_RATE = 0.3
@@ -181,6 +183,7 @@ def _learn(texts: list[str | None], labels: list[int], epochs: int, width: int,
     bias = np.array([0.0, prior])
     w_squares, b_squares = np.full_like(weights, 1e-2), np.full(2, 1e-2)
 
+    epochs = max(epochs, LEAST_STEPS // -(-len(docs) // BATCH_DOCS))
     for epoch in range(epochs):
         rate = VECTOR_RATE * (1 - epoch / epochs)
         order = rng.permutation(len(docs))
