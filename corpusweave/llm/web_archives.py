@@ -165,8 +165,8 @@ class Package:
         packed = gzip.compress(record, 1, mtime=0)
         self.member.write(packed)
         entry = {"url": url, "page_id": page_id, "digest": f"sha1:{digest}", "type": kind, "offset": self.at, "length": len(packed)}
-        host = re.sub(r"^\w+://", "", url or "")
-        self.lines.append(f"{host.lower()} {re.sub(r'[^0-9]', '', DATE)} {json.dumps(entry)}")
+        host = quote(re.sub(r"^\w+://", "", url or "").lower(), safe="/?#=&:%") or "-"
+        self.lines.append(f"{host} {re.sub(r'[^0-9]', '', DATE)} {json.dumps(entry)}")
         self.at += len(packed)
         self.payload += payload_size
 
