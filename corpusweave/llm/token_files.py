@@ -9,15 +9,17 @@ over the files and then inside them; an index has the place of each document.
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -27,56 +29,93 @@ from corpusweave.llm.batches import slices, write_and_read
 SEQUENCE = 1024
 BATCH_SEQUENCES = 64
 END_ID = 2
-# The published split pattern of the byte-level vocabulary.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE_PIECES = 400_000
+CACHE_UNITS = 400_000
+# A space with white space on both sides, or before it and the end behind.
+UNSAFE = re.compile(r"\s (?:\s|$)")
 
 
-class PieceEncoder:
-    """Ids of whole texts, through the library's ids of each distinct piece.
+class UnitEncoder:
+    """Ids of whole texts, through the library's ids of each distinct unit of a text.
 
-    The vocabulary splits a text by ``PATTERN`` before any merge, and no merge crosses a border, so the
-    ids of a text are those of its pieces in order. Pieces seen lately are kept.
+    The byte-level vocabulary splits a text before any merge, and always in front of a space unless
+    white space stands on both sides of it. So the ids of a text are those of the units that begin at
+    its spaces, in order. A text with a space of the other kind is encoded whole. Units seen lately
+    are kept; new ones are encoded together, as one text, and told apart by their lengths in bytes.
     """
 
     def __init__(self, path: str):
+        # A task has a core of its own; the library's threads would only add memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         # Strings of special tokens in a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
-        self.pattern = regex.compile(PATTERN)
+        tokens = sorted(self.tokenizer.get_vocab(with_added_tokens=False).items(), key=lambda t: t[1])
+        # Each character of a token stands for one byte.
+        self.token_bytes = np.zeros(tokens[-1][1] + 1, np.int64)
+        self.token_bytes[[i for _, i in tokens]] = [len(t) for t, _ in tokens]
         self.forget()
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1, np.int64)
-
-    def learn(self, pieces: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        ends = self.ends[-1] + np.cumsum([len(i) for i in found])
-        if ends[-1] > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), int(ends[-1])), np.uint32)])
-        self.ids[self.ends[-1] : ends[-1]] = np.fromiter((i for f in found for i in f), np.uint32)
-        self.place.update(zip(pieces, range(len(self.ends) - 1, len(self.ends) - 1 + len(pieces)), strict=True))
-        self.ends = np.concatenate([self.ends, ends])
+        self.ends = np.zeros(1 << 16, np.int64)
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def learn(self, units: list[str]) -> None:
+        """Add units that each begin with a space or with none and stand for the chunk behind it."""
+        found = self.whole("".join([f" {u}" for u in units]))
+        sizes = np.fromiter((len(u.encode()) + 1 for u in units), np.int64, len(units))
+        borders = np.cumsum(self.token_bytes[found])
+        ends = np.searchsorted(borders, np.cumsum(sizes)) + 1
+        if len(found) and (borders[ends - 1] != np.cumsum(sizes)).any():
+            raise ValueError("a token crosses the border of a unit")
+        n, used = len(self.place), int(self.ends[len(self.place)])
+        if used + len(found) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(found)), np.uint32)])
+        if n + len(units) >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros(max(len(self.ends), len(units)), np.int64)])
+        self.ids[used : used + len(found)] = found
+        self.ends[n + 1 : n + 1 + len(units)] = used + ends
+        self.place.update(zip(units, range(n, n + len(units)), strict=True))
 
     def encode(self, texts: list[str], end_id: int = END_ID) -> list[np.ndarray]:
-        split = [self.pattern.findall(t) for t in texts]
-        new = {p for pieces in split for p in pieces if p not in self.place}
-        if len(self.place) + len(new) > CACHE_PIECES:
+        out: list[np.ndarray | None] = [None] * len(texts)
+        split = {}
+        for k, text in enumerate(texts):
+            head, *rest = text.split(" ")
+            # Units that hold or lead into other white space may lean on what comes before them.
+            if UNSAFE.search(text) or not rest:
+                out[k] = np.append(self.whole(text), np.uint32(end_id))
+            else:
+                split[k] = head, rest
+        missing = {u for _, rest in split.values() for u in rest if u not in self.place}
+        if len(self.place) + len(missing) > CACHE_UNITS:
             self.forget()
-            new = {p for pieces in split for p in pieces}
-        if new:
-            self.learn(list(new))
-        out = []
-        for pieces in split:
-            at = np.fromiter(map(self.place.__getitem__, pieces), np.int64, len(pieces))
+            missing = {u for _, rest in split.values() for u in rest}
+        # Units that begin with white space, and the empty one of two spaces, have to stand alone.
+        plain = [u for u in missing if u and not u[0].isspace()]
+        if plain:
+            self.learn(plain)
+        for unit in missing.difference(plain):
+            self.learn([unit])
+        for k, (head, rest) in split.items():
+            at = np.fromiter(map(self.place.__getitem__, rest), np.int64, len(rest))
             starts, sizes = self.ends[at], self.ends[at + 1] - self.ends[at]
-            places = np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
-            out.append(np.append(self.ids[places], np.uint32(end_id)))
+            ends = np.cumsum(sizes)
+            places = np.arange(ends[-1]) + np.repeat(starts - ends + sizes, sizes)
+            first = self.whole(head) if head else np.zeros(0, np.uint32)
+            out[k] = np.concatenate([first, self.ids[places], np.array([end_id], np.uint32)])
         return out
 
 
+@lru_cache(maxsize=1)
+def unit_encoder(path: str) -> UnitEncoder:
+    """One encoder for the tasks that a Python worker runs in turn."""
+    return UnitEncoder(path)
+
+
 def schema(sequence: int = SEQUENCE, wide: bool = False) -> pa.Schema:
     ids = pa.uint32() if wide else pa.uint16()
     return pa.schema([("ids", pa.list_(ids, sequence)), ("mask", pa.list_(pa.bool_(), sequence))])
@@ -221,7 +260,7 @@ def write(
     files_schema = FILES.format(kind=kind)
 
     def run(batches):
-        encoder = PieceEncoder(tokenizer_path)
+        encoder = unit_encoder(tokenizer_path)
         store, base = pafs.FileSystem.from_uri(folder)
         writer, file, sink, part, key_type = None, None, None, None, None
         ids, sizes = [], []
