@@ -30,8 +30,6 @@ SAMPLE_SEQUENCE_LENGTH = 64
 # Rounds between in-memory refreshes, and between reliable checkpoints, of the working table.
 CACHE_ROUNDS = 4
 CHECKPOINT_ROUNDS = 32
-# Up to this many merges a document is encoded by native replacements alone.
-FOLD_LIMIT = 32
 # Pieces remembered by one encoding task.
 PIECE_CACHE = 200_000
 
@@ -378,7 +376,11 @@ def _merge_constants(model: BpeModel) -> Column:
 
 
 def fold_merges(symbols: Column, model: BpeModel) -> Column:
-    """Apply all merges in rank order; equals merging the lowest-ranked pair first."""
+    """Apply all merges in rank order; equals merging the lowest-ranked pair first.
+
+    That needs every part to be made before it is used, which is checked here.
+    """
+    model.require_ordered()
     if not model.merges:
         return symbols
     return F.aggregate(
@@ -452,7 +454,7 @@ class _PieceCache(dict):
 
 
 def _ranked_encoder(spark: SparkSession, model: BpeModel):
-    """Arrow-batched merging of separated piece strings, for longer merge lists.
+    """Arrow-batched merging of separated piece strings.
 
     The broadcast holds one entry per merge, so it is bounded by the vocabulary.
     """
@@ -474,11 +476,7 @@ def _ranked_encoder(spark: SparkSession, model: BpeModel):
 
 def encode_pieces(pieces: DataFrame, model: BpeModel, piece: str = "piece") -> DataFrame:
     """Token ids of every row of a piece table (distinct pieces, each encoded once)."""
-    symbols = _base_symbols(F.col(piece), model)
-    if len(model.merges) <= FOLD_LIMIT:
-        merged = fold_merges(symbols, model)
-    else:
-        merged = _ranked_encoder(pieces.sparkSession, model)(symbols)
+    merged = _ranked_encoder(pieces.sparkSession, model)(_base_symbols(F.col(piece), model))
     return pieces.withColumn("ids", S.symbols_to_ids(merged))
 
 
@@ -488,16 +486,14 @@ def encode_documents(
     *,
     text: str = "text",
     allowed_special: str = "all",
-    strategy: str = "auto",
+    strategy: str = "rank",
 ) -> DataFrame:
     """Add ``ids ARRAY<INT>`` and ``n_tokens``, keeping the order of pieces and special tokens.
 
-    ``fold``  native replacements per document, for small merge lists; map-only
-    ``rank``  Arrow batches with a per-task piece cache, for large vocabularies; map-only
-    ``auto``  picks by the number of merges
+    ``rank``  Arrow batches with a per-task piece cache, for merges of any number and order; map-only
+    ``fold``  native replacements per document, for merges in the order they were made; map-only.
+              The caller's choice for short lists; merges in another order are an error
     """
-    if strategy == "auto":
-        strategy = "fold" if len(model.merges) <= FOLD_LIMIT else "rank"
     if strategy == "fold":
         ids = encode_column(F.col(text), model, allowed_special)
         out = docs.withColumn("ids", ids)
@@ -538,8 +534,9 @@ def decode_column(ids: Column, model: BpeModel) -> Column:
     The vocabulary is one constant array indexed by id, so decoding is map-only.
     """
     vocab = model.vocab()
-    table = S.literal_array([vocab.get(i, b"\xff\xff").hex() for i in range(max(vocab) + 1)])
-    missing = "ffff"
+    # No token's hex digits equal the mark of an id without a token.
+    missing = "-"
+    table = S.literal_array([vocab[i].hex() if i in vocab else missing for i in range(max(vocab) + 1)])
 
     def token_hex(i):
         found = F.get(table, i)

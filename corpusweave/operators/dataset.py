@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusweave.functions.draws import digest_number, residue
 from corpusweave.functions.ordered import row_index, with_ordered
 
-DRAW_FACTOR = 2654435761
 
 
 def stream_offsets(tokens: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -125,7 +125,7 @@ def sliding_windows(tokens: DataFrame, k: int, key: str = "doc_id") -> DataFrame
 
 def draw_start(k: Column, seed: int, max_start: int) -> Column:
     """Reproducible start of draw k, uniform below ``max_start`` (which is never drawn itself)."""
-    return F.pmod(k.cast("long") * F.lit(DRAW_FACTOR) + F.lit(seed), F.lit(max_start))
+    return F.pmod(digest_number(k, seed), F.lit(max_start).cast("long"))
 
 
 def random_windows(
@@ -184,7 +184,7 @@ def shuffled_batches(
 ) -> DataFrame:
     """Examples in a seeded order with ``batch_id``; the order is reproducible from the key alone."""
     mixed = examples.withColumn(
-        "_mix", F.pmod(F.col(key).cast("long") * F.lit(DRAW_FACTOR) + F.lit(seed), F.lit(modulus))
+        "_mix", residue(F.col(key), seed, modulus)
     )
     placed = row_index(mixed, ["_mix", key], "_at")
     return placed.withColumn("batch_id", F.expr(f"_at div {batch_size}")).drop("_mix", "_at")

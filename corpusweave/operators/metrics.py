@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusweave.functions import arrays as A
+from corpusweave.functions.draws import residue
 
 CLIP = 1e-15
 LOG_FLOOR = 1e-12
@@ -81,7 +82,7 @@ def predicted_class(logits: Column, temperature: float = 0.0, u: Column | None =
 
 def seeded_draw(key: Column, seed: int = 0, modulus: int = 1_000_003) -> Column:
     """Reproducible number in (0, 1) from a key."""
-    return (F.pmod(key.cast("long") * F.lit(2654435761) + F.lit(seed), F.lit(modulus)) + 0.5) / modulus
+    return (residue(key, seed, modulus) + 0.5) / modulus
 
 
 def top_classes(rows: DataFrame, logits: str, k: int, key: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from corpusweave.operators.dataset import DRAW_FACTOR
+from corpusweave.functions.draws import digest_number
 from corpusweave.operators.text import words
 from corpusweave.session import durable
 
@@ -110,8 +110,7 @@ def generate(
         if greedy:
             hit = F.col("low") == 0
         else:
-            mix = F.col(key).cast("long") * F.lit(DRAW_FACTOR) + F.lit((step + 1) * 40503 + seed)
-            draw = F.pmod(mix, F.col("total"))
+            draw = F.pmod(digest_number(F.col(key), step, seed), F.col("total"))
             hit = (draw >= F.col("low")) & (draw < F.col("high"))
         context = F.when(F.col("_live") & (F.length("_t") >= n - 1), F.right("_t", F.lit(n - 1)))
         state = (

@@ -8,16 +8,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusweave.functions.draws import DIGEST_DIGITS, digest_number, residue
 from corpusweave.functions.ordered import row_index, with_ordered
 
-HASH_FACTOR = 2654435761
 HASH_MODULUS = 1_000_003
 LOG_2PI = math.log(2 * math.pi)
 MAX_CLASSES = 10_000
 
 
 def _mixed(key: Column, seed: int) -> Column:
-    return F.pmod(key.cast("long") * F.lit(HASH_FACTOR) + F.lit(seed), F.lit(HASH_MODULUS))
+    return residue(key, seed, HASH_MODULUS)
 
 
 # --- lines and splits -----------------------------------------------------------------------------
@@ -110,7 +110,7 @@ def penalized_fit(rows: DataFrame, features: list[str], y: str, alpha: float, la
     size = wide.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(y).alias("s")).first()
     model = LinearRegression(
         featuresCol="_features", labelCol=y,
-        regParam=alpha / size["n"] if lasso else _ridge_parameter(alpha, size), elasticNetParam=1.0 if lasso else 0.0,
+        regParam=alpha / (2 * max(size["n"], 1)) if lasso else _ridge_parameter(alpha, size), elasticNetParam=1.0 if lasso else 0.0,
         standardization=False, solver="auto" if lasso else "normal",
     ).fit(wide)
     out = [("intercept", float(model.intercept)), *zip(features, map(float, model.coefficients))]
@@ -302,10 +302,20 @@ def estimator_quality(rows: DataFrame, x: str, key: str, replicates: int, shift:
 
 
 def resample_weight(key: Column, replicate: Column) -> Column:
-    """Row weight 0..3 of a replicate, about Poisson(1), from a seeded hash."""
-    u = F.pmod(key * F.lit(HASH_FACTOR) + replicate * F.lit(40503) * F.lit(HASH_MODULUS // 7) + replicate * replicate, F.lit(HASH_MODULUS))
-    cuts = [367879, 735759, 919698]
-    return sum((F.when(u >= c * HASH_MODULUS // 1_000_000, 1).otherwise(0) for c in cuts), F.lit(0))
+    """Poisson(1) weight of a row in a replicate, drawn anew for each pair of row and replicate."""
+    cuts = F.array(*[F.lit(c) for c in poisson_cuts()])
+    # The array of one holds the draw, so that it is taken once and not for every border.
+    drawn = F.transform(F.array(digest_number(key, replicate)), lambda u: F.size(F.filter(cuts, lambda c: u >= c)))
+    return drawn[0]
+
+
+def poisson_cuts() -> list[int]:
+    """Borders of the Poisson(1) distribution on the range of ``digest_number``."""
+    upto, cuts = 0.0, []
+    for k in range(18):
+        upto += math.exp(-1) / math.factorial(k)
+        cuts.append(round(upto * 16**DIGEST_DIGITS))
+    return [c for c in cuts if c < 16**DIGEST_DIGITS]
 
 
 def bias_variance(rows: DataFrame, x: str, y: str, key: str, at: float, replicates: int) -> DataFrame:

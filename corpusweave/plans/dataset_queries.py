@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from corpusweave.functions.draws import digest_sql
 from corpusweave.operators import dataset as D
 from corpusweave.operators.text import code_points
 from corpusweave.plans.registry import query, texts
@@ -100,7 +101,7 @@ def sliding_windows(spark, sf):
     "d5_random_windows",
     f"""
     WITH {STREAM}, n AS (SELECT count(*) AS n FROM s),
-    d AS (SELECT doc_id AS draw, (doc_id * 2654435761 + 7) % (n - 32 - 1) AS start FROM documents, n),
+    d AS (SELECT doc_id AS draw, {digest_sql('doc_id', '7')} % (n - 32 - 1) AS start FROM documents, n),
     r AS (SELECT draw, start, unnest(range(0, 33)) AS j FROM d),
     t AS (SELECT draw, start, j, token_id FROM r JOIN s ON s.pos = r.start + r.j)
     SELECT draw, start, string_agg(token_id, ',' ORDER BY j) FILTER (j < 32) AS x,

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from corpusweave.functions.draws import digest_sql
 from corpusweave.operators import ngram as N
 from corpusweave.plans import sqltext as Q
 from corpusweave.plans.registry import query, table, texts
@@ -75,7 +76,7 @@ def top_next(spark, sf):
 
 
 def generate_sql(greedy):
-    hit = "low = 0" if greedy else "(item_id * 2654435761 + (step + 1) * 40503 + 11) % total BETWEEN low AND high - 1"
+    hit = "low = 0" if greedy else f"{digest_sql('item_id', 'step', '11')} % total BETWEEN low AND high - 1"
     return f"""
     WITH RECURSIVE g AS MATERIALIZED ({char_sql(4)}),
     t AS MATERIALIZED (SELECT context, next, sum(cnt) OVER (PARTITION BY context) AS total,

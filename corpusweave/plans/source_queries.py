@@ -237,7 +237,7 @@ def import_model(spark, sf):
 
     vocab = model.vocab()
     listing = json.dumps({shown(b): i for i, b in vocab.items()})
-    lines = [("#version: 0.2 of these merges",), *[(f"{shown(vocab[a])} {shown(vocab[b])}",) for a, b, _ in model.merges]]
+    lines = [("#version: 0.2",), *[(f"{shown(vocab[a])} {shown(vocab[b])}",) for a, b, _ in model.merges]]
     path = scratch_path(spark, "published")
     spark.createDataFrame([(listing,)], "value string").coalesce(1).write.text(f"{path}/vocab")
     spark.createDataFrame(lines, "value string").coalesce(1).write.text(f"{path}/merges")

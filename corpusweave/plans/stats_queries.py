@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from corpusweave.functions.draws import digest_sql
 from corpusweave.functions import arrays as A
 from corpusweave.operators import stats as M
 from corpusweave.plans.registry import query, table
@@ -245,8 +246,8 @@ def estimator_quality(spark, sf):
     f"""
     WITH q AS (SELECT key, x, y / 1000 AS y FROM ({LINE})),
     t AS (SELECT avg(y) AS truth, var_pop(y) AS noise FROM q WHERE x = 25),
-    d AS (SELECT x, y, r, (key * 2654435761 + r * 40503 * 142857 + r * r) % 1000003 AS u FROM q, range(0, 16) v(r)),
-    w AS (SELECT r, x, y, (u >= 367880)::INTEGER + (u >= 735761)::INTEGER + (u >= 919700)::INTEGER AS w FROM d),
+    d AS (SELECT x, y, r, {digest_sql('key', 'r')} AS u FROM q, range(0, 16) v(r)),
+    w AS (SELECT r, x, y, {' + '.join(f'(u >= {c})::INTEGER' for c in M.poisson_cuts())} AS w FROM d),
     f AS (SELECT r, sum(w) AS n, sum(w * x) AS sx, sum(w * y) AS sy, sum(w * x * x) AS sxx, sum(w * x * y) AS sxy FROM w GROUP BY r),
     b AS (SELECT *, (n * sxy - sx * sy) / (n * sxx - sx * sx) AS b FROM f), p AS (SELECT (sy - b * sx) / n + b * 25 AS p FROM b)
     SELECT round((avg(p) - any_value(truth)) * (avg(p) - any_value(truth)), 6) AS bias2, round(var_pop(p), 6) AS variance,

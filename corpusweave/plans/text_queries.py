@@ -161,8 +161,8 @@ def char_vocabulary(spark, sf):
     WITH {CHAR_VOCAB.replace('documents', 'benchmark')},
     c AS (SELECT doc_id, unnest(string_split(text, '')) AS ch,
                  generate_subscripts(string_split(text, ''), 1) AS pos FROM documents)
-    SELECT doc_id, string_agg(CAST(id AS VARCHAR), ',' ORDER BY pos) AS ids, count(*) AS n_ids
-    FROM c JOIN v USING (ch) GROUP BY doc_id
+    SELECT doc_id, coalesce(string_agg(CAST(id AS VARCHAR), ',' ORDER BY pos), '') AS ids, count(id) AS n_ids
+    FROM documents LEFT JOIN (SELECT doc_id, pos, id FROM c JOIN v USING (ch)) USING (doc_id) GROUP BY doc_id
     """,
 )
 def encode_characters(spark, sf):
@@ -172,7 +172,7 @@ def encode_characters(spark, sf):
         "doc_id",
         F.array_join(F.transform("ids", lambda i: i.cast("string")), ",").alias("ids"),
         F.size("ids").cast("long").alias("n_ids"),
-    ).filter("n_ids > 0")
+    )
 
 
 @query(

@@ -36,7 +36,9 @@ def load_model(spark: SparkSession, path: str) -> BpeModel:
     specials = {r["token"]: r["token_id"] for r in spark.read.parquet(f"{path}/specials").collect()}
     base = {r["token_id"]: bytes(r["bytes"]) for r in spark.read.parquet(f"{path}/base").collect()}
     rows = spark.read.parquet(f"{path}/merges").orderBy("rank").collect()
-    return BpeModel([(r["left"], r["right"], r["new_id"]) for r in rows], pattern, specials, base)
+    model = BpeModel([(r["left"], r["right"], r["new_id"]) for r in rows], pattern, specials, base)
+    model.require_ordered()
+    return model
 
 
 def printable_alphabet() -> dict[int, str]:
@@ -59,8 +61,8 @@ def import_model(
 ) -> BpeModel:
     """A tokenizer from a vocabulary JSON (token to id) and a merges text (two parts per line).
 
-    Lines that do not split into two parts by a blank are left out. Special tokens missing from
-    the vocabulary are appended to it.
+    Lines that do not split into two parts by a blank are left out, and so is a first line with the
+    version of the format. Special tokens missing from the vocabulary are appended to it.
     """
     alphabet = {c: b for b, c in printable_alphabet().items()}
     listed = json.loads(spark.read.text(vocab_path, wholetext=True).first()["value"])
@@ -74,6 +76,8 @@ def import_model(
             ids[raw(token)] = token_id
     lines = spark.read.text(merges_path).select(F.rtrim("value").alias("line"), F.monotonically_increasing_id().alias("at"))
     two = lines.filter(F.size(F.split("line", " ")) == 2).orderBy("at").collect()
+    if two and two[0]["line"].startswith("#version"):
+        two = two[1:]
     merges = []
     for row in two:
         left, right = (raw(p) for p in row["line"].split(" "))

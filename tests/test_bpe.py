@@ -154,3 +154,21 @@ def test_recovered_merges(spark, documents):
     ranked = model.vocab_table(spark).withColumnRenamed("token_id", "rank")
     rows = bpe.recover_merges(ranked, {b: i for i, b in model.vocab().items()}).collect()
     assert sorted(tuple(r) for r in rows) == sorted(model.merges)
+
+
+def test_merge_order_never_changes_the_ids(spark):
+    """Rank decides at every number of merges, and the fold refuses merges it would get wrong."""
+    docs = spark.createDataFrame([(1, "aaaaa")], "doc_id long, text string")
+    shuffled = [(256, 97, 257), (97, 97, 256)]
+    for extra in (0, 29, 30, 31, 298):
+        merges = shuffled + [(98, 98, 258), *[(257 + k, 98, 258 + k) for k in range(1, extra)]][:extra]
+        model = bpe.BpeModel(merges, None)
+        assert bpe.encode_documents(docs, model).first()["ids"] == [256, 257]
+        with pytest.raises(ValueError, match="before one of its parts"):
+            bpe.encode_documents(docs, model, strategy="fold")
+
+
+def test_a_token_of_two_high_bytes_decodes(spark):
+    model = bpe.BpeModel([(255, 255, 300)], None)
+    row = spark.createDataFrame([(1, [300, 97])], "doc_id long, ids array<int>")
+    assert bpe.decode_documents(row, model).first()["decoded"] == "��a"

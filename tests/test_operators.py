@@ -118,3 +118,49 @@ def test_text_records_and_invalid_bytes(spark, tmp_path):
     path.write_bytes(b"one\xff\n<|endoftext|>two \xef\xbf\xbd")
     records = [r["text"] for r in texts.read_records(spark, str(path)).collect()]
     assert records == ["one\n", "two �"]
+
+
+def test_draws_hold_for_any_key_and_range(spark):
+    from corpusweave.functions.draws import residue
+    from corpusweave.operators import dataset, metrics
+
+    keys = spark.createDataFrame([(2**63 - 1,), (-(2**63),), (4_000_000_000,), (7,)], "key long")
+    out = keys.select("key", residue(F.col("key"), 3, 1_000_003).alias("r"), metrics.seeded_draw(F.col("key")).alias("u"))
+    for row in out.collect():
+        assert row["r"] == (row["key"] * 2654435761 + 3) % 1_000_003
+        assert 0 < row["u"] < 1
+    starts = spark.range(1000).select(dataset.draw_start(F.col("id"), 7, 10**13).alias("s"))
+    low, high, mean = starts.agg(F.min("s"), F.max("s"), F.avg("s")).first()
+    assert 0 <= low < 10**11 and 10**13 - 10**11 < high < 10**13 and abs(mean / 10**13 - 0.5) < 0.05
+
+
+def test_replicates_are_independent_poisson_draws(spark):
+    from corpusweave.operators import stats
+
+    rows = spark.range(2000).crossJoin(spark.range(60).withColumnRenamed("id", "r"))
+    drawn = rows.select("r", stats.resample_weight(F.col("id"), F.col("r")).alias("w"))
+    mean, variance = drawn.agg(F.avg("w"), F.var_pop("w")).first()
+    assert abs(mean - 1) < 0.02 and abs(variance - 1) < 0.03
+    spread = drawn.groupBy("r").agg(F.sum("w").alias("s")).agg(F.stddev_pop("s")).first()[0]
+    assert 34 < spread < 56  # sqrt(2000) is 44.7
+
+
+def test_lasso_penalises_half_as_much_as_it_weighs(spark):
+    from corpusweave.operators import stats
+
+    points = [(float(x), 3.0 * x + (x % 3) - 1) for x in range(-10, 11)]
+    rows = spark.createDataFrame(points, "x double, y double")
+    mean = sum(y for _, y in points) / len(points)
+    sxy, sxx = sum(x * (y - mean) for x, y in points), sum(x * x for x, _ in points)
+    for alpha in (40.0, 400.0):
+        fit = {r["term"]: r["value"] for r in stats.penalized_fit(rows, ["x"], "y", alpha, lasso=True).collect()}
+        assert abs(fit["x"] - (sxy - alpha / 2) / sxx) < 1e-4
+
+
+def test_all_unknown_fields_are_named(spark):
+    import pytest
+    from corpusweave.operators import runs
+
+    rows = spark.createDataFrame([("a", f"f{k:03d}", "1") for k in range(300)], "run string, field string, value string")
+    with pytest.raises(ValueError, match="f000.*f299"):
+        runs.resolve_configs(rows)
