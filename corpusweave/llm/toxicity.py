@@ -45,7 +45,7 @@ HELD_BACK = 5
 LEAST_HELD_BACK = 40
 THRESHOLD = 0.3
 # Distinct words whose score a task keeps.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 SEED = 20
 
 
