@@ -29,11 +29,23 @@ from corpusweave.llm.batches import slices, write_and_read
 SEQUENCE = 1024
 BATCH_SEQUENCES = 64
 END_ID = 2
-CACHE_UNITS = 400_000
+CACHE_UNITS = 800_000
 # A space with white space on both sides, or before it and the end behind.
 UNSAFE = re.compile(r"\s (?:\s|$)")
 
 
+class Places(dict):
+    """Number of each unit in order of its first sight; ``new`` has the units that have no ids yet."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, unit: str) -> int:
+        self.new.append(unit)
+        self[unit] = len(self)
+        return len(self) - 1
+
+
 class UnitEncoder:
     """Ids of whole texts, through the library's ids of each distinct unit of a text.
 
@@ -56,31 +68,42 @@ class UnitEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place = Places()
         self.ids = np.zeros(1 << 16, np.uint32)
         self.ends = np.zeros(1 << 16, np.int64)
+        self.known = 0
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def learn(self, units: list[str]) -> None:
-        """Add units that each begin with a space or with none and stand for the chunk behind it."""
-        found = self.whole("".join([f" {u}" for u in units]))
+    def learn(self) -> None:
+        """Find the ids of the new units, each behind the space that it had in its text."""
+        units, self.place.new = self.place.new, []
+        # Units that begin with white space, and the empty one of two spaces, have to stand alone.
+        alone = np.fromiter((not u or u[0].isspace() for u in units), bool, len(units))
         sizes = np.fromiter((len(u.encode()) + 1 for u in units), np.int64, len(units))
+        cuts = np.unique(np.concatenate([[0, len(units)], np.flatnonzero(alone), np.flatnonzero(alone) + 1]))
+        for start, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            self.keep(self.whole("".join([f" {u}" for u in units[start:end]])), np.cumsum(sizes[start:end]))
+
+    def keep(self, found: np.ndarray, wanted: np.ndarray) -> None:
+        """Store the ids of units that end at the wanted bytes behind those stored so far."""
         borders = np.cumsum(self.token_bytes[found])
-        ends = np.searchsorted(borders, np.cumsum(sizes)) + 1
-        if len(found) and (borders[ends - 1] != np.cumsum(sizes)).any():
+        ends = np.searchsorted(borders, wanted) + 1
+        if (borders[ends - 1] != wanted).any():
             raise ValueError("a token crosses the border of a unit")
-        n, used = len(self.place), int(self.ends[len(self.place)])
+        n, used = self.known, int(self.ends[self.known])
         if used + len(found) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(found)), np.uint32)])
-        if n + len(units) >= len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros(max(len(self.ends), len(units)), np.int64)])
+        if n + len(wanted) >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros(max(len(self.ends), len(wanted)), np.int64)])
         self.ids[used : used + len(found)] = found
-        self.ends[n + 1 : n + 1 + len(units)] = used + ends
-        self.place.update(zip(units, range(n, n + len(units)), strict=True))
+        self.ends[n + 1 : n + 1 + len(wanted)] = used + ends
+        self.known = n + len(wanted)
 
     def encode(self, texts: list[str], end_id: int = END_ID) -> list[np.ndarray]:
+        if len(self.place) > CACHE_UNITS:
+            self.forget()
         out: list[np.ndarray | None] = [None] * len(texts)
         split = {}
         for k, text in enumerate(texts):
@@ -89,19 +112,9 @@ class UnitEncoder:
             if UNSAFE.search(text) or not rest:
                 out[k] = np.append(self.whole(text), np.uint32(end_id))
             else:
-                split[k] = head, rest
-        missing = {u for _, rest in split.values() for u in rest if u not in self.place}
-        if len(self.place) + len(missing) > CACHE_UNITS:
-            self.forget()
-            missing = {u for _, rest in split.values() for u in rest}
-        # Units that begin with white space, and the empty one of two spaces, have to stand alone.
-        plain = [u for u in missing if u and not u[0].isspace()]
-        if plain:
-            self.learn(plain)
-        for unit in missing.difference(plain):
-            self.learn([unit])
-        for k, (head, rest) in split.items():
-            at = np.fromiter(map(self.place.__getitem__, rest), np.int64, len(rest))
+                split[k] = head, np.fromiter(map(self.place.__getitem__, rest), np.int64, len(rest))
+        self.learn()
+        for k, (head, at) in split.items():
             starts, sizes = self.ends[at], self.ends[at + 1] - self.ends[at]
             ends = np.cumsum(sizes)
             places = np.arange(ends[-1]) + np.repeat(starts - ends + sizes, sizes)
