@@ -133,27 +133,33 @@ def random_windows(
 ) -> DataFrame:
     """A window of the flat stream for every draw number: (draw, start, x, y).
 
-    A window lies in at most two blocks of the stream, so two equi-joins on the block number fetch
-    it; no draw scans the stream.
+    Draws meet the table of offsets by block numbers, and only the slices that a window needs leave
+    their documents. No group has more than ``seq + 1`` tokens.
     """
     total = stream_length(tokens)
     if total - seq - 1 <= 0:
         raise ValueError("the stream is shorter than one window")
     size = seq + 1
-    blocks = stream_blocks(tokens, size, 0, key)
-    placed = draws.select(draw, draw_start(F.col(draw), seed, total - seq - 1).alias("start")).withColumn(
-        "_b", F.expr(f"start div {size}")
+    placed = draws.select(draw, draw_start(F.col(draw), seed, total - seq - 1).alias("start"))
+    wanted = placed.select(
+        draw, F.col("start").alias("_since"), F.explode(F.sequence(F.expr(f"start div {size}"), F.expr(f"(start + {seq}) div {size}"))).alias("_b")
     )
-    low = blocks.select(F.col("block").alias("_b"), F.col("ids").alias("_low"))
-    high = blocks.select((F.col("block") - 1).alias("_b"), F.col("ids").alias("_high"))
-    both = placed.join(low, "_b").join(high, "_b", "left")
-    joined = F.concat("_low", F.coalesce("_high", F.array().cast("array<int>")))
-    at = (F.col("start") - F.col("_b") * size + 1).cast("int")
-    return both.select(
-        draw,
-        "start",
-        F.slice(joined, at, F.lit(seq)).alias("x"),
-        F.slice(joined, at + 1, F.lit(seq)).alias("y"),
+    offsets = stream_offsets(tokens, key).filter("n > 0").select(
+        F.col(key).alias("_doc"), F.col("start").alias("_start"), "n",
+        F.explode(F.sequence(F.expr(f"start div {size}"), F.expr(f"(start + n - 1) div {size}"))).alias("_b"),
+    )
+    since = F.greatest("_since", "_start", F.col("_b") * size)
+    until = F.least(F.col("_since") + size, F.col("_start") + F.col("n"), (F.col("_b") + 1) * size)
+    cuts = wanted.join(offsets, "_b").filter(until > since).select(
+        draw, "_since", "_doc", since.alias("_at"), (since - F.col("_start") + 1).cast("int").alias("_from"), (until - since).cast("int").alias("_n")
+    )
+    taken = tokens.select(F.col(key).alias("_doc"), "ids").join(cuts, "_doc").select(
+        draw, "_since", "_at", F.slice("ids", F.col("_from"), F.col("_n")).alias("_ids")
+    )
+    whole = taken.groupBy(draw, "_since").agg(F.array_sort(F.collect_list(F.struct("_at", "_ids"))).alias("_parts"))
+    ids = F.flatten(F.transform("_parts", lambda p: p["_ids"]))
+    return whole.select(
+        draw, F.col("_since").alias("start"), F.slice(ids, 1, seq).alias("x"), F.slice(ids, 2, seq).alias("y")
     )
 
 

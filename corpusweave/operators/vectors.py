@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusweave.functions import arrays as A
-from corpusweave.session import broadcast_if_small
 
 NORM_EPS = 1e-5
 FREQUENCY_BASE = 10000.0
@@ -19,9 +18,8 @@ QUERY_BATCH = 4096
 
 
 def lookup(rows: DataFrame, ids: str, vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """Attach the vector of an id; the table is broadcast only when it is counted small."""
-    table = broadcast_if_small(vectors.select(F.col(key).alias(ids), vector))
-    return rows.join(table, ids)
+    """Attach the vector of an id; adaptive execution picks the join by the bytes of both sides."""
+    return rows.join(vectors.select(F.col(key).alias(ids), vector), ids)
 
 
 def context_features(

@@ -183,7 +183,17 @@ def encode_with_specials(spark, sf):
     )
 
 
-@query("b10_encode_stream_of_texts")
+# Conversations hold pieces that documents lack, so the merges are applied to their own pieces.
+@query(
+    "b10_encode_stream_of_texts",
+    f"""
+    {LEARN},
+    cp AS (SELECT conv_id, turn, unnest({Q.gpt2_pieces('text')}) AS piece FROM conversations),
+    cs AS (SELECT piece, {Q.hex_symbols('hex(encode(piece))')} AS sym FROM (SELECT DISTINCT piece FROM cp)),
+    cm AS (SELECT piece, {Q.apply_merges('sym', LEARNED)} AS sym FROM cs)
+    SELECT conv_id, turn, CAST(sum(length(sym)) AS INTEGER) AS n_tokens FROM cp JOIN cm USING (piece) GROUP BY conv_id, turn
+    """,
+)
 def encode_batches(spark, sf):
     """Every row is a batch of its own, so pieces never depend on a read boundary."""
     docs = texts(spark, sf, "conv_id", "turn", "text", name="conversations")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from corpusweave.operators import bpe, runs as R
 from corpusweave.plans import sqltext as Q
 from corpusweave.plans.bpe_queries import ENCODED, LEARN, LEARNED, learned
+from corpusweave.plans.run_queries import METRICS
 from corpusweave.plans.registry import query, table, texts
 from corpusweave.session import scratch_path
 from corpusweave.sources import models, runs as run_files, texts as X
@@ -268,7 +269,14 @@ def experiment_list(spark, sf):
     return listed.select("name", F.size("overrides").cast("long").alias("n_overrides"))
 
 
-@query("s17_manifest_files")
+@query(
+    "s17_manifest_files",
+    f"""
+    WITH {METRICS} SELECT 'run_' || run AS name, status, printf('%.4f', final_train) AS final_train,
+      CASE WHEN val_min IS NULL THEN 'NaN' ELSE printf('%.4f', val_min) END AS val_min,
+      printf('%.4f', train_tail) AS train_tail, CAST(num_steps AS VARCHAR) AS num_steps FROM f
+    """,
+)
 def manifest_files(spark, sf):
     path = scratch_path(spark, "manifest")
     history = R.event_history(table(spark, sf, "events"))
@@ -280,20 +288,21 @@ def manifest_files(spark, sf):
 @query(
     "s18_history_files",
     """
-    SELECT count(*) AS steps, round(sum(value), 4) AS train_sum, count(*) FILTER (event_type = 'error') AS missing_val
+    SELECT 'run_' || user_id AS run, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS step,
+           value AS train_loss, event_type = 'error' AS missing_val
     FROM events
     """,
 )
 def history_files(spark, sf):
+    """One history per user, written as text and read back in order."""
     path = scratch_path(spark, "history")
     events = table(spark, sf, "events")
     val = F.when(F.col("event_type") == "error", F.lit("nan")).otherwise(F.format_string("%.18e", "value"))
-    lines = events.select(F.concat_ws(" ", F.format_string("%.18e", "value"), val).alias("value"))
-    header = spark.createDataFrame([("# train_loss val_loss",)], "value string")
-    header.unionByName(lines).write.text(path)
-    rows = run_files.read_history(spark, path)
-    return rows.agg(
-        F.count(F.lit(1)).alias("steps"),
-        F.round(F.sum("train_loss"), 4).alias("train_sum"),
-        F.count_if(F.isnan("val_loss")).alias("missing_val"),
+    lines = events.select(
+        F.concat(F.lit("run_"), "user_id").alias("run"), "ts", "event_id",
+        F.concat_ws(" ", F.format_string("%.18e", "value"), val).alias("value"),
+    )
+    run_files.write_history_lines(lines, path, ["ts", "event_id"])
+    return run_files.read_history(spark, path).select(
+        "run", "step", "train_loss", F.isnan("val_loss").alias("missing_val")
     )

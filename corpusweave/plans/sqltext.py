@@ -96,6 +96,13 @@ def merge_list(merges: int) -> str:
     )
 
 
+def apply_merges(sym: str, merges: int) -> str:
+    """The symbols of other pieces after the merges that ``merge_ctes`` learned, in order."""
+    for k in range(merges):
+        sym = f"replace({sym}, (SELECT l || r FROM b{k}), chr({256 + k}))"
+    return sym
+
+
 PIECE_SEQUENCES = (
     f"SELECT piece, {hex_symbols('hex(encode(piece))')} AS sym, count(*) AS n "
     f"FROM (SELECT unnest({gpt2_pieces('text')}) AS piece FROM documents) GROUP BY piece"

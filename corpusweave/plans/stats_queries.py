@@ -94,7 +94,22 @@ def ridge(spark, sf):
     return rounded(M.penalized_fit(rows, ["x"], "y", 50000.0), 4, "value")
 
 
-@query("m3_lasso")
+# Coordinate descent over the centred sums, one soft threshold of alpha / 2 per coordinate.
+@query(
+    "m3_lasso",
+    """
+    WITH RECURSIVE r AS (SELECT l_quantity::DOUBLE AS a, l_linenumber::DOUBLE AS b, l_extendedprice / 1000::DOUBLE AS y FROM lineitem),
+    m AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(y) AS my FROM r),
+    s AS (SELECT sum((a - ma) * (a - ma)) AS saa, sum((b - mb) * (b - mb)) AS sbb, sum((a - ma) * (b - mb)) AS sab,
+                 sum((a - ma) * (y - my)) AS say, sum((b - mb) * (y - my)) AS sby FROM r, m),
+    d AS (SELECT 0 AS i, 0.0::DOUBLE AS u, 0.0::DOUBLE AS v
+          UNION ALL SELECT i + 1, w, sign(sby - sab * w) * greatest(abs(sby - sab * w) - 2500, 0) / sbb
+          FROM (SELECT i, sab, sbb, sby, sign(say - sab * v) * greatest(abs(say - sab * v) - 2500, 0) / saa AS w FROM d, s WHERE i < 200) z),
+    f AS (SELECT u, v FROM d WHERE i = 200)
+    SELECT 'intercept' AS term, round(my - u * ma - v * mb, 3) AS value FROM f, m
+    UNION ALL SELECT 'x', round(u, 3) FROM f UNION ALL SELECT 'line', round(v, 3) FROM f
+    """,
+)
 def lasso(spark, sf):
     rows = lineitem(spark, sf).withColumn("y", F.col("y") / 1000).withColumn("line", F.col("l_linenumber").cast("double"))
     return rounded(M.penalized_fit(rows, ["x", "line"], "y", 5000.0, lasso=True), 3, "value")
@@ -309,15 +324,16 @@ PREFIX = "PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PREC
 @query(
     "m17_running_mle",
     f"""
-    SELECT user_id, event_id, count(*) OVER w AS n, round(avg(value) OVER w + 1.3e-8::DOUBLE, 6) AS mu, round(stddev_pop(value) OVER w, 4) AS sigma
+    SELECT user_id, event_id, count(*) OVER w AS n, round(sum(value) OVER w, 2) AS total, round(stddev_pop(value) OVER w, 4) AS sigma
     FROM events WINDOW w AS ({PREFIX})
     """,
 )
 def running_mle(spark, sf):
     rows = table(spark, sf, "events").select("user_id", "ts", "event_id", "value")
     out = M.running_mle(rows, "user_id", ["ts", "event_id"], "value").select("user_id", "event_id", "n", "mu", "sigma")
-    # Prefix means of two-decimal values can be exact rounding ties; the shift moves them off.
-    return rounded(rounded(out.withColumn("mu", F.col("mu") + 1.3e-8), 6, "mu"), 4, "sigma")
+    # Values have two decimals, so n times the mean is exact at two; a rounded mean could be a tie.
+    total = F.round(F.col("mu") * F.col("n"), 2).alias("total")
+    return rounded(out.select("user_id", "event_id", "n", total, "sigma"), 4, "sigma")
 
 
 BETA = f"""

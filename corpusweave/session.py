@@ -1,4 +1,4 @@
-"""Session helpers: defaults, reliable checkpoints and size-checked broadcasts."""
+"""Session helpers: defaults, reliable checkpoints and scratch folders."""
 
 from __future__ import annotations
 
@@ -9,9 +9,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A side is broadcast only after counting it and finding it at or below this many rows.
-BROADCAST_ROW_LIMIT = 1_000_000
-
 
 def get_spark(app: str = "corpusweave", cores: int | str | None = None) -> SparkSession:
     """A local session for tests and benches; on a cluster pass your own session."""
@@ -67,16 +64,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast when a bounded count proves the side small, else leave it to AQE.
-
-    Only for sides that are cheap to count again (aggregates that are persisted or
-    checkpointed, or small tables).
-    """
-    small = df.limit(limit + 1).count() <= limit
-    return F.broadcast(df) if small else df
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder below the checkpoint folder, which all executors can reach."""
     ensure_checkpoint_dir(spark)

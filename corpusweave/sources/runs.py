@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusweave.functions.ordered import with_ordered
+
 EXPERIMENT = "name string, overrides map<string,string>"
 HISTORY = "train_loss double, val_loss double"
 
@@ -27,14 +29,35 @@ def check_experiments(runs: DataFrame) -> None:
         raise ValueError(f"duplicate experiment name: {twice[0]['name']!r}")
 
 
+def write_history_lines(lines: DataFrame, path: str, order: list[str]) -> None:
+    """Text lines ``value`` of every ``run`` in order, one file below ``run=<name>`` each."""
+    placed = lines.repartition("run").sortWithinPartitions("run", *order)
+    placed.select("run", "value").write.partitionBy("run").text(path)
+
+
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """Two-column loss histories; header comments are left out and NaN stays NaN."""
-    return (
+    """Two-column loss histories as (run, step, train_loss, val_loss).
+
+    The run is the name of the folder ``run=<name>``, or of the file, and the step is the place of the
+    line in it. Header comments are left out and NaN stays NaN.
+    """
+    rows = (
         spark.read.schema(HISTORY)
         .option("sep", " ")
         .option("comment", "#")
         .option("nanValue", "nan")
+        .option("recursiveFileLookup", True)
         .csv(path)
+        .select(
+            "train_loss", "val_loss", F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_line"),
+        )
+    )
+    folder = F.url_decode(F.regexp_extract("_file", "/run=([^/]+)/", 1))
+    name = F.regexp_extract("_file", "([^/]+)$", 1)
+    named = rows.withColumn("run", F.when(folder != "", folder).otherwise(name))
+    return with_ordered(named, ["run"], ["_file", "_start", "_line"], index="step").select(
+        "run", F.col("step").cast("long").alias("step"), "train_loss", "val_loss"
     )
 
 
