@@ -164,3 +164,31 @@ def test_all_unknown_fields_are_named(spark):
     rows = spark.createDataFrame([("a", f"f{k:03d}", "1") for k in range(300)], "run string, field string, value string")
     with pytest.raises(ValueError, match="f000.*f299"):
         runs.resolve_configs(rows)
+
+
+def test_random_windows_span_documents(spark):
+    from corpusweave.operators import dataset
+
+    parts = [[1, 2], [], list(range(3, 40)), [40], [41, 42, 43]]
+    flat = [i for p in parts for i in p]
+    tokens = spark.createDataFrame(list(enumerate(parts)), "doc_id long, ids array<int>")
+    draws = spark.range(60).withColumnRenamed("id", "draw")
+    rows = dataset.random_windows(tokens, draws, "draw", 4, seed=3).collect()
+    assert sorted(r["draw"] for r in rows) == list(range(60))
+    assert len({r["start"] for r in rows}) > 10
+    for r in rows:
+        assert r["x"] == flat[r["start"] : r["start"] + 4]
+        assert r["y"] == flat[r["start"] + 1 : r["start"] + 5]
+
+
+def test_histories_keep_run_and_order(spark, tmp_path):
+    from corpusweave.sources import runs
+
+    lines = [("a b", k, f"{9 - k}.5 nan") for k in range(5)] + [("c", k, f"{k}.25 1.0") for k in range(3)]
+    path = f"{tmp_path}/histories"
+    runs.write_history_lines(spark.createDataFrame(lines, "run string, k int, value string"), path, ["k"])
+    found = sorted((r["run"], r["step"], r["train_loss"]) for r in runs.read_history(spark, path).collect())
+    assert found == [("a b", k, 9.5 - k) for k in range(5)] + [("c", k, k + 0.25) for k in range(3)]
+    (tmp_path / "one.txt").write_text("# train_loss val_loss\n3.0 nan\n2.0 1.5\n")
+    single = runs.read_history(spark, f"{tmp_path}/one.txt").orderBy("step").collect()
+    assert [(r["run"], r["step"], r["train_loss"]) for r in single] == [("one.txt", 0, 3.0), ("one.txt", 1, 2.0)]
