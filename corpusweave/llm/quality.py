@@ -1,8 +1,9 @@
 """Quality rules: word and line counts, and zstandard compression bands.
 
 Text that repeats itself compresses far below prose, and noise hardly compresses at all. Every
-document is compressed whole and in fixed chunks; the ratio of compressed to plain bytes has to lie
-in a band whose limits depend on the length, because short texts give the compressor less to reuse.
+document is compressed whole and in fixed chunks, the last one shorter; the ratio of compressed to
+plain bytes has to lie in a band whose limits depend on the length, because short texts give the
+compressor less to reuse.
 """
 
 from __future__ import annotations
@@ -22,17 +23,30 @@ MAX_REPEAT_PERCENT = 50
 
 LEVEL = 3
 CHUNK_BYTES = 4096
-# (plain bytes up to which the band holds, lowest ratio, highest ratio); None: any longer text.
-WHOLE_BANDS = (
-    (256, 0.30, 1.20),
-    (1024, 0.30, 0.90),
-    (4096, 0.25, 0.80),
-    (16384, 0.22, 0.75),
-    (None, 0.18, 0.72),
+# (plain bytes, lowest and highest ratio) of pieces of so many bytes from the distinct texts of sf0.1 that
+# pass the base rules: all pieces of a text that start at multiples of the larger of the length and 2,048.
+CLEAN = (
+    (64, 0.812, 1.141),
+    (128, 0.664, 0.969),
+    (256, 0.578, 0.812),
+    (512, 0.500, 0.725),
+    (1024, 0.438, 0.603),
+    (2048, 0.410, 0.529),
+    (4096, 0.381, 0.484),
+    (8192, 0.361, 0.457),
+    (16384, 0.347, 0.438),
+    (32768, 0.347, 0.420),
 )
-# Band of a full chunk, and the share of chunks that may lie outside of it.
-CHUNK_BAND = (0.20, 0.75)
-MAX_BAD_CHUNKS = 0.5
+# Margins: a text may fall to this share of the lowest clean ratio and exceed the highest by so much.
+LOW_SHARE = 0.75
+HIGH_MARGIN = 0.07
+# Limits at these lengths; between them they change evenly with the logarithm of the length.
+WHOLE_BANDS = tuple((size, LOW_SHARE * low, high + HIGH_MARGIN) for size, low, high in CLEAN)
+# Band of a full chunk, and the share of chunks that may lie outside of theirs.
+CHUNK_BAND = next((low, high) for size, low, high in WHOLE_BANDS if size == CHUNK_BYTES)
+MAX_BAD_CHUNKS = 0.1
+# A shorter rest is measured together with the bytes before it, for noise shows only from some length on.
+LEAST_REST = 512
 
 COLUMNS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -81,31 +95,41 @@ def dup_lines(text: str) -> int:
     return found
 
 
-def band_of(size: int, bands: Sequence[tuple[int | None, float, float]]) -> tuple[float, float]:
-    return next((low, high) for most, low, high in bands if most is None or size <= most)
+def band_of(size: int, bands: Sequence[tuple[int, float, float]]) -> tuple[float, float]:
+    sizes, lows, highs = zip(*bands, strict=True)
+    at, places = np.log2(size), np.log2(sizes)
+    return float(np.interp(at, places, lows)), float(np.interp(at, places, highs))
 
 
 def compression(
-    data: bytes, compressor: zstandard.ZstdCompressor, chunk_bytes: int, chunk_band: tuple[float, float]
+    data: bytes,
+    compressor: zstandard.ZstdCompressor,
+    chunk_bytes: int,
+    chunk_band: tuple[float, float],
+    bands: Sequence[tuple[int, float, float]] = WHOLE_BANDS,
 ) -> tuple[float | None, int, int]:
-    """Whole ratio, full chunks and full chunks outside of their band. A rest belongs to no chunk."""
+    """Whole ratio, chunks and chunks outside of their band. The rest is a chunk with the band of its length."""
     if not data:
         return None, 0, 0
     whole = len(compressor.compress(data)) / len(data)
-    n, bad = len(data) // chunk_bytes, 0
-    if n > 1:
-        view = memoryview(data)
-        for k in range(n):
-            ratio = len(compressor.compress(view[k * chunk_bytes : (k + 1) * chunk_bytes])) / chunk_bytes
-            bad += not chunk_band[0] <= ratio <= chunk_band[1]
-    return whole, n if n > 1 else 0, bad
+    n, bad = -(-len(data) // chunk_bytes), 0
+    view = memoryview(data)
+    for k in range(n):
+        start, end = k * chunk_bytes, min((k + 1) * chunk_bytes, len(data))
+        if end - start < chunk_bytes:
+            start = max(min(start, end - LEAST_REST), 0)
+        size = end - start
+        ratio = whole if size == len(data) else len(compressor.compress(view[start:end])) / size
+        low, high = chunk_band if size == chunk_bytes else band_of(size, bands)
+        bad += not low <= ratio <= high
+    return whole, n, bad
 
 
 def score(
     docs: DataFrame,
     text: str = "text",
     *,
-    whole_bands: Sequence[tuple[int | None, float, float]] = WHOLE_BANDS,
+    whole_bands: Sequence[tuple[int, float, float]] = WHOLE_BANDS,
     chunk_bytes: int = CHUNK_BYTES,
     chunk_band: tuple[float, float] = CHUNK_BAND,
     max_bad_chunks: float = MAX_BAD_CHUNKS,
@@ -115,7 +139,7 @@ def score(
 
     ``keep`` names the columns that go along (all by default; clashing names get the counts only,
     so rename first). A null text counts as one without words, which fails the base rules. A
-    document with at least 50 words whose bytes are in its bands is kept. Rows are never joined or
+    document that passes them, whose ratio is in its band and of whose chunks at most a tenth are not, is kept. Rows are never joined or
     compared, so repeated rows get the same verdict each.
     """
     keep = list(docs.columns if keep is None else keep)
@@ -136,7 +160,7 @@ def score(
                 words = WORD.findall(value)
                 n, repeated = len(words), repeat_words(words)
                 data = value.encode("utf-8", "surrogatepass")
-                whole, chunks, bad = compression(data, compressor, chunk_bytes, chunk_band)
+                whole, chunks, bad = compression(data, compressor, chunk_bytes, chunk_band, whole_bands)
                 failed = n < MIN_WORDS or 100 * repeated > MAX_REPEAT_PERCENT * n
                 good = not failed
                 if good:

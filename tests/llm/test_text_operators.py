@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import re
+import string
 
 import public_tokenizers
 import pytest
@@ -290,6 +291,44 @@ def test_bands_reject_repetition_and_noise(spark):
     assert {r["doc_id"]: r["kept"] for r in quality.score(docs).collect()} == {1: True, 2: False, 3: False}
 
 
+LENGTHS = (600, 1200, 2500, 4000, 5000, 9000, 20_000)
+
+
+def random_words(rng: random.Random, alphabet: str, size: int) -> str:
+    words = []
+    while sum(map(len, words)) + len(words) < size:
+        words.append("".join(rng.choices(alphabet, k=rng.randrange(2, 9))))
+    return " ".join(words)[:size]
+
+
+def test_noise_and_repetition_at_each_length(spark):
+    rng = random.Random(3)
+    letters = "eeeeeetttttaaaaooooiiiinnnsssrrrhhlldducmfpgwybvkxjqz"
+    lexicon = ["".join(rng.choices(letters, k=rng.randrange(2, 10))) for _ in range(900)]
+    prose = lambda n: " ".join(rng.choices(lexicon, [1 / (k + 5) for k in range(900)], k=n))[:n]
+    base64ish = string.ascii_letters + string.digits + "+/"
+    cases = []
+    for n in LENGTHS:
+        cases.append((f"prose {n}", prose(n), True))
+        cases.append((f"base64 {n}", random_words(rng, base64ish, n), False))
+        cases.append((f"printable {n}", random_words(rng, string.digits + string.ascii_letters + string.punctuation, n), False))
+        cases.append((f"items {n}", " ".join(f"item{k:05d}" for k in range(n))[:n], False))
+        if n >= 1200:
+            cases.append((f"alphanumeric {n}", random_words(rng, string.ascii_lowercase + string.digits, n), False))
+    # Prose around noise or repetition, in the first chunk, a middle one and the rest.
+    for name, bad in [("noise", random_words(rng, base64ish, 4096)), ("items", " ".join(f"item{k:05d}" for k in range(500))[:4096])]:
+        for before, after in [(0, 4096), (4096, 4096), (8192, 0)]:
+            cases.append((f"{name} behind {before}", prose(before) + bad + prose(after), False))
+        cases.append((f"{name} in the rest", prose(4096) + bad[:2000], False))
+        cases.append((f"{name} in a short rest", prose(8192 - 300) + " " + bad[:799], False))
+    cases.append(("prose with a short rest", prose(8192 + 20), True))
+    docs = spark.createDataFrame([(name, text) for name, text, _ in cases], "doc_id string, text string")
+    found = {r["doc_id"]: r for r in quality.score(docs).collect()}
+    assert not [name for name, r in found.items() if r["base_failed"]]
+    assert {name: r["kept"] for name, r in found.items()} == {name: good for name, _, good in cases}
+    assert found["prose 4000"]["n_chunks"] == 1 and found["prose 5000"]["n_chunks"] == 2
+
+
 def test_quality_odd_rows(spark, odd_documents):
     clash = odd_documents.withColumnRenamed("score", "kept")
     assert quality.score(clash).count() == 8
