@@ -245,9 +245,12 @@ def fit(
 ) -> Model:
     """Train on a bounded sample of labelled rows that are not held out.
 
-    The sample takes at most ``class_rows`` rows of class 1 and of class 0 in the order of a hash of the key, of
-    those whole texts as long as they fit ``sample_chars`` characters together. Rows without a key,
-    or with a label other than 0 and 1, are not sampled; a key with both labels counts as 1.
+    The candidates are at most ``class_rows`` rows of class 1 and of class 0 in the order of a hash of the key.
+    Whole texts of at most ``sample_chars`` characters together are sampled: a class has a share in
+    proportion to its rows and what the other leaves of its own, and takes its shortest texts first, so
+    that a long text costs itself alone. A text longer than the share is a candidate only where others
+    leave a place, one longer than ``sample_chars`` never. Rows without a key, or with a label other
+    than 0 and 1, are not sampled; a key with both labels counts as 1.
     """
     known = (
         labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("int").alias("label"))
@@ -258,17 +261,27 @@ def fit(
     )
     # A key of docs may repeat; one of its texts stands for it.
     pool = docs.select(F.col(f"`{key}`").alias("key"), F.length(f"`{text}`").alias("chars")).join(known, "key")
-    pool = pool.groupBy("key", "label").agg(F.max("chars").alias("chars"))
+    pool = pool.groupBy("key", "label").agg(F.coalesce(F.max("chars"), F.lit(0)).alias("chars"))
+    pool = pool.filter(F.col("chars") <= sample_chars)
     order = [F.xxhash64("key"), F.col("key")]
-    sample = pool.filter("label = 1").orderBy(*order).limit(class_rows[0]).unionAll(
-        pool.filter("label = 0").orderBy(*order).limit(class_rows[1])
+    share = {k: sample_chars * n // max(sum(class_rows), 1) for k, n in zip((1, 0), class_rows, strict=True)}
+    candidates = [
+        pool.filter(F.col("label") == k).orderBy(F.col("chars") > share[k], *order).limit(n)
+        for k, n in zip((1, 0), class_rows, strict=True)
+    ]
+    # At most sum(class_rows) rows reach the windows.
+    sample = candidates[0].unionAll(candidates[1]).withColumn("one", F.lit(1))
+    upto = Window.partitionBy("label").orderBy("chars", *order).rowsBetween(Window.unboundedPreceding, 0)
+    taken = lambda k, most: F.coalesce(
+        F.max(F.when((F.col("label") == k) & (F.col("upto") <= most), F.col("upto"))).over(Window.partitionBy("one")),
+        F.lit(0),
     )
-    # At most sum(class_rows) rows reach the window.
-    upto = Window.partitionBy("one").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    # Class 1 has what class 0 leaves within its share, class 0 all that class 1 then leaves.
     sample = (
-        sample.withColumn("one", F.lit(1))
-        .withColumn("upto", F.sum(F.coalesce("chars", F.lit(0))).over(upto))
-        .filter(F.col("upto") <= sample_chars)
+        sample.withColumn("upto", F.sum("chars").over(upto))
+        .withColumn("left", F.lit(sample_chars) - taken(0, F.lit(share[0])))
+        .withColumn("rest", F.lit(sample_chars) - taken(1, F.col("left")))
+        .filter(F.col("upto") <= F.when(F.col("label") == 1, F.col("left")).otherwise(F.col("rest")))
         .select("key", "label")
     )
     rows = (

@@ -11,6 +11,7 @@ import pytest
 import sentencepiece
 import tiktoken
 from corpusweave.llm import chat_format, edit_counts, mixing, quality, sentencepieces, toxicity
+from pyspark.sql import functions as F
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -255,6 +256,39 @@ def test_toxicity_odd_rows(spark, odd_documents):
     assert 0 <= nothing.scores([""])[0] <= 1
 
 
+@pytest.mark.parametrize("long_label", [0, 1])
+@pytest.mark.parametrize("long_chars", [150_000, 60_000])
+def test_long_texts_leave_the_other_rows_in_the_sample(spark, monkeypatch, long_label, long_chars):
+    rng = random.Random(11)
+    clean = ["".join(rng.choices("abcdefgh", k=rng.randrange(3, 8))) for _ in range(200)]
+    seen = {}
+    train = toxicity.train
+
+    def watched(texts, labels, **options):
+        seen.update(texts=texts, labels=labels)
+        return train(texts, labels, **options)
+
+    monkeypatch.setattr(toxicity, "train", watched)
+    ids = spark.range(600).filter(~toxicity.held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id")
+    keys = [r["id"] for r in ids.limit(250).collect()]
+    rows, labels = [], []
+    for k, key in enumerate(keys):
+        label = long_label if k < 3 else k % 2
+        words = rng.choices(clean, k=40)
+        if k < 3:
+            words = words * (long_chars // len(" ".join(words)) + 1)
+        if label:
+            words[0] = "nastycreature"
+        rows.append((key, " ".join(words)))
+        labels.append((key, label))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), sample_chars=100_000)
+    assert sum(map(len, seen["texts"])) <= 100_000
+    assert sum(len(t) < 1000 for t in seen["texts"]) == 247 and sorted(set(seen["labels"])) == [0, 1]
+    bad, good = model.scores([" ".join([*clean[:39], "nastycreature"]), " ".join(clean[:40])])
+    assert bad >= toxicity.THRESHOLD > good
+
+
 # 10. Quality rules
 
 
