@@ -51,16 +51,21 @@ class UnitEncoder:
 
     The byte-level vocabulary splits a text before any merge, and always in front of a space unless
     white space stands on both sides of it. So the ids of a text are those of the units that begin at
-    its spaces, in order. A text with a space of the other kind is encoded whole. Units seen lately
+    its spaces, in order. A text with a space of the other kind, or that holds the content of an added
+    token which the library looks for, is encoded whole. Units seen lately
     are kept; new ones are encoded together, as one text, and told apart by their lengths in bytes.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, *, encode_special_tokens: bool = True):
         # A task has a core of its own; the library's threads would only add memory.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        # Strings of special tokens in a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        # Whether strings of special tokens in a text are ordinary text; by the library's default they aren't.
+        self.tokenizer.encode_special_tokens = encode_special_tokens
+        # Added tokens are found before any split and may take the space around them.
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        contents = [t.content for t in added if not (encode_special_tokens and t.special)]
+        self.added = re.compile("|".join(map(re.escape, contents))) if contents else None
         tokens = sorted(self.tokenizer.get_vocab(with_added_tokens=False).items(), key=lambda t: t[1])
         # Each character of a token stands for one byte.
         self.token_bytes = np.zeros(tokens[-1][1] + 1, np.int64)
@@ -109,7 +114,7 @@ class UnitEncoder:
         for k, text in enumerate(texts):
             head, *rest = text.split(" ")
             # Units that hold or lead into other white space may lean on what comes before them.
-            if UNSAFE.search(text) or not rest:
+            if not rest or UNSAFE.search(text) or (self.added and self.added.search(text)):
                 out[k] = np.append(self.whole(text), np.uint32(end_id))
             else:
                 split[k] = head, np.fromiter(map(self.place.__getitem__, rest), np.int64, len(rest))
@@ -125,8 +130,8 @@ class UnitEncoder:
 
 @lru_cache(maxsize=1)
 def unit_encoder(path: str) -> UnitEncoder:
-    """One encoder for the tasks that a Python worker runs in turn."""
-    return UnitEncoder(path)
+    """One encoder for the tasks that a Python worker runs in turn, with the library's default for special tokens."""
+    return UnitEncoder(path, encode_special_tokens=False)
 
 
 def schema(sequence: int = SEQUENCE, wide: bool = False) -> pa.Schema:

@@ -203,6 +203,20 @@ def test_files_give_back_the_stream(spark, odd_documents, sequence, batch):
     assert token_files.write(odd_documents.limit(0), folder + "-none", TOKENIZER).count() == 0
 
 
+def test_texts_with_special_tokens_have_the_ids_of_the_library(spark):
+    library = Tokenizer.from_file(TOKENIZER)
+    texts = ["plain words here", "a <|endoftext|> b", "<|endoftext|>", "a b<|endoftext|>c d", "ends in <|endoftext|> ", "< |endoftext|> x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    folder = token_files.folder_uri(spark, scratch_path(spark, "test-special"))
+    found = token_files.read_back(token_files.write(docs, folder, TOKENIZER, parts=2)).collect()
+    start, want = 0, []
+    for k, text in enumerate(texts):
+        ids = [*library.encode(text, add_special_tokens=False).ids, 2]
+        want.append((k, start, len(ids), zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))))
+        start += len(ids)
+    assert sorted(map(tuple, found)) == want
+
+
 def test_sequences_are_read_in_place(tmp_path):
     path = str(tmp_path / "a.arrow")
     with pa.OSFile(path, "wb") as sink:
