@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from corpusweave.llm import (
     chat_format,
+    collocations,
     edit_counts,
+    fill_middle,
     mixing,
     quality,
     sentencepieces,
+    substring_dedup,
     token_files,
     top_k,
     toxicity,
@@ -189,3 +192,124 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "whole_ratio", "n_chunks", "n_bad_chunks",
     )
+
+
+SUBSTRING_SQL = r"""
+with words as (
+    select doc_id, unnest(ws) as word, unnest(range(1, len(ws) + 1)) as pos
+    from (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents)
+), windows as (
+    select *, case when count(*) over w = 20 then string_agg(word, ' ') over w end as window_text
+    from words
+    window w as (partition by doc_id order by pos rows between current row and 19 following)
+), judged as (
+    select *, window_text is not null
+        and row_number() over (partition by window_text order by doc_id, pos) > 1 as repeated
+    from windows
+), covered as (
+    select *, max(repeated::int) over (partition by doc_id order by pos rows between 19 preceding and current row) as gone
+    from judged
+), summed as (
+    select doc_id, count(*) as n_words, sum(gone)::bigint as n_removed,
+        string_agg(word, ' ' order by pos) filter (gone = 0) as kept
+    from covered group by doc_id
+)
+select d.doc_id, coalesce(n_words, 0) as n_words, coalesce(n_removed, 0) as n_removed,
+    sha256(coalesce(kept, '')) as kept_sha256
+from documents d left join summed s on d.doc_id = s.doc_id
+"""
+
+
+@query("op11_substring_dedup", SUBSTRING_SQL)
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+MIDDLE_SQL = r"""
+with cut as (
+    select doc_id, coalesce(text, '') as body, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as lines,
+        sha256('7:' || coalesce(doc_id::varchar, '')) as digest
+    from documents
+), drawn as (
+    select *, len(lines) as n, [('0x' || substr(digest, 8 * k + 1, 8))::bigint for k in range(4)] as h from cut
+), placed as (
+    select *, least(h[1] % (n + 1), h[2] % (n + 1)) as a, greatest(h[1] % (n + 1), h[2] % (n + 1)) as b,
+        case when body = '' or contains(body, '<P>') or contains(body, '<S>') or contains(body, '<M>') or h[3] % 100 >= 100
+            then 'plain' when h[4] % 100 < 50 then 'spm' else 'psm' end as form
+    from drawn
+), parts as (
+    select *, array_to_string(lines[1:a], '') as prefix, array_to_string(lines[a + 1:b], '') as middle,
+        array_to_string(lines[b + 1:n], '') as suffix
+    from placed
+)
+select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+    case when form <> 'plain' then length(middle) end as middle_chars,
+    sha256(case form when 'plain' then body when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+    sha256(body) as restored_sha256
+from parts
+"""
+
+
+@query("op12_fill_middle", MIDDLE_SQL)
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    formed = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256")
+    return fill_middle.restore(formed).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output"), digest("restored")
+    )
+
+
+PHRASE_SQL = r"""
+with texts as (
+    select row_number() over () as doc, coalesce(lang, 'und') as lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as body
+    from documents
+), pieces as (
+    select lang, row_number() over () as piece, words from (
+        select lang, regexp_extract_all(unnest(string_split_regex(body, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') as words
+        from texts)
+    where len(words) > 0
+), placed as (
+    select lang, piece, unnest(words) as word, unnest(range(1, len(words) + 1)) as pos from pieces
+), led as (
+    select lang, word as w1, lead(word, 1) over w as w2, lead(word, 2) over w as w3, lead(word, 3) over w as w4
+    from placed window w as (partition by lang, piece order by pos)
+), totals as (
+    select lang, count(*) as n from led group by lang
+), grams as (
+    select lang, [w1] as p, count(*) as f from led group by all
+    union all select lang, [w1, w2], count(*) from led where w2 is not null group by all
+    union all select lang, [w1, w2, w3], count(*) from led where w3 is not null group by all
+    union all select lang, [w1, w2, w3, w4], count(*) from led where w4 is not null group by all
+), often as (
+    select lang, p, len(p) as words, f from grams where f >= 30
+), cuts as (
+    select lang, p, f as a, unnest(range(1, words)) as k from often where words > 1
+), scored as (
+    select c.lang, c.p, c.a, c.k, x.f as l, y.f as r,
+        ((2000000::hugeint * c.a) // (x.f + y.f)::hugeint)::bigint as score
+    from cuts c join often x on x.lang = c.lang and x.p = c.p[1:c.k]
+        join often y on y.lang = c.lang and y.p = c.p[c.k + 1:]
+), weakest as (
+    select * from scored qualify row_number() over (partition by lang, p order by score, k) = 1
+), inner_parts as (
+    select lang, p[s:s + size - 1] as p, f from (
+        select lang, p, words, f, size, unnest(range(1, words - size + 2)) as s
+        from (select *, unnest(range(2, words)) as size from often where words > 2))
+), covering as (
+    select lang, p, max(f) as most from inner_parts group by all
+), kept as (
+    select w.*, array_to_string(w.p, ' ') as phrase from weakest w left join covering c on c.lang = w.lang and c.p = w.p
+    where c.most is null or 100 * c.most < 80 * w.a
+), ranked as (
+    select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept
+)
+select r.lang, rank, phrase, a, l, r, n, score from ranked r join totals t on t.lang = r.lang where rank <= 2000
+"""
+
+
+@query("op13_collocations", PHRASE_SQL)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents").select("lang", "text"))
