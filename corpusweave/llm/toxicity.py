@@ -13,10 +13,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusweave.llm.batches import fresh, map_slices
+from corpusweave.llm.batches import fresh, map_slices, write_and_read
+from corpusweave.llm.spans import ranges
 
 TOKEN = re.compile(r"[^\W_]+")
 BUCKETS = 1 << 20
@@ -44,6 +46,9 @@ PAD_WORDS = 50
 HELD_BACK = 5
 LEAST_HELD_BACK = 40
 THRESHOLD = 0.3
+# n-grams of a batch that are held at a time, and words of one step that lists them.
+BLOCK_GRAMS = 1 << 17
+STEP_WORDS = 1 << 14
 # Distinct words whose score a task keeps.
 CACHE_WORDS = 200_000
 SEED = 20
@@ -120,8 +125,65 @@ class Model:
         return means + self.bias
 
 
+@dataclass(frozen=True)
+class Sample:
+    """Rows as numbers of their distinct words, and the n-grams of every word one after the other."""
+
+    docs: list[np.ndarray]
+    n_grams: np.ndarray
+    buckets: np.ndarray
+    shares: np.ndarray
+
+    @staticmethod
+    def of_texts(texts: list[str | None], buckets: int) -> Sample:
+        vocabulary: dict[str, int] = {}
+        docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in tokens(t)], np.int32) for t in texts]
+        return Sample(docs, *grams_of(list(vocabulary), buckets))
+
+    def word_values(self, values: np.ndarray) -> np.ndarray:
+        """Value of every word; a word has one n-gram at least, itself."""
+        ends = np.cumsum(self.n_grams)
+        out = np.zeros(len(ends))
+        for lo, hi in gram_blocks(ends):
+            cut = slice(ends[lo] - self.n_grams[lo], ends[hi - 1])
+            parts = values[self.buckets[cut]] * self.shares[cut]
+            out[lo:hi] = np.add.reduceat(parts, ends[lo:hi] - self.n_grams[lo:hi] - cut.start)
+        return out
+
+    def margins(self, model: Model, rows: list[int]) -> np.ndarray:
+        words = self.word_values(model.values)
+        return np.array([words[self.docs[k]].sum() / (len(self.docs[k]) + PAD_WORDS) for k in rows]) + model.bias
+
+
+def grams_of(words: list[str], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(n-grams of each word, their buckets, their shares), word by word."""
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32)
+    at, bucket = subwords(words, buckets)
+    by_word = np.argsort(at, kind="stable")
+    share = shares(at, len(words))[by_word].astype(np.float32)
+    return np.bincount(at, minlength=len(words)), bucket[by_word].astype(np.int32), share
+
+
+def gram_blocks(ends: np.ndarray):
+    """Ranges of words with about BLOCK_GRAMS n-grams each, from the running numbers of n-grams."""
+    lo = 0
+    while lo < len(ends):
+        done = ends[lo - 1] if lo else 0
+        hi = max(int(np.searchsorted(ends, done + BLOCK_GRAMS, side="right")), lo + 1)
+        yield lo, hi
+        lo = hi
+
+
 def train(
     texts: list[str | None], labels: list[int], *, share: float | None = None, epochs: int = EPOCHS, width: int = WIDTH, buckets: int = BUCKETS
+) -> Model:
+    """``train_sample`` for texts at hand."""
+    return train_sample(Sample.of_texts(texts, buckets), labels, share=share, epochs=epochs, width=width, buckets=buckets)
+
+
+def train_sample(
+    sample: Sample, labels: list[int], *, share: float | None = None, epochs: int = EPOCHS, width: int = WIDTH, buckets: int = BUCKETS
 ) -> Model:
     """Fit vectors and softmax on four fifths of the rows, then the slope of their margin on the rest.
 
@@ -130,13 +192,14 @@ def train(
     """
     prior = log_odds(labels)
     outside = 0.0 if share is None else float(np.log(share / (1 - share))) - prior
-    rest = [k for k in range(len(texts)) if k % HELD_BACK == HELD_BACK - 1]
+    every = list(range(len(labels)))
+    rest = [k for k in every if k % HELD_BACK == HELD_BACK - 1]
     if len(set(labels)) == 2 and len(rest) >= LEAST_HELD_BACK:
-        kept = sorted(set(range(len(texts))) - set(rest))
-        model = _learn([texts[k] for k in kept], [labels[k] for k in kept], epochs, width, buckets)
-        slope, offset = _slope(model.margins([texts[k] for k in rest]), np.array([labels[k] for k in rest]))
+        kept = [k for k in every if k % HELD_BACK != HELD_BACK - 1]
+        model = _learn(sample, kept, labels, epochs, width, buckets)
+        slope, offset = _slope(sample.margins(model, rest), np.array([labels[k] for k in rest]))
     else:
-        model, slope, offset = _learn(texts, labels, epochs, width, buckets), 1.0, 0.0
+        model, slope, offset = _learn(sample, every, labels, epochs, width, buckets), 1.0, 0.0
     return Model(model.values * np.float32(slope), model.bias * slope + offset + outside)
 
 
@@ -156,29 +219,25 @@ def _slope(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return (float(at[0]), float(at[1])) if np.isfinite(at).all() and at[0] > 0 else (1.0, 0.0)
 
 
-def _learn(texts: list[str | None], labels: list[int], epochs: int, width: int, buckets: int) -> Model:
-    """Vectors and softmax together, by mini-batches with adaptive steps."""
-    prior = log_odds(labels)
-    if len(set(labels)) < 2:
-        return Model(np.zeros(buckets), prior)
+def _learn(sample: Sample, rows: list[int], labels: list[int], epochs: int, width: int, buckets: int) -> Model:
+    """Vectors and softmax together, by mini-batches with adaptive steps.
+
+    Only n-grams of the sample have vectors, and those of a batch are gone through in blocks, so memory
+    depends on the sample's words and not on the buckets or on how long the texts of a batch are.
+    """
+    docs = [sample.docs[k] for k in rows]
+    y = np.asarray([labels[k] for k in rows])
+    prior = log_odds(y.tolist())
+    values = np.zeros(buckets, np.float32)
+    if len(set(y.tolist())) < 2 or not len(sample.n_grams):
+        return Model(values, prior)
     rng = np.random.default_rng(SEED)
-    vocabulary: dict[str, int] = {}
-    docs = []
-    for text in texts:
-        ids = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in tokens(text)], np.int64)
-        docs.append(ids)
-    if not vocabulary:
-        return Model(np.zeros(buckets), prior)
-    at, bucket = subwords(list(vocabulary), buckets)
-    by_word = np.argsort(at, kind="stable")
-    share = shares(at, len(vocabulary))[by_word][:, None].astype(np.float32)
-    bucket = bucket[by_word].astype(np.int32)
-    n_grams = np.bincount(at, minlength=len(vocabulary))
-    first = np.concatenate([[0], np.cumsum(n_grams)])
-
-    y = np.asarray(labels)
-    vectors = rng.normal(0, START, (buckets, width)).astype(np.float32)
-    squares = np.full((buckets, 1), DAMPING, np.float32)
+    used, place = np.unique(sample.buckets, return_inverse=True)
+    place = place.astype(np.int32)
+    first = np.concatenate([[0], np.cumsum(sample.n_grams)])
+
+    vectors = rng.standard_normal((len(used), width), dtype=np.float32) * np.float32(START)
+    squares = np.full((len(used), 1), DAMPING, np.float32)
     weights = rng.normal(0, 0.5, (width, 2))
     bias = np.array([0.0, prior])
     w_squares, b_squares = np.full_like(weights, 1e-2), np.full(2, 1e-2)
@@ -191,19 +250,22 @@ def _learn(texts: list[str | None], labels: list[int], epochs: int, width: int,
             chosen = [k for k in order[start : start + BATCH_DOCS] if len(docs[k])]
             if not chosen:
                 continue
-            owner = np.repeat(np.arange(len(chosen)), [len(docs[k]) for k in chosen])
-            amounts = np.concatenate([np.full(len(docs[k]), GAIN / (len(docs[k]) + PAD_WORDS)) for k in chosen])
+            lengths = np.array([len(docs[k]) for k in chosen])
+            owner = np.repeat(np.arange(len(chosen)), lengths)
+            amounts = np.repeat(GAIN / (lengths + PAD_WORDS), lengths)
             words, inverse = np.unique(np.concatenate([docs[k] for k in chosen]), return_inverse=True)
-            # Bucket of every n-gram of the batch's words, word by word.
-            sizes = n_grams[words]
-            steps = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            places = np.repeat(first[words], sizes) + steps
-            grams, part = bucket[places], share[places]
-            touched, local = np.unique(grams, return_inverse=True)
-            starts = np.cumsum(sizes) - sizes
-            word_vectors = np.add.reduceat(vectors[grams] * part, starts)
-            doc_starts = np.searchsorted(owner, np.arange(len(chosen)))
-            x = np.add.reduceat(word_vectors[inverse] * amounts[:, None], doc_starts)
+            sizes = sample.n_grams[words]
+            ends = np.cumsum(sizes)
+            blocks = [
+                (lo, hi, ranges(first[words[lo:hi]], sizes[lo:hi])) for lo, hi in gram_blocks(ends)
+            ]
+            word_vectors = np.empty((len(words), width), np.float32)
+            for lo, hi, grams in blocks:
+                parts = vectors[place[grams]] * sample.shares[grams][:, None]
+                word_vectors[lo:hi] = np.add.reduceat(parts, ends[lo:hi] - sizes[lo:hi] - (ends[lo] - sizes[lo]))
+            x = np.stack(
+                [np.bincount(owner, weights=amounts * word_vectors[inverse, k], minlength=len(chosen)) for k in range(width)], 1
+            )
             z = x @ weights + bias
             z -= z.max(1, keepdims=True)
             p = np.exp(z)
@@ -212,11 +274,14 @@ def _learn(texts: list[str | None], labels: list[int], epochs: int, width: int,
             dx = p @ weights.T
             d_words = np.stack(
                 [np.bincount(inverse, weights=amounts * dx[owner, k], minlength=len(words)) for k in range(width)], 1
-            )
-            spread = np.repeat(d_words, sizes, axis=0) * part
-            d_vectors = np.stack(
-                [np.bincount(local, weights=spread[:, k], minlength=len(touched)) for k in range(width)], 1
-            )
+            ).astype(np.float32)
+            touched = np.unique(np.concatenate([np.unique(place[grams]) for _, _, grams in blocks]))
+            d_vectors = np.zeros((len(touched), width))
+            for lo, hi, grams in blocks:
+                local = np.searchsorted(touched, place[grams])
+                spread = np.repeat(d_words[lo:hi], sizes[lo:hi], axis=0) * sample.shares[grams][:, None]
+                for k in range(width):
+                    d_vectors[:, k] += np.bincount(local, weights=spread[:, k], minlength=len(touched))
             dw, db = x.T @ p / len(chosen), p.mean(0)
             w_squares += dw**2
             b_squares += db**2
@@ -224,8 +289,8 @@ def _learn(texts: list[str | None], labels: list[int], epochs: int, width: int,
             vectors[touched] -= rate * d_vectors / np.sqrt(squares[touched])
             weights -= RATE * dw / np.sqrt(w_squares)
             bias -= RATE * db / np.sqrt(b_squares)
-    side = weights[:, 1] - weights[:, 0]
-    return Model((GAIN * (vectors @ side)).astype(np.float32), float(bias[1] - bias[0]))
+    values[used] = GAIN * (vectors @ (weights[:, 1] - weights[:, 0]).astype(np.float32))
+    return Model(values, float(bias[1] - bias[0]))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -289,11 +354,49 @@ def fit(
         .join(F.broadcast(sample), "key")
         .groupBy("key", "label")
         .agg(F.max("text").alias("text"))
-        .orderBy(*order)
-        .collect()
     )
     ones, n = known.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count("label")).first()
-    return train([r["text"] for r in rows], [r["label"] for r in rows], share=(ones + 1) / (n + 2))
+    return train_sample(*_collected(rows, order), share=(ones + 1) / (n + 2))
+
+
+def _collected(rows: DataFrame, order: list[Column]) -> tuple[Sample, list[int]]:
+    """The sample as numbers: texts are cut on the executors, the driver sees digests of words and buckets."""
+
+    def cut(part: pa.RecordBatch) -> pa.RecordBatch:
+        words = [tokens(t) for t in part.column("text").to_pylist()]
+        return pa.record_batch(
+            {"key": part.column("key"), "label": part.column("label"), "words": pa.array(words, pa.list_(pa.string()))}
+        )
+
+    def grams(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, STEP_WORDS):
+                part = batch.slice(lo, STEP_WORDS)
+                counts, buckets, _ = grams_of(part.column("word").to_pylist(), BUCKETS)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+                yield pa.record_batch({"id": part.column("id"), "buckets": pa.ListArray.from_arrays(offsets, buckets)})
+
+    fields = f"key {rows.schema['key'].dataType.simpleString()}, label int, words array<string>"
+    held = write_and_read(map_slices(rows, "text", fields, lambda: cut), "toxicity-sample")
+    words = held.select(F.explode("words").alias("word")).distinct().select("word", F.xxhash64("word").alias("id"))
+    # Bounded by SAMPLE_CHARS, like all that the driver gets.
+    table = words.mapInArrow(grams, "id long, buckets array<int>").toArrow()
+    listed = table.column("buckets").combine_chunks()
+    ids = table.column("id").to_numpy()
+    # One order of words whatever the tasks were.
+    by_id = np.argsort(ids, kind="stable")
+    listed = listed.take(pa.array(by_id))
+    counts = pc.list_value_length(listed).to_numpy().astype(np.int64)
+    share = np.where(counts > 1, (1 - OWN_SHARE) / np.maximum(counts - 1, 1), 1.0)
+    weights = np.repeat(share, counts).astype(np.float32)
+    own = np.cumsum(counts) - counts
+    weights[own] = np.where(counts > 1, OWN_SHARE, 1.0)
+    table = held.orderBy(*order).select("label", F.transform("words", lambda w: F.xxhash64(w)).alias("ids")).toArrow()
+    found = table.column("ids").combine_chunks()
+    numbers = np.searchsorted(ids[by_id], found.flatten().to_numpy()).astype(np.int32)
+    docs = np.split(numbers, np.cumsum(pc.list_value_length(found).to_numpy())[:-1]) if len(found) else []
+    sample = Sample(docs, counts, listed.flatten().to_numpy(), weights)
+    return sample, table.column("label").to_pylist()
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", *, threshold: float = THRESHOLD) -> DataFrame:
