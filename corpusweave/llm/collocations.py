@@ -3,12 +3,12 @@
 1. Texts are lower-cased and cut into words and pieces once. A block of texts becomes a row: its distinct
    (language, word) pairs with their counts, and the stream of their numbers within the block.
 2. Words that are frequent enough to be part of a candidate get numbers; others cannot be, and become breaks.
-3. Blocks join the numbers of their words, and every task counts the phrases of two to four words in
-   filters, which travel by shard and are merged there. Only frequent phrases leave a shard.
+3. Blocks get the numbers of their words, from a shared list where that is small and by a join where it is
+   not, and every task counts the phrases of two, three and four words in filters, which travel by shard
+   and are merged there. Only frequent phrases leave a shard.
 4. Joins over the frequent phrases give the weakest cut of each, and whether a longer one stands for it.
 
-Word numbers are unique over all languages, so a phrase names its language. Nothing is shared with all
-tasks and nothing passes through the driver but the number of words, which sets bit widths and shards.
+Word numbers are unique over all languages, so a phrase names its language.
 
 A null text is empty, a null language counts as ``und``; an empty table gives an empty result. Rows count
 as often as they occur.
@@ -23,8 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusweave.functions.ordered import row_index
-from corpusweave.llm.batches import slices, write_and_read
-from corpusweave.llm.quotient_filter import KEY_WORDS, Filter, Keys, merged, shards
+from corpusweave.llm.batches import BROADCAST_BYTES, slices, write_and_read
+from corpusweave.llm.quotient_filter import Filter, Keys, merged, shards
 from corpusweave.llm.spans import byte_set, rows_of, text_array, text_bytes, word_spans
 
 LONGEST = 4
@@ -41,11 +41,12 @@ BREAKING = byte_set(BREAKS)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
-# Text bytes of a block, words of a longer text that one block holds, keys of one filter, keys of a shard.
-BLOCK_BYTES = 1 << 20
-BLOCK_WORDS = 1 << 17
-FILTER_KEYS = 1 << 22
-SHARD_KEYS = 1 << 21
+# Text bytes of a block, words of a longer text that one block holds, keys of the filters that a task
+# writes at a time, keys of a shard.
+BLOCK_BYTES = 2 << 20
+BLOCK_WORDS = 1 << 19
+FILTER_KEYS = 1 << 21
+SHARD_KEYS = 1 << 19
 LIMIT_BITS = 32
 
 WORDS = "array<struct<lang:string,word:string,n:bigint>>"
@@ -78,7 +79,7 @@ def _blocks(part: pa.RecordBatch):
             broken[begins[lo + 1 : end]] != broken[ends[lo : end - 1]]
         )
         at = np.arange(end - lo) + np.cumsum(new)
-        stream = np.zeros(at[-1] + 1, np.uint32)
+        stream = np.zeros(at[-1] + 1, np.uint16 if len(found) < 1 << 16 else np.uint32)
         stream[at] = codes + 1
         listed = pa.StructArray.from_arrays(
             [
@@ -90,11 +91,11 @@ def _blocks(part: pa.RecordBatch):
         )
         # Places of the stream from here on begin no phrase of this block.
         own = int(at[hi - lo - 1]) + 1
-        yield listed, stream.tobytes(), own
+        yield listed, stream, own
 
 
 def blocks(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
-    """(block, words, codes, own), written to the shared folder: texts are read once."""
+    """(block, words, codes, width, own), written to the shared folder: texts are read once."""
     source = docs.select(
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(NO_LANGUAGE)).alias("lang"),
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"),
@@ -108,12 +109,13 @@ def blocks(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame
                     yield pa.record_batch(
                         {
                             "words": pa.ListArray.from_arrays(offsets, listed),
-                            "codes": pa.array([stream], pa.binary()),
+                            "codes": pa.array([stream.tobytes()], pa.binary()),
+                            "width": pa.array([stream.itemsize], pa.int32()),
                             "own": pa.array([own], pa.int64()),
                         }
                     )
 
-    made = source.mapInArrow(run, f"words {WORDS}, codes binary, own long")
+    made = source.mapInArrow(run, f"words {WORDS}, codes binary, width int, own long")
     return write_and_read(made.withColumn("block", F.monotonically_increasing_id()), "phrase-blocks")
 
 
@@ -121,8 +123,11 @@ def word_counts(made: DataFrame) -> DataFrame:
     return made.select(F.explode("words").alias("w")).groupBy("w.lang", "w.word").agg(F.sum("w.n").alias("f"))
 
 
-def numbered(made: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Blocks with the codes and numbers of their frequent words, lists no longer than a block."""
+def joined_numbers(made: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Blocks with the codes and numbers of their frequent words, by a join on distinct words of blocks.
+
+    The lists of a block are no longer than its own.
+    """
     found = (
         made.select("block", F.posexplode("words").alias("code", "w"))
         .select("block", "code", "w.lang", "w.word")
@@ -130,97 +135,127 @@ def numbered(made: DataFrame, vocabulary: DataFrame) -> DataFrame:
         .groupBy("block")
         .agg(F.collect_list(F.struct("code", "id")).alias("found"))
     )
-    return made.select("block", "codes", "own").join(found, "block").select(
-        "codes", "own", F.col("found.code").alias("code"), F.col("found.id").alias("id")
+    joined = made.select("block", "codes", "width", "own").join(found, "block")
+    return joined.select("codes", "width", "own", F.col("found.code").alias("code"), F.col("found.id").alias("id"))
+
+
+def shared_numbers(made: DataFrame, vocabulary: DataFrame, limit: int):
+    """A function from a row of ``made`` to codes and numbers, or nothing for a vocabulary over ``limit`` bytes."""
+    size = vocabulary.agg(F.sum(F.octet_length("lang") + F.octet_length("word") + 16)).first()[0] or 0
+    if size > limit:
+        return None
+    # A word holds no line end, so the last one parts language and word.
+    listed = vocabulary.select(F.concat_ws("\n", "lang", "word").alias("word"), "id").toArrow()
+    shared = made.sparkSession.sparkContext.broadcast(
+        (listed.column("word").combine_chunks(), listed.column("id").to_numpy().astype(np.uint64))
     )
 
+    def find(row: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        words, ids = shared.value
+        lists = row.column("words").flatten()
+        at = pc.index_in(pc.binary_join_element_wise(lists.field("lang"), lists.field("word"), "\n"), words)
+        return np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False)), ids[at.drop_null().to_numpy()]
+
+    return find
+
+
+def _joined_row(row: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return row.column("code").flatten().to_numpy(), row.column("id").flatten().to_numpy().astype(np.uint64)
+
 
 def _phrases(ids: np.ndarray, own: int):
-    """Columns of KEY_WORDS numbers of all phrases of 2 to LONGEST words that begin before ``own``."""
+    """Columns of the numbers of all phrases of 2 to LONGEST words that begin before ``own``."""
     padded = np.concatenate([ids, np.zeros(LONGEST, np.uint64)])
     columns = [padded[k : k + own] for k in range(LONGEST)]
     whole = columns[0] > 0
     for length in range(2, LONGEST + 1):
         whole = whole & (columns[length - 1] > 0)
         at = np.flatnonzero(whole)
-        yield [columns[k][at] if k < length else np.zeros(len(at), np.uint64) for k in range(KEY_WORDS)]
+        yield [columns[k][at] for k in range(length)]
 
 
-def filters(mapped: DataFrame, bits: int, shard_bits: int) -> DataFrame:
-    """(shard, entries, ...): filters of what every task counts, flushed at a fixed number of keys."""
+STORED = ("runs", "remainders", "repeated", "counters")
 
-    def run(batches):
-        keys = Keys(bits)
-        held, size = [], 0
 
-        def flush():
-            left, right = (np.concatenate(x) for x in zip(*held, strict=True))
+def filters(made: DataFrame, find, bits: int, shard_bits: int) -> DataFrame:
+    """(words, shard, entries, ...): filters of what every task counts, flushed at a fixed number of keys.
+
+    ``find`` gives the codes of a block's frequent words and their numbers.
+    """
+
+    def flush(held):
+        for words, parts in held.items():
+            keys = Keys(words, bits)
+            left, right = (np.concatenate(x) for x in zip(*parts, strict=True))
             for shard, made in shards(keys, shard_bits, *keys.counted(left, right)):
                 yield pa.record_batch(
                     {
+                        "words": pa.array([words], pa.int32()),
                         "shard": pa.array([shard], pa.int64()),
                         "entries": pa.array([made.entries], pa.int64()),
                         "quotient_bits": pa.array([made.quotient_bits], pa.int32()),
-                        **{
-                            k: pa.array([getattr(made, k)], pa.binary())
-                            for k in ("runs", "remainders", "repeated", "counters")
-                        },
+                        **{k: pa.array([getattr(made, k)], pa.binary()) for k in STORED},
                     }
                 )
 
+    def run(batches):
+        held, size = {}, 0
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1)
-                stream = np.frombuffer(row.column("codes")[0].as_buffer(), np.uint32)
-                code = row.column("code").flatten().to_numpy()
+                width = np.uint16 if row.column("width")[0].as_py() == 2 else np.uint32
+                stream = np.frombuffer(row.column("codes")[0].as_buffer(), width)
+                code, number = find(row)
                 # Codes of words that have no number lead to 0, as breaks do.
                 table = np.zeros(int(stream.max(initial=0)) + 1, np.uint64)
-                table[code + 1] = row.column("id").flatten().to_numpy().astype(np.uint64)
+                table[code + 1] = number
                 for columns in _phrases(table[stream], row.column("own")[0].as_py()):
                     if len(columns[0]):
-                        held.append(keys.permute(columns))
+                        held.setdefault(len(columns), []).append(Keys(len(columns), bits).permute(columns))
                         size += len(columns[0])
                 if size >= FILTER_KEYS:
-                    yield from flush()
-                    held, size = [], 0
-        if held:
-            yield from flush()
+                    yield from flush(held)
+                    held, size = {}, 0
+        yield from flush(held)
 
-    schema = "shard long, entries long, quotient_bits int, runs binary, remainders binary, repeated binary, counters binary"
-    return mapped.mapInArrow(run, schema)
+    stored = ", ".join(f"{k} binary" for k in STORED)
+    return made.mapInArrow(run, f"words int, shard long, entries long, quotient_bits int, {stored}")
 
 
 def frequent_phrases(made: DataFrame, bits: int, shard_bits: int, least: int) -> DataFrame:
-    """(w1..w4, f) of all phrases of two or more words and at least ``least`` occurrences."""
+    """(w1..w4, f) of all phrases of two or more words and at least ``least`` occurrences; absent words are 0."""
 
     def run(batches):
-        keys = Keys(bits)
-        held, shard, entries = [], None, 0
+        held, at, entries = [], None, 0
 
         def settle():
-            left, right, counts = merged(keys, shard, held)
+            keys = Keys(at[0], bits)
+            left, right, counts = merged(keys, at[1], held)
             often = counts >= least
             columns = keys.restore(left[often], right[often])
+            columns += [np.zeros(int(often.sum()), np.uint64)] * (LONGEST - len(columns))
             arrays = [pa.array(c.astype(np.int64)) for c in columns] + [pa.array(counts[often].astype(np.int64))]
             return pa.RecordBatch.from_arrays(arrays, names=["w1", "w2", "w3", "w4", "f"])
 
         for batch in batches:
             for row in range(batch.num_rows):
                 one = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
-                if held and one["shard"] != shard:
+                place = one.pop("words"), one.pop("shard")
+                if held and place != at:
                     yield settle()
                     held, entries = [], 0
-                shard = one.pop("shard")
+                at = place
                 held.append(Filter(shard_bits=shard_bits, **one))
                 entries += one["entries"]
                 if entries >= 4 * SHARD_KEYS:
                     # Merge what there is, so that many small filters don't wait next to each other.
-                    held = [Filter.build(keys, shard_bits, *merged(keys, shard, held))]
+                    keys = Keys(at[0], bits)
+                    held = [Filter.build(keys, shard_bits, *merged(keys, at[1], held))]
                     entries = 0
         if held:
             yield settle()
 
-    sent = made.repartition("shard").sortWithinPartitions("shard")
+    sent = made.repartition("words", "shard").sortWithinPartitions("words", "shard")
     return sent.mapInArrow(run, "w1 long, w2 long, w3 long, w4 long, f long")
 
 
@@ -283,6 +318,7 @@ def mine(
     share: int = COVERED,
     first: int = FIRST,
     shard_keys: int = SHARD_KEYS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The ``first`` phrases of every language by score: lang, rank, phrase, a, l, r, n, score."""
     made = blocks(docs, lang, text)
@@ -295,8 +331,11 @@ def mine(
     if bits > LIMIT_BITS:
         raise ValueError(f"{bits} bits a word don't fit into a key of four")
     # Shards grow with the corpus, their size does not.
-    shard_bits = min(max((LONGEST - 1) * n_words // shard_keys, 1).bit_length() - 1, 2 * bits)
-    sent = filters(numbered(made, vocabulary), bits, shard_bits)
+    shard_bits = min(max(n_words // shard_keys, 1).bit_length() - 1, bits)
+    # A small vocabulary goes to every task, a larger one joins the distinct words of the blocks.
+    find = shared_numbers(made, vocabulary, broadcast_bytes)
+    source = made.drop("block") if find else joined_numbers(made, vocabulary)
+    sent = filters(source, find or _joined_row, bits, shard_bits)
     phrases = write_and_read(frequent_phrases(sent, bits, shard_bits, least), "phrases")
 
     scored = weakest_cuts(phrases, vocabulary)

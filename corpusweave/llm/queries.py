@@ -61,7 +61,8 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(marks).alias("text"),
     )
     records = chat_format.mixed_layouts(rows.unionByName(planted))
-    return chat_format.read_back(chat_format.render(chat_format.canonical_turns(records)))
+    # The roles of the table are canonical already, whatever they are called.
+    return chat_format.read_back(chat_format.render(chat_format.canonical_turns(records, roles={})))
 
 
 TOP_K_SQL = """

@@ -1,7 +1,7 @@
 """Counting quotient filters over packed word numbers, without loss.
 
-A key packs up to four word numbers of ``bits`` bits each into two halves. A Feistel network permutes it,
-so that quotients are even whatever the numbers are, and can be turned back. The first bits of the
+A key packs the word numbers of an n-gram, ``bits`` bits each, into two halves. A Feistel network permutes
+it, so that quotients are even whatever the numbers are, and can be turned back. The first bits of the
 permuted key choose the shard, the next ones are the quotient, and all others are stored as remainder:
 nothing is cut off, and a filter gives its keys and counts back exactly. A filter holds its entries in
 order, as runs of a quotient each: a bit vector with a one for every entry and a zero after each run, the
@@ -17,22 +17,23 @@ import numpy as np
 from corpusweave.llm.spans import mix
 
 ROUNDS = 4
-KEY_WORDS = 4
 U64 = np.uint64
 
 
 @dataclass(frozen=True)
 class Keys:
-    """Permuted keys of two halves of ``2 * bits`` bits each, or in one number where both fit into 64."""
+    """Permuted keys of n-grams of ``words`` (two or more) numbers below ``2 ** bits``."""
 
+    words: int
     bits: int
 
     @property
     def half(self) -> int:
-        return 2 * self.bits
+        return -(-self.words * self.bits // 2)
 
     @property
     def narrow(self) -> bool:
+        """Both halves fit into one number."""
         return 2 * self.half <= 64
 
     @property
@@ -43,9 +44,11 @@ class Keys:
         return mix(values + U64((k + 1) * 0xBF58476D1CE4E5B9 % (1 << 64))) & self.mask
 
     def permute(self, grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Halves of the permuted keys of KEY_WORDS columns of word numbers; absent words are 0."""
-        left = (grams[0] << U64(self.bits)) | grams[1]
-        right = (grams[2] << U64(self.bits)) | grams[3]
+        """Halves of the permuted keys of columns of word numbers."""
+        left, right = np.zeros_like(grams[0]), np.zeros_like(grams[0])
+        for column in grams:
+            left = (left << U64(self.bits)) | (right >> U64(self.half - self.bits))
+            right = ((right << U64(self.bits)) | column) & self.mask
         for k in range(ROUNDS):
             left, right = right, left ^ self._round(right, k)
         return left, right
@@ -53,8 +56,12 @@ class Keys:
     def restore(self, left: np.ndarray, right: np.ndarray) -> list[np.ndarray]:
         for k in reversed(range(ROUNDS)):
             left, right = right ^ self._round(left, k), left
-        low = U64((1 << self.bits) - 1)
-        return [left >> U64(self.bits), left & low, right >> U64(self.bits), right & low]
+        low, columns = U64((1 << self.bits) - 1), []
+        for _ in range(self.words):
+            columns.append(right & low)
+            right = (right >> U64(self.bits)) | ((left & low) << U64(self.half - self.bits))
+            left = left >> U64(self.bits)
+        return columns[::-1]
 
     def order(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Stable order; sorted runs that follow each other are merged rather than sorted."""

@@ -9,6 +9,8 @@ hashes are compared word by word, so the answer is exact.
 Three things keep groups of copies and frequent passages from meeting in one task:
 
 * A task sends equal packed strings once, from their earliest place; the later ones it knows to be repeats.
+  What it sends to one partition is one compressed row, for packed strings overlap and are longer than
+  the texts.
 * Minimisers that are frequent in the corpus are counted first. Windows of a frequent one travel
   singly, by a hash of the whole window, and equal ones are again sent once by every task.
 * Only repeats come back, as runs of windows. They are tied to the documents by key.
@@ -22,10 +24,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusweave.llm.batches import fresh, slices, write_and_read
+from corpusweave.llm.batches import SLICE_BYTES, fresh, map_slices, slices, write_and_read
 from corpusweave.llm.spans import (
     WHITE_SPACE,
     Powers,
@@ -38,6 +41,7 @@ from corpusweave.llm.spans import (
     text_bytes,
     word_spans,
 )
+from corpusweave.session import work_partitions
 
 WINDOW = 20
 MINIMISER = 5
@@ -47,13 +51,18 @@ FREQUENT = 4096
 SHARED = 1 << 20
 # Windows in one packed string, so that a text of one repeated word is cut too.
 LONGEST_RUN = 512
-# Words of one step, bytes of packed strings in which a task looks for equal ones, and bytes sorted at a time.
-STEP_WORDS = 1 << 17
-COMBINE_BYTES = 32 << 20
-SORT_BYTES = 16 << 20
-COMPARED = 1 << 16
+# Words of one step, bytes of packed strings in which a task looks for equal ones, bytes sorted at a time,
+# windows compared and minimisers counted at a time.
+STEP_WORDS = 1 << 16
+COMBINE_BYTES = 8 << 20
+SORT_BYTES = 6 << 20
+COMPARED = 1 << 15
+COUNTED = 1 << 20
+
+LEVEL = 3
 
 TRAVEL = "key long, packed string, doc long, copy long, start int, n int"
+PARCEL = "target int, rows int, docs int, body binary"
 RUNS = "doc long, copy long, start int, n int"
 SEPARATORS = byte_set(WHITE_SPACE)
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64))
@@ -136,7 +145,7 @@ def minimiser_counts(docs: DataFrame, text: str, window: int, minimiser: int) ->
                 for _, _, value, _, _ in runs_of_windows(Words(part.column(text)), window, minimiser):
                     held.append(value)
                     size += len(value)
-                if size >= 1 << 22:
+                if size >= COUNTED:
                     yield table(np.concatenate(held))
                     held, size = [], 0
         if held:
@@ -209,9 +218,63 @@ def combined(table: pa.Table) -> pa.Table:
     return pa.concat_tables([travel, told])
 
 
+def parcels(table: pa.Table, targets: int):
+    """(target, rows, docs, body): the rows of every target, each document of them once, compressed."""
+    places = Places(table)
+    key = table.column("key").to_numpy()
+    target = (key.view(np.uint64) % np.uint64(targets)).astype(np.int64)
+    # Rows of a target in the order of the documents, which compresses best.
+    order = places.order[np.argsort(target[places.order], kind="stable")]
+    table, target, rank, key = table.take(pa.array(order)).combine_chunks(), target[order], places.rank[order], key[order]
+    packed = table.column("packed").combine_chunks()
+    data, borders = text_bytes(packed)
+    data = memoryview(np.ascontiguousarray(data))
+    lengths = np.where(packed.is_null().to_numpy(zero_copy_only=False), -1, np.diff(borders)).astype(np.int32)
+    doc, copy = table.column("doc").combine_chunks(), table.column("copy").to_numpy()
+    null, doc = doc.is_null().to_numpy(zero_copy_only=False), doc.fill_null(0).to_numpy(zero_copy_only=False)
+    start, n = table.column("start").to_numpy(), table.column("n").to_numpy()
+    numbers, heads = np.unique(target, return_index=True)
+    packer = zstandard.ZstdCompressor(level=LEVEL)
+    out = []
+    for number, lo, hi in zip(numbers.tolist(), heads.tolist(), np.append(heads[1:], len(target)).tolist(), strict=True):
+        new = np.append(True, rank[lo + 1 : hi] != rank[lo : hi - 1])
+        at = lo + np.flatnonzero(new)
+        fields = [doc[at], copy[at], key[lo:hi], null[at].astype(np.uint8)]
+        fields += [np.diff(at, append=hi).astype(np.int32), start[lo:hi], n[lo:hi], lengths[lo:hi]]
+        body = b"".join([*[f.tobytes() for f in fields], data[borders[lo] : borders[hi]]])
+        out.append((number, hi - lo, len(at), packer.compress(body)))
+    columns = list(zip(*out, strict=True))
+    types = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
+    arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=["target", "rows", "docs", "body"])
+
+
+def unpacked(rows: int, docs: int, body: bytes) -> pa.RecordBatch:
+    """The rows of one parcel."""
+    data = zstandard.ZstdDecompressor().decompress(body)
+    at = 0
+
+    def take(kind, count: int) -> np.ndarray:
+        nonlocal at
+        found = np.frombuffer(data, kind, count, at)
+        at += found.nbytes
+        return found
+
+    doc, copy, key, null = take("<i8", docs), take("<i8", docs), take("<i8", rows), take("u1", docs)
+    per_doc, start, n, lengths = (take("<i4", k) for k in (docs, rows, rows, rows))
+    row = np.repeat(np.arange(docs), per_doc)
+    borders = np.concatenate([[0], np.cumsum(np.maximum(lengths, 0), dtype=np.int64)])
+    packed = text_array(np.frombuffer(data, np.uint8, offset=at), borders).cast(pa.string())
+    packed = pc.if_else(pa.array(lengths >= 0), packed, pa.scalar(None, pa.string()))
+    arrays = [key, packed, pa.array(doc[row], mask=null[row] > 0), copy[row], start, n]
+    return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["key", "packed", "doc", "copy", "start", "n"])
+
+
 def super_kmers(docs: DataFrame, text: str, window: int, minimiser: int, frequent: np.ndarray) -> DataFrame:
-    """Packed strings with their bucket key; ``docs`` has doc, copy and the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    """Packed strings in the partitions of their buckets; ``docs`` has doc, copy and the text."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(frequent)
+    targets = work_partitions(spark)
 
     def packed_rows(part: pa.RecordBatch):
         words, singles = Words(part.column(text)), shared.value
@@ -244,12 +307,18 @@ def super_kmers(docs: DataFrame, text: str, window: int, minimiser: int, frequen
                     held.append(table)
                     size += table.nbytes
                 if size >= COMBINE_BYTES:
-                    yield from combined(pa.concat_tables(held)).to_batches()
+                    yield parcels(combined(pa.concat_tables(held)), targets)
                     held, size = [], 0
         if held:
-            yield from combined(pa.concat_tables(held)).to_batches()
+            yield parcels(combined(pa.concat_tables(held)), targets)
+
+    def unpack(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield unpacked(*[batch.column(c)[k].as_py() for c in ("rows", "docs", "body")])
 
-    return docs.select("doc", "copy", text).mapInArrow(run, TRAVEL)
+    sent = docs.select("doc", "copy", text).mapInArrow(run, PARCEL)
+    return sent.repartitionById(targets, F.col("target")).mapInArrow(unpack, TRAVEL)
 
 
 def equal_windows(ids: np.ndarray, at: np.ndarray, window: int, place: np.ndarray, bits: int = 64):
@@ -342,7 +411,8 @@ def repeated_runs(kmers: DataFrame, window: int) -> DataFrame:
         if held:
             yield from settle(pa.concat_tables(held))
 
-    return kmers.repartition("key").sortWithinPartitions("key").mapInArrow(run, RUNS)
+    # All rows of a key are in one partition already.
+    return kmers.sortWithinPartitions("key").mapInArrow(run, RUNS)
 
 
 def deduplicate(
@@ -366,25 +436,45 @@ def deduplicate(
     names = fresh(docs, "body", "doc", "copy", "runs")
     body, doc, copy, runs = names["body"], names["doc"], names["copy"], names["runs"]
     source = docs.select(
-        *[F.col(f"`{c}`") for c in kept],
-        F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias(body),
+        *[F.col(f"`{c}`") for c in kept if c != text],
+        F.col(f"`{text}`").cast("string").alias(body),
         F.col(f"`{key}`").cast("long").alias(doc),
-    ).withColumn(copy, F.xxhash64(body))
-    plain = source.select(F.col(doc).alias("doc"), F.col(copy).alias("copy"), F.col(body).alias("text"))
+    ).withColumn(copy, F.xxhash64(F.coalesce(body, F.lit(""))))
+    plain = source.select(
+        F.col(doc).alias("doc"), F.col(copy).alias("copy"), F.coalesce(body, F.lit("")).alias("text")
+    )
     often = frequent_minimisers(plain, "text", window, minimiser, frequent)
     found = repeated_runs(super_kmers(plain, "text", window, minimiser, often), window)
     # As many runs as a document has repeated passages: bounded by the document itself.
     found = found.groupBy("doc", "copy").agg(F.collect_list(F.struct("start", "n")).alias(runs))
     found = found.select(F.col("doc").alias("_run_doc"), F.col("copy").alias("_run_copy"), runs)
-    joined = source.join(
+
+    columns = source.columns
+
+    def squeeze(part: pa.RecordBatch) -> pa.RecordBatch:
+        packer = zstandard.ZstdCompressor(level=1)
+        texts = part.column(body).cast(pa.binary()).to_pylist()
+        squeezed = pa.array([t if t is None else packer.compress(t) for t in texts], pa.binary())
+        arrays = [squeezed if c == body else part.column(c) for c in columns]
+        return pa.RecordBatch.from_arrays(arrays, names=columns)
+
+    kinds = [
+        f"`{f.name}` {'binary' if f.name == body else f.dataType.simpleString()}" for f in source.schema.fields
+    ]
+    carried = map_slices(source, body, ", ".join(kinds), lambda: squeeze)
+    joined = carried.join(
         found, F.col(doc).eqNullSafe(F.col("_run_doc")) & (F.col(copy) == F.col("_run_copy")), "left"
-    ).select(
-        *[F.col(f"`{c}`") for c in kept], body, F.col(f"{runs}.start").alias(f"{runs}_start"), F.col(f"{runs}.n").alias(f"{runs}_n")
-    )
-    fields = [f"`{c}` {joined.schema[c].dataType.simpleString()}" for c in kept]
+    ).drop(doc, copy, "_run_doc", "_run_copy")
+    joined = joined.select(
+        "*", F.col(f"{runs}.start").alias(f"{runs}_start"), F.col(f"{runs}.n").alias(f"{runs}_n")
+    ).drop(runs)
+    fields = [f"`{c}` {'string' if c == text else joined.schema[c].dataType.simpleString()}" for c in kept]
 
     def cut(part: pa.RecordBatch) -> pa.RecordBatch:
-        words = Words(part.column(body))
+        unpacker = zstandard.ZstdDecompressor()
+        texts = [t if t is None else unpacker.decompress(t) for t in part.column(body).to_pylist()]
+        texts = pa.array(texts, pa.binary()).cast(pa.string())
+        words = Words(texts)
         starts, sizes = part.column(f"{runs}_start"), part.column(f"{runs}_n")
         per_row = pc.list_value_length(starts).fill_null(0).to_numpy(zero_copy_only=False)
         at = np.repeat(words.first[:-1], per_row) + starts.flatten().to_numpy(zero_copy_only=False)
@@ -403,14 +493,14 @@ def deduplicate(
         out = np.full(int(ends[-1]) if len(ends) else 0, 0x20, np.uint8)
         out[ranges(ends - lengths, lengths)] = words.data[ranges(words.begins[stays], lengths)]
         borders = np.concatenate([[0], ends])[np.searchsorted(row, np.arange(part.num_rows + 1))]
-        arrays = [part.column(c) for c in kept]
+        arrays = [texts if c == text else part.column(c) for c in kept]
         arrays += [pa.array(words.counts, pa.int64()), pa.array(removed, pa.int64())]
         arrays.append(text_array(out, borders).cast(pa.string()))
         return pa.RecordBatch.from_arrays(arrays, names=[*kept, *results])
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, body):
+            for part in slices(batch, body, SLICE_BYTES // 4):
                 yield cut(part)
 
     return joined.mapInArrow(run, ", ".join([*fields, "n_words long", "n_removed long", "kept_text string"]))

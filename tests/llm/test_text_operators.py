@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import string
@@ -177,6 +178,61 @@ def test_formatted_conversations_read_back(spark):
     assert chat_format.read_back(chat_format.render(chat_format.turn_rows(table.limit(0)))).count() == 0
 
 
+def test_nested_and_optional_fields():
+    layouts = chat_format.Layouts()
+    assert layouts.turns('{"data": {"prompt": "a", "answer": "b"}}') == [("user", "a"), ("assistant", "b")]
+    assert layouts.turns('{"messages": [{"role": "user", "content": "a", "name": "x"}, {"role": "gpt", "content": null}]}') == [
+        ("user", "a"), ("assistant", "")
+    ]
+    assert layouts.turns('{"messages": [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "text", "text": "b"}]}]}') == [
+        ("user", "ab")
+    ]
+    assert layouts.turns('{"messages": []}') == layouts.turns('{"messages": null}') == []
+    assert layouts.turns('{"messages": [{"role": "user", "content": 1.5}, {"role": "user", "content": true}]}') == [
+        ("user", "1.5"), ("user", "true")
+    ]
+    deep = chat_format.Mapping(("a.b[].c.who", "a.b[].c.what"), items=("a.b", "c.who", "c.what"), optional=("a.id",))
+    own = chat_format.Layouts([deep])
+    assert own.turns('{"a": {"id": 3, "b": [{"c": {"who": "user", "what": "x"}}]}}') == [("user", "x")]
+    assert own.turns('{"a": {"b": []}}') == []
+
+
+def test_odd_records_are_rows_with_a_reason(spark):
+    odd = [
+        "not json", "[1, 2]", '"text"', "{}", '{"messages": [{"role": "user", "content": "a", "other": 1}]}',
+        '{"prompt": {"deep": "a"}}', '{"prompt": ["a"], "completion": "b"}', "[" * 100_000,
+    ]
+    good = ['{"prompt": "a"}', None, '{"messages": []}']
+    rows = [(k, 0, r, "x") for k, r in enumerate(odd + good)]
+    records = spark.createDataFrame(rows, "conv_id long, position long, record string, text string")
+    rejects = {r["conv_id"]: r for r in chat_format.rejected(records).collect()}
+    assert sorted(rejects) == list(range(len(odd)))
+    assert all(r["reason"] and r["record"] == odd[k] for k, r in rejects.items())
+    assert [tuple(r) for r in chat_format.canonical_turns(records).collect()] == [(len(odd), 0, 0, "user", "a")]
+    assert chat_format.fingerprints(records).count() >= 5
+    assert chat_format.canonical_turns(records.limit(0)).count() == 0
+
+
+def test_the_query_meets_every_layout(spark):
+    """All layouts, several turns in a record, and one conversation over many tasks."""
+    rows = [(c, t, role, f"{c} {t}") for c in range(120) for t, role in enumerate(["system", "user", "assistant", "user", "assistant", "tool"])]
+    rows += [(c, t, role, f"{c} {t}") for c in range(200, 320) for t, role in enumerate(["user", "assistant"] * 3)]
+    rows += [(500, t, ["user", "assistant"][t % 2], "long " * 9) for t in range(4000)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    records = chat_format.mixed_layouts(table)
+    seen = {r["fingerprint"] for r in chat_format.fingerprints(records).collect()}
+    assert all(seen & m.fingerprints() for m in chat_format.LAYOUTS)
+    assert chat_format.rejected(records).count() == 0
+    formatted = chat_format.render(chat_format.canonical_turns(records, roles={}))
+    assert formatted.filter("conv_id = 500").count() > 1
+    out = {r["conv_id"]: r for r in chat_format.read_back(formatted).collect()}
+    assert len(out) == 241
+    for conv in (0, 250, 500):
+        own = sorted(r[1:] for r in rows if r[0] == conv)
+        assert out[conv]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in own).encode()).hexdigest()
+        assert out[conv]["loss_chars"] == sum(len(x) for _, r, x in own if r == "assistant")
+
+
 # 8. Mixing
 
 
@@ -262,13 +318,14 @@ def test_long_texts_leave_the_other_rows_in_the_sample(spark, monkeypatch, long_
     rng = random.Random(11)
     clean = ["".join(rng.choices("abcdefgh", k=rng.randrange(3, 8))) for _ in range(200)]
     seen = {}
-    train = toxicity.train
+    collected = toxicity._collected
 
-    def watched(texts, labels, **options):
-        seen.update(texts=texts, labels=labels)
-        return train(texts, labels, **options)
+    def watched(rows, order):
+        sampled = rows.collect()
+        seen.update(texts=[r["text"] for r in sampled], labels=[r["label"] for r in sampled])
+        return collected(rows, order)
 
-    monkeypatch.setattr(toxicity, "train", watched)
+    monkeypatch.setattr(toxicity, "_collected", watched)
     ids = spark.range(600).filter(~toxicity.held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id")
     keys = [r["id"] for r in ids.limit(250).collect()]
     rows, labels = [], []
@@ -289,6 +346,94 @@ def test_long_texts_leave_the_other_rows_in_the_sample(spark, monkeypatch, long_
     assert bad >= toxicity.THRESHOLD > good
 
 
+def plain_buckets(word, buckets):
+    """Own bucket and those of the n-grams, digit by digit."""
+    odd, most = 0x9E3779B97F4A7C15, (1 << 64) - 1
+    mixed = [(ord(c) + 1) * odd & most for c in f"<{word}>"]
+    own = 0
+    for k, x in enumerate(mixed):
+        x = x * (2 * k + 1) & most
+        own += x ^ (x >> 31)
+    keys = [own * odd & most]
+    for n in toxicity.GRAMS:
+        for s in range(len(mixed) - n + 1):
+            key = n
+            for x in mixed[s : s + n]:
+                key = (key ^ x) * odd & most
+                key ^= key >> 29
+            keys.append(key * odd & most)
+    return [(k >> 40) % buckets for k in keys]
+
+
+def plain_share(count):
+    return [1.0] if count == 1 else [toxicity.OWN_SHARE] + [(1 - toxicity.OWN_SHARE) / (count - 1)] * (count - 1)
+
+
+def test_scores_add_up_from_ngrams_one_by_one():
+    rng, np = random.Random(5), pytest.importorskip("numpy")
+    values = np.random.default_rng(5).normal(0, 3, 512).astype(np.float32)
+    model = toxicity.Model(values, -0.7)
+    texts = ["", None, "A a", "Nasty, nasty creature_word 12", "é" * 30, " ".join("".join(rng.choices("abé", k=5)) for _ in range(90))]
+    for text, score in zip(texts, model.scores(texts), strict=True):
+        words = sorted({w.lower() for w in re.findall(r"[^\W_]+", text or "")})
+        total = 0.0
+        for word in words:
+            found = plain_buckets(word, 512)
+            total += sum(float(values[b]) * s for b, s in zip(found, plain_share(len(found)), strict=True))
+        margin = total / (len(words) + toxicity.PAD_WORDS) - 0.7
+        assert score == pytest.approx(1 / (1 + math.exp(-margin)), rel=1e-5)
+
+
+def test_training_steps_equal_dense_ones(monkeypatch):
+    """The same steps with one dense matrix of words by n-grams."""
+    np = pytest.importorskip("numpy")
+    monkeypatch.setattr(toxicity, "BLOCK_GRAMS", 30)
+    monkeypatch.setattr(toxicity, "BATCH_DOCS", 4)
+    monkeypatch.setattr(toxicity, "LEAST_STEPS", 6)
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("abcd", k=rng.randrange(1, 9))) for _ in range(rng.randrange(0, 9))) for _ in range(10)]
+    labels = [k % 2 for k in range(10)]
+    buckets, width = 64, 3
+    model = toxicity.train(texts, labels, epochs=2, width=width, buckets=buckets)
+
+    docs = [toxicity.tokens(t) for t in texts]
+    vocabulary = sorted({w for d in docs for w in d})
+    every = {w: plain_buckets(w, buckets) for w in vocabulary}
+    used = sorted({b for found in every.values() for b in found})
+    dense = np.zeros((len(vocabulary), len(used)))
+    for row, word in enumerate(vocabulary):
+        for b, s in zip(every[word], plain_share(len(every[word])), strict=True):
+            dense[row, used.index(b)] += s
+    bags = np.array([[toxicity.GAIN * (w in d) / (len(d) + toxicity.PAD_WORDS) for w in vocabulary] for d in docs])
+    draw = np.random.default_rng(toxicity.SEED)
+    vectors = draw.standard_normal((len(used), width), dtype=np.float32).astype(float) * toxicity.START
+    squares = np.full(len(used), toxicity.DAMPING)
+    weights, prior = draw.normal(0, 0.5, (width, 2)), toxicity.log_odds(labels)
+    bias, w_squares, b_squares = np.array([0.0, prior]), np.full((width, 2), 1e-2), np.full(2, 1e-2)
+    for epoch in range(2):
+        order = draw.permutation(10)
+        for start in range(0, 10, 4):
+            chosen = [k for k in order[start : start + 4] if docs[k]]
+            x = bags[chosen] @ dense @ vectors
+            z = x @ weights + bias
+            p = np.exp(z) / np.exp(z).sum(1, keepdims=True) - np.eye(2)[[labels[k] for k in chosen]]
+            d_vectors = dense.T @ bags[chosen].T @ p @ weights.T
+            touched = (dense.T @ bags[chosen].T).any(1)
+            dw, db = x.T @ p / len(chosen), p.mean(0)
+            w_squares += dw**2
+            b_squares += db**2
+            squares[touched] += (d_vectors[touched] ** 2).mean(1)
+            rate = toxicity.VECTOR_RATE * (1 - epoch / 2)
+            vectors[touched] -= rate * d_vectors[touched] / np.sqrt(squares[touched])[:, None]
+            weights = weights - toxicity.RATE * dw / np.sqrt(w_squares)
+            bias = bias - toxicity.RATE * db / np.sqrt(b_squares)
+    side = weights[:, 1] - weights[:, 0]
+    expected = np.zeros(buckets)
+    expected[used] = toxicity.GAIN * (vectors @ side)
+    assert np.allclose(model.values, expected, rtol=1e-3, atol=1e-4)
+    assert model.bias == pytest.approx(bias[1] - bias[0], rel=1e-4)
+
+
 # 10. Quality rules
 
 
