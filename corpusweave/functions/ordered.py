@@ -9,9 +9,10 @@ at most two of those, so the carry table has at most ``2 * blocks`` rows and may
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from corpusweave.session import durable
@@ -19,6 +20,20 @@ from corpusweave.session import durable
 BLOCK = "_block"
 
 
+@dataclass(frozen=True)
+class Fold:
+    """A state of all rows up to one, that two parts of the rows can be put together to.
+
+    ``local(window)`` is the state over a window of one block, ``block`` the aggregate of a whole block,
+    ``carry(states)`` the state of an array of blocks, and ``joined(carry, local)`` that of both.
+    """
+
+    local: Callable[[WindowSpec], Column]
+    block: Column
+    carry: Callable[[Column], Column]
+    joined: Callable[[Column, Column], Column]
+
+
 def _range_parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -60,6 +75,7 @@ def with_ordered(
     last: Mapping[str, Column] | None = None,
     lag: Mapping[str, Column] | None = None,
     lead: Mapping[str, Column] | None = None,
+    folds: Mapping[str, Fold] | None = None,
 ) -> DataFrame:
     """Add ordered columns per key.
 
@@ -68,11 +84,12 @@ def with_ordered(
     ``totals``  sum over the whole key, on every row
     ``last``    latest non-null value up to and including the row (forward fill)
     ``lag`` / ``lead``  value of the previous / next row
+    ``folds``   states up to and including the row, see ``Fold``
 
     ``order`` must make the rows of a key distinct.
     """
     sums, totals = dict(sums or {}), dict(totals or {})
-    last, lag, lead = dict(last or {}), dict(lag or {}), dict(lead or {})
+    last, lag, lead, folds = dict(last or {}), dict(lag or {}), dict(lead or {}), dict(folds or {})
     if index:
         sums[index] = F.lit(1)
     inputs = {
@@ -100,6 +117,7 @@ def with_ordered(
         ],
         *[F.max_by(F.struct(f"_g_{k}"), position).alias(f"_g_{k}") for k in lag],
         *[F.min_by(F.struct(f"_d_{k}"), position).alias(f"_d_{k}") for k in lead],
+        *[f.block.alias(f"_a_{k}") for k, f in folds.items()],
     )
     across = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     ranked = across.orderBy(BLOCK)
@@ -114,6 +132,8 @@ def with_ordered(
             *[F.last(f"_f_{k}", ignorenulls=True).over(before).alias(f"_cf_{k}") for k in last],
             *[F.lag(f"_g_{k}").over(ranked).alias(f"_cg_{k}") for k in lag],
             *[F.lead(f"_d_{k}").over(ranked).alias(f"_cd_{k}") for k in lead],
+            # At most one state per block.
+            *[f.carry(F.collect_list(f"_a_{k}").over(before)).alias(f"_ca_{k}") for k, f in folds.items()],
         )
     )
 
@@ -129,6 +149,7 @@ def with_ordered(
         *[F.last(f"_f_{k}", ignorenulls=True).over(upto).alias(f"_lf_{k}") for k in last],
         *[F.lag(f"_g_{k}").over(local).alias(f"_lg_{k}") for k in lag],
         *[F.lead(f"_d_{k}").over(local).alias(f"_ld_{k}") for k in lead],
+        *[f.local(upto).alias(f"_la_{k}") for k, f in folds.items()],
         *([first.alias("_first")] if lag else []),
         *([final.alias("_final")] if lead else []),
     )
@@ -150,4 +171,7 @@ def with_ordered(
         made.append(
             F.when(F.col("_final"), F.col(f"_cd_{k}")[f"_d_{k}"]).otherwise(F.col(f"_ld_{k}")).alias(k)
         )
+    for k, f in folds.items():
+        joined = f.joined(F.col(f"_ca_{k}"), F.col(f"_la_{k}"))
+        made.append(F.when(F.col(f"_ca_{k}").isNull(), F.col(f"_la_{k}")).otherwise(joined).alias(k))
     return out.select(*columns, *made)

@@ -1,12 +1,10 @@
 """Byte-pair encoding on tables: learning merges, encoding and decoding documents.
 
-Learning works on the distinct-piece table, never on the corpus. Each round is one pre-aggregated
-shuffle of pair counts whose top rows reach the driver; the merges chosen there are applied as
-native string replacements. The driver holds the merges, a bounded top of the pair counts and a
-bounded sample of frequent pieces.
+Learning works on the distinct-piece table, never on the corpus; ``merge_learning`` says how. Encoding
+and decoding are map-only.
 """
 
-from collections import Counter
+import heapq
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
 
@@ -17,21 +15,14 @@ from pyspark.sql import types as T
 
 from corpusweave.functions import symbols as S
 from corpusweave.functions.patterns import GPT2_PATTERN
+from corpusweave.operators.merge_learning import BASE_SIZE, learn_merges
 from corpusweave.operators.pretok import encoding_pieces, piece_counts
-from corpusweave.session import durable, work_partitions
 
-BASE_SIZE = 256
-# Rows of the pair-count table seen by the driver in one round; doubled while ties need more.
+# Frequent pairs that correct the guesses of a round of learning.
 TOP_PAIRS = 512
-# Merges guessed ahead per round, and the bounded sample the guesses come from.
-DRAFT_STEPS = 16
-SAMPLE_ROWS = 16384
-SAMPLE_SEQUENCE_LENGTH = 64
-# Rounds between in-memory refreshes, and between reliable checkpoints, of the working table.
-CACHE_ROUNDS = 4
-CHECKPOINT_ROUNDS = 32
-# Pieces remembered by one encoding task.
+# Pieces remembered by one encoding task, and the symbols of those that are.
 PIECE_CACHE = 200_000
+SHORT_PIECE = 64
 
 
 @dataclass
@@ -93,239 +84,6 @@ def merge_symbols(symbols: Column, left: int, right: int, new_id: int) -> Column
     )
 
 
-class _Descending:
-    """Sort key that turns byte order around."""
-
-    __slots__ = ("value",)
-
-    def __init__(self, value):
-        self.value = value
-
-    def __lt__(self, other):
-        return other.value < self.value
-
-    def __eq__(self, other):
-        return other.value == self.value
-
-
-def _rank_key(pair, count, vocab, tie):
-    left, right = pair
-    if tie == "bytes":
-        return (-count, _Descending(vocab[left]), _Descending(vocab[right]), -left, -right)
-    return (-count, left, right)
-
-
-def _draft(sample, known, steps, vocab, next_id, tie):
-    """Guess the next merges from a bounded sample of frequent sequences.
-
-    Only a guess: every merge is checked against exact counts before it is used. ``known`` holds
-    exact counts of the current top pairs and corrects the sample for the part it does not see.
-    """
-    vocab, guess, counts = dict(vocab), [], Counter()
-    for seq, n in sample:
-        for pair in zip(seq, seq[1:]):
-            counts[pair] += n
-    # How many times more often a pair occurs in the whole table than in the sample.
-    scale = {p: c / counts[p] for p, c in known.items() if counts[p]}
-    usual = sum(known.values()) / max(1, sum(counts[p] for p in known)) if known else 1.0
-    grown = {}
-    for i in range(steps):
-        estimate = {
-            p: c * (scale.get(p) or max(grown.get(p[0], 0), grown.get(p[1], 0)) or usual)
-            for p, c in counts.items()
-            if c > 0
-        }
-        if not estimate:
-            break
-        top = max(estimate.values())
-        best = min(
-            (p for p, c in estimate.items() if c == top),
-            key=lambda p: _rank_key(tuple(map(S.symbol_id, p)), 0, vocab, tie),
-        )
-        left, right = map(S.symbol_id, best)
-        new = next_id + i
-        vocab[new] = vocab[left] + vocab[right]
-        grown[S.symbol(new)] = top / counts[best]
-        guess.append((left, right, new))
-        joined, made, changed = "".join(best), S.symbol(new), []
-        for seq, n in sample:
-            if joined in seq:
-                for pair in zip(seq, seq[1:]):
-                    counts[pair] -= n
-                seq = seq.replace(joined, made)
-                for pair in zip(seq, seq[1:]):
-                    counts[pair] += n
-            changed.append((seq, n))
-        sample = changed
-    return guess
-
-
-def _apply_to_sample(sample, merges):
-    for left, right, new in merges:
-        pair, made = S.symbol(left) + S.symbol(right), S.symbol(new)
-        sample = [(seq.replace(pair, made) if pair in seq else seq, n) for seq, n in sample]
-    return [(seq, n) for seq, n in sample if len(seq) > 1]
-
-
-def _counts_along(work: DataFrame, guess, top: int):
-    """Exact pair counts before and after every guessed merge, in one pre-aggregated shuffle.
-
-    A sequence is kept once per state it takes, with the range of steps for which it holds.
-    Returns the rows whose largest count over all steps is among the ``top`` largest.
-    """
-    steps = len(guess)
-    start = F.struct(F.lit(0).alias("step"), F.col("symbols").alias("s"))
-    states = F.array(start)
-    if guess:
-        constants = F.arrays_zip(
-            S.literal_array([S.symbol(a) + S.symbol(b) for a, b, _ in guess]).alias("pair"),
-            S.literal_array([S.symbol(c) for _, _, c in guess]).alias("made"),
-            F.sequence(F.lit(1), F.lit(steps)).alias("step"),
-        )
-
-        def advance(acc, m):
-            now = F.element_at(acc, -1)["s"]
-            return F.when(
-                F.contains(now, m["pair"]),
-                F.concat(
-                    acc,
-                    F.array(F.struct(m["step"].alias("step"), F.replace(now, m["pair"], m["made"]).alias("s"))),
-                ),
-            ).otherwise(acc)
-
-        states = F.aggregate(constants, states, advance)
-    spans = (
-        work.select("n", states.alias("states"))
-        .select("n", F.posexplode("states").alias("at", "state"), "states")
-        .select(
-            "n",
-            F.col("state.step").alias("since"),
-            F.coalesce(F.get("states", F.col("at") + 1)["step"], F.lit(steps + 1)).alias("until"),
-            F.explode(_pair_strings(F.col("state.s"))).alias("pair"),
-        )
-    )
-    # The first aggregation carries one plain sum; the second sees at most one row per span of steps.
-    summed = spans.groupBy("pair", "since", "until").agg(F.sum("n").alias("n"))
-    counts = summed.groupBy("pair").agg(
-        *[F.expr(f"sum(if(since <= {i} AND until > {i}, n, 0L)) AS c{i}") for i in range(steps + 1)]
-    )
-    names = ", ".join(f"c{i}" for i in range(steps + 1))
-    rows = (
-        counts.selectExpr("pair", f"array({names}) AS counts")
-        .withColumn("peak", F.array_max("counts"))
-        .orderBy(F.col("peak").desc(), "pair")
-        .limit(top)
-        .collect()
-    )
-    return rows
-
-
-def _accept(rows, complete, guess, vocab, next_id, room, tie, min_frequency):
-    """True merges along the guess: all that agree, and the real one where it first differs.
-
-    Returns the merges and whether learning is over; no merge and not over means that ties reach
-    the cut of ``rows`` and more rows are needed.
-    """
-    floor = 0 if complete else rows[-1]["peak"]
-    vocab, merges = dict(vocab), []
-    for step in range(len(guess) + 1):
-        if len(merges) >= room:
-            break
-        top = max((r["counts"][step] for r in rows), default=0)
-        if top <= floor:
-            return merges, complete
-        if top < min_frequency:
-            return merges, True
-        ties = [tuple(map(S.symbol_id, r["pair"])) for r in rows if r["counts"][step] == top]
-        left, right = min(ties, key=lambda p: _rank_key(p, 0, vocab, tie))
-        new = next_id + step
-        merges.append((left, right, new))
-        vocab[new] = vocab[left] + vocab[right]
-        if step == len(guess) or merges[-1] != guess[step]:
-            break
-    return merges, False
-
-
-def learn_merges(
-    sequences: DataFrame,
-    n_merges: int,
-    *,
-    symbols: str = "symbols",
-    weight: str = "n",
-    tie: str = "bytes",
-    min_frequency: int = 1,
-    draft_steps: int = DRAFT_STEPS,
-) -> list[tuple[int, int, int]]:
-    """Learn merges from a table of (symbols, weight).
-
-    ``tie='bytes'``: among equally frequent pairs the lexicographically largest bytes win.
-    ``tie='ids'``: the smallest ids win. Learning stops early when no pair is left or the best
-    one occurs fewer than ``min_frequency`` times.
-
-    The result equals choosing one merge per pass over the table. A round drafts several merges
-    from a bounded sample, counts all pairs exactly along that draft in one job, and keeps the
-    merges up to the first one that differs, so few passes are needed.
-    """
-    if tie not in ("bytes", "ids"):
-        raise ValueError(f"unknown tie rule {tie!r}")
-    vocab = {i: bytes([i]) for i in range(BASE_SIZE)}
-    merges: list[tuple[int, int, int]] = []
-    # A fixed number of partitions: the table is small in bytes but every round works on all of it,
-    # so it must not be coalesced to a few tasks.
-    work = durable(
-        sequences.select(F.col(symbols).alias("symbols"), F.col(weight).cast("long").alias("n")).repartition(
-            work_partitions(sequences.sparkSession)
-        )
-    )
-    if work.isEmpty():
-        raise ValueError("no valid text found for training")
-    sample = [
-        (r["symbols"], r["n"])
-        for r in work.filter(F.length("symbols").between(2, SAMPLE_SEQUENCE_LENGTH))
-        .orderBy(F.col("n").desc(), "symbols")
-        .limit(SAMPLE_ROWS)
-        .collect()
-    ]
-    known, cached, rounds, top, steps = {}, None, 0, TOP_PAIRS, 0
-    while len(merges) < n_merges:
-        next_id, room = BASE_SIZE + len(merges), n_merges - len(merges)
-        guess = _draft(sample, known, min(steps, room - 1), vocab, next_id, tie)
-        rows = _counts_along(work, guess, top)
-        complete = len(rows) < top
-        batch, over = _accept(rows, complete, guess, vocab, next_id, room, tie, min_frequency)
-        if not batch and not over:
-            top *= 4
-            continue
-        if batch:
-            known = {tuple(r["pair"]): r["counts"][len(batch) - 1] for r in rows}
-            column = F.col("symbols")
-            for left, right, new in batch:
-                vocab[new] = vocab[left] + vocab[right]
-                column = merge_symbols(column, left, right, new)
-            merges.extend(batch)
-            sample = _apply_to_sample(sample, batch)
-            # A sequence of one symbol has no pairs left and is not needed any more.
-            work = work.select(column.alias("symbols"), "n").filter(F.length("symbols") > 1)
-        if over:
-            break
-        steps = min(draft_steps, 2 * len(batch) + 2)
-        rounds += 1
-        if rounds % CHECKPOINT_ROUNDS == 0:
-            work = durable(work)
-            if cached is not None:
-                cached.unpersist()
-                cached = None
-        elif rounds % CACHE_ROUNDS == 0:
-            fresh = work.persist()
-            fresh.count()
-            if cached is not None:
-                cached.unpersist()
-            work = cached = fresh
-    if cached is not None:
-        cached.unpersist()
-    return merges
-
-
 def train(
     docs: DataFrame,
     vocab_size: int,
@@ -347,7 +105,11 @@ def train(
     pieces = piece_counts(docs, text, pattern, names)
     table = pieces.select(S.text_to_symbols(F.col("piece")).alias("symbols"), "n")
     merges = learn_merges(
-        table, vocab_size - BASE_SIZE - len(names), tie=tie, min_frequency=min_frequency
+        table,
+        vocab_size - BASE_SIZE - len(names),
+        tie=tie,
+        min_frequency=min_frequency,
+        known_pairs=TOP_PAIRS,
     )
     if isinstance(specials, Mapping):
         ids = dict(specials)
@@ -395,8 +157,9 @@ def _base_symbols(piece: Column, model: BpeModel) -> Column:
     if all(ids[b] == b for b in range(BASE_SIZE)):
         return plain
     source = "".join(chr(b) for b in range(BASE_SIZE))
-    target = "".join(S.symbol(ids[b]) for b in range(BASE_SIZE))
-    return F.translate(plain, source, target)
+    # To ``translate`` a target of U+0000 means to drop the character, so another one stands in for it.
+    target = "".join(S.symbol(ids[b]) for b in range(BASE_SIZE)).replace("\0", S.SEPARATOR)
+    return F.replace(F.translate(plain, source, target), F.lit(S.SEPARATOR), F.lit("\0"))
 
 
 def _doc_symbols(text: Column, model: BpeModel, allowed_special: str) -> Column:
@@ -426,8 +189,8 @@ def encode_column(text: Column, model: BpeModel, allowed_special: str = "all") -
     return S.symbols_to_ids(F.replace(joined, F.lit(S.SEPARATOR), F.lit("")))
 
 
-def _merge_lowest_rank(seq: str, ranks: Mapping[str, tuple[int, str]]) -> str:
-    """Merge the known pair of lowest rank until none is left."""
+def _merge_lowest_rank(seq: str, ranks: Mapping[str, tuple[int, str, str]]) -> str:
+    """Merge the known pair of lowest rank until none is left, by scanning a short piece again."""
     while len(seq) > 1:
         best = min(
             (ranks[p] for p in {seq[i : i + 2] for i in range(len(seq) - 1)} if p in ranks),
@@ -439,17 +202,67 @@ def _merge_lowest_rank(seq: str, ranks: Mapping[str, tuple[int, str]]) -> str:
     return seq
 
 
+def _merge_queued(seq: str, ranks: Mapping[str, tuple[int, str, str]]) -> str:
+    """The same merges in n log n steps, for pieces of any length.
+
+    Symbols form a linked list. Every known pair waits under its rank with the places where it stands, and
+    a heap gives the lowest rank. A merge only looks at its two neighbours; a place whose pair has gone
+    meanwhile is passed over.
+    """
+    n = len(seq)
+    symbols, after, before = list(seq), list(range(1, n + 1)), list(range(-1, n - 1))
+    waiting: dict[int, tuple[str, str, list[int]]] = {}
+    heap: list[int] = []
+
+    def wait(found, place):
+        rank, made, pair = found
+        if rank not in waiting:
+            waiting[rank] = pair, made, []
+            heapq.heappush(heap, rank)
+        waiting[rank][2].append(place)
+
+    for i in range(n - 1):
+        found = ranks.get(seq[i : i + 2])
+        if found:
+            wait(found, i)
+    while heap:
+        pair, made, places = waiting.pop(heapq.heappop(heap))
+        for i in sorted(places):
+            j = after[i]
+            if j >= n or symbols[i] + symbols[j] != pair:
+                continue
+            symbols[i], symbols[j] = made, ""
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                found = ranks.get(made + symbols[k])
+                if found:
+                    wait(found, i)
+            h = before[i]
+            if h >= 0:
+                found = ranks.get(symbols[h] + made)
+                if found:
+                    wait(found, h)
+    return "".join(symbols)
+
+
+def merge_piece(seq: str, ranks: Mapping[str, tuple[int, str, str]]) -> str:
+    return (_merge_lowest_rank if len(seq) <= SHORT_PIECE else _merge_queued)(seq, ranks)
+
+
 class _PieceCache(dict):
-    """Merged form of the pieces seen by one task; emptied when it reaches its limit."""
+    """Merged form of the short pieces seen by one task; emptied when it reaches its limit."""
 
     def __init__(self, ranks):
         super().__init__()
         self.ranks = ranks
 
     def __missing__(self, piece):
-        if len(self) >= PIECE_CACHE:
-            self.clear()
-        merged = self[piece] = _merge_lowest_rank(piece, self.ranks)
+        merged = merge_piece(piece, self.ranks)
+        if len(piece) <= SHORT_PIECE:
+            if len(self) >= PIECE_CACHE:
+                self.clear()
+            self[piece] = merged
         return merged
 
 
@@ -636,6 +449,19 @@ def token_frequency(pieces: DataFrame, model: BpeModel, by: Iterable[str] = ())
 # --- merges from a vocabulary of ranks --------------------------------------------------------
 
 
+def _parts_below(token: bytes, rank: int, known: Mapping[bytes, int]) -> list[int]:
+    """Cuts of a token after all merges ranked below it."""
+    cuts = list(range(len(token) + 1))
+    while len(cuts) > 3:
+        lowest, at = min(
+            (known.get(token[cuts[i - 1] : cuts[i + 1]], rank), i) for i in range(1, len(cuts) - 1)
+        )
+        if lowest >= rank:
+            break
+        del cuts[at]
+    return cuts
+
+
 def recover_merges(ranked: DataFrame, ranks: Mapping[bytes, int]) -> DataFrame:
     """Merge pairs of a vocabulary that lists only token bytes and ranks.
 
@@ -650,16 +476,7 @@ def recover_merges(ranked: DataFrame, ranks: Mapping[bytes, int]) -> DataFrame:
             rows = []
             for token, rank in zip(batch["bytes"], batch["rank"]):
                 token = bytes(token)
-                cuts = list(range(len(token) + 1))
-                while len(cuts) > 3:
-                    joins = [
-                        (known.get(token[cuts[i - 1] : cuts[i + 1]], rank), i)
-                        for i in range(1, len(cuts) - 1)
-                    ]
-                    lowest, at = min(joins)
-                    if lowest >= rank:
-                        break
-                    del cuts[at]
+                cuts = _parts_below(token, rank, known)
                 if len(cuts) == 2:
                     continue
                 if len(cuts) != 3:
@@ -669,3 +486,33 @@ def recover_merges(ranked: DataFrame, ranks: Mapping[bytes, int]) -> DataFrame:
             yield pd.DataFrame(rows, columns=["left", "right", "new_id"]).astype("int32")
 
     return ranked.mapInPandas(rebuild, "left int, right int, new_id int")
+
+
+def model_from_ranks(
+    ranked: DataFrame, *, pattern: str | None = GPT2_PATTERN, specials: Mapping[str, int] | None = None
+) -> BpeModel:
+    """A whole tokenizer from a table (bytes, rank) without merges.
+
+    Byte tokens may have any ranks; they become the base alphabet, so encoding translates bytes to their
+    ids and decoding back. All 256 bytes must be there, ranks must be distinct, and special tokens may not
+    reuse one. The merges come back in the order of their ranks, which is the order in which they were made.
+    """
+    listed = ranked.select("bytes", F.col("rank").cast("int").alias("rank"))
+    # The vocabulary itself, as large as a tokenizer is.
+    rows = listed.collect()
+    ranks = {bytes(r["bytes"]): r["rank"] for r in rows}
+    taken = set(ranks.values())
+    missing = [b for b in range(BASE_SIZE) if bytes([b]) not in ranks]
+    if missing:
+        raise ValueError(f"the vocabulary lacks the bytes {missing[:8]}")
+    if len(ranks) < len(rows) or len(taken) < len(ranks):
+        raise ValueError("the vocabulary repeats a token or a rank")
+    specials = dict(specials or {})
+    reused = [t for t, i in specials.items() if i in taken]
+    if reused or len(set(specials.values())) < len(specials):
+        raise ValueError(f"special tokens need ids of their own: {reused or sorted(specials)}")
+    merges = recover_merges(listed, ranks).orderBy("new_id").collect()
+    base = {ranks[bytes([b])]: bytes([b]) for b in range(BASE_SIZE)}
+    model = BpeModel([(r["left"], r["right"], r["new_id"]) for r in merges], pattern, specials, base)
+    model.require_ordered()
+    return model

@@ -11,11 +11,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EPS = 1e-8
 CLIP_EPS = 1e-6
+BLOCK_ROWS = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -132,44 +134,47 @@ def warmup_cosine_value(step: int, warmup: int, total: int, high: float, low: fl
 # --- the fit ------------------------------------------------------------------------------------
 
 
-def _linear(theta: Sequence[float], x: Column) -> Column:
-    terms = [F.lit(float(w)) * F.get(x, F.lit(i)) for i, w in enumerate(theta[1:])]
-    return sum(terms, F.lit(float(theta[0])))
-
-
-def _residual_and_loss(loss: str, score: Column, y: Column) -> tuple[Column, Column]:
+def _residual_and_loss(loss: str, score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if loss == "squared":
         e = score - y
         return 2 * e, e * e
     if loss == "logistic":
-        p = 1 / (1 + F.exp(-score))
-        kept = F.greatest(F.lit(1e-15), F.least(F.lit(1 - 1e-15), p))
-        return p - y, -(y * F.log(kept) + (1 - y) * F.log(1 - kept))
+        p = 1 / (1 + np.exp(-np.clip(score, -700, 700)))
+        kept = np.clip(p, 1e-15, 1 - 1e-15)
+        return p - y, -(y * np.log(kept) + (1 - y) * np.log(1 - kept))
     raise ValueError(f"unknown loss {loss!r}")
 
 
 def gradient_step(
     rows: DataFrame, thetas: Sequence[Sequence[float]], loss: str, x: str = "x", y: str = "y"
 ) -> list[tuple[np.ndarray, float]]:
-    """Mean gradient and loss at every parameter vector, in one pass over the rows."""
-    width = len(thetas[0])
-    scored = rows.select(
-        F.col(x).alias("_x"),
-        *[
-            part.alias(f"{label}{s}")
-            for s, theta in enumerate(thetas)
-            for label, part in zip("_e _l".split(), _residual_and_loss(loss, _linear(theta, F.col(x)), F.col(y)))
-        ],
-    )
-    sums = []
-    for s in range(len(thetas)):
-        sums.append(F.avg(f"_e{s}").alias(f"g{s}_0"))
-        sums += [F.avg(F.col(f"_e{s}") * F.get("_x", F.lit(i))).alias(f"g{s}_{i + 1}") for i in range(width - 1)]
-        sums.append(F.avg(f"_l{s}").alias(f"l{s}"))
-    row = scored.agg(*sums).first()
-    return [
-        (np.array([row[f"g{s}_{i}"] for i in range(width)]), row[f"l{s}"]) for s in range(len(thetas))
-    ]
+    """Mean gradient and loss at every parameter vector, in one pass over the rows.
+
+    Tasks score blocks of rows against all vectors at once and send one sum per number. The parameters are
+    data of the task, so every step runs the same plan. Rows with a null x or y, or a null in x, are left out.
+    """
+    points = np.array(thetas, dtype=float)
+    settings, width = points.shape
+
+    def run(batches):
+        total = np.zeros(settings * (width + 1) + 1)
+        for batch in batches:
+            listed, target = batch.column("x"), batch.column("y").to_numpy(zero_copy_only=False)
+            for lo in range(0, batch.num_rows, BLOCK_ROWS):
+                part = listed.slice(lo, BLOCK_ROWS)
+                flat = part.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(part), -1)
+                wide = np.column_stack([np.ones(len(flat)), flat])
+                error, value = _residual_and_loss(loss, wide @ points.T, target[lo : lo + BLOCK_ROWS, None])
+                total[:-1] += np.column_stack([error.T @ wide, value.sum(0)]).ravel()
+                total[-1] += len(flat)
+        yield pa.record_batch({"i": np.arange(len(total)), "v": total})
+
+    known = rows.select(F.col(x).cast("array<double>").alias("x"), F.col(y).cast("double").alias("y")).dropna()
+    known = known.filter(F.size("x") == width - 1).filter(~F.exists("x", lambda v: v.isNull()))
+    sums = known.mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+    found = np.array([v for _, v in sorted((r["i"], r["v"]) for r in sums)])
+    means = (found[:-1] / max(found[-1], 1)).reshape(settings, width + 1)
+    return [(row[:-1], float(row[-1])) for row in means]
 
 
 def fit_many(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusweave.functions import arrays as A
-from corpusweave.functions.draws import residue
+from corpusweave.functions.draws import digest_number
 
 CLIP = 1e-15
 LOG_FLOOR = 1e-12
@@ -80,9 +80,9 @@ def predicted_class(logits: Column, temperature: float = 0.0, u: Column | None =
     return F.least(below, F.size(logits) - 1)
 
 
-def seeded_draw(key: Column, seed: int = 0, modulus: int = 1_000_003) -> Column:
-    """Reproducible number in (0, 1) from a key."""
-    return (residue(key, seed, modulus) + 0.5) / modulus
+def seeded_draw(key: Column, seed: int = 0) -> Column:
+    """Reproducible number in (0, 1) from 52 bits of a digest of the key."""
+    return (F.shiftright(digest_number(key, seed), 8) + 0.5) / float(1 << 52)
 
 
 def top_classes(rows: DataFrame, logits: str, k: int, key: str) -> DataFrame:

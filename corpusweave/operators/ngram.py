@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from corpusweave.functions.draws import digest_number
+from corpusweave.functions.ordered import with_ordered
 from corpusweave.operators.text import words
 from corpusweave.session import durable
 
 MAX_LOSS = 20.0
+# Rows of a context that a draw looks through after it has found their block.
+BLOCK_ROWS = 256
 
 
 def char_ngrams(text: Column, n: int, include_last: bool = False) -> Column:
@@ -72,21 +75,27 @@ def top_next(counts: DataFrame, k: int) -> DataFrame:
     return counts.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
 
 
-def _generator(counts: DataFrame) -> DataFrame:
-    """Cumulative ranges per context. A context has at most one row per distinct next character."""
-    upto = (
-        Window.partitionBy("context")
-        .orderBy(F.col("cnt").desc(), "next")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _generator(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Cumulative ranges of the next tokens of every context, on two levels.
+
+    Rows of a context are ordered by (cnt descending, next) and get the range [low, high) of draws that
+    choose them, and a block number. Running sums come from range partitions, so the rows of one context
+    lie in many tasks. The first table has one row per block, (context, block, from, to, total).
+    """
+    rows = counts.select("context", "next", "cnt", (-F.col("cnt")).alias("_order"))
+    placed = with_ordered(
+        rows, ["context"], ["_order", "next"], index="_at", sums={"high": F.col("cnt")}, totals={"total": F.col("cnt")}
     )
-    total = F.sum("cnt").over(Window.partitionBy("context"))
-    return counts.select(
-        "context",
-        "next",
-        (F.sum("cnt").over(upto) - F.col("cnt")).alias("low"),
-        F.sum("cnt").over(upto).alias("high"),
-        total.alias("total"),
+    ranges = durable(
+        placed.select(
+            "context", "next", F.expr(f"_at div {BLOCK_ROWS}").alias("block"),
+            (F.col("high") - F.col("cnt")).alias("low"), "high", "total",
+        )
+    )
+    blocks = ranges.groupBy("context", "block").agg(
+        F.min("low").alias("from"), F.max("high").alias("to"), F.first("total").alias("total")
     )
+    return durable(blocks), ranges.drop("total")
 
 
 def generate(
@@ -99,28 +108,28 @@ def generate(
     greedy: bool = False,
     seed: int = 0,
 ) -> DataFrame:
-    """Extend all prompts at once, one join per step; a prompt with an unseen context stops.
+    """Extend all prompts at once, two joins per step; a prompt with an unseen context stops.
 
     Sampling draws an integer below the context total from (key, step, seed), so it is
-    reproducible. Greedy takes the most frequent next character.
+    reproducible. Greedy takes the most frequent next character. A draw first finds its block of the
+    context, then its row among the at most BLOCK_ROWS rows of the block.
     """
-    table = durable(_generator(counts))
+    blocks, ranges = _generator(counts)
     state = prompts.select(key, F.col(text).alias("_t"), F.lit(True).alias("_live"))
     for step in range(steps):
-        if greedy:
-            hit = F.col("low") == 0
-        else:
-            draw = F.pmod(digest_number(F.col(key), step, seed), F.col("total"))
-            hit = (draw >= F.col("low")) & (draw < F.col("high"))
+        draw = F.lit(0) if greedy else F.pmod(digest_number(F.col(key), step, seed), F.col("total"))
         context = F.when(F.col("_live") & (F.length("_t") >= n - 1), F.right("_t", F.lit(n - 1)))
-        state = (
-            state.withColumn("_c", context)
-            .join(table, (F.col("_c") == F.col("context")) & hit, "left")
-            .select(
-                key,
-                F.concat("_t", F.coalesce("next", F.lit(""))).alias("_t"),
-                F.col("next").isNotNull().alias("_live"),
-            )
+        hit = (draw >= F.col("from")) & (draw < F.col("to"))
+        found = state.withColumn("_c", context).join(blocks, (F.col("_c") == F.col("context")) & hit, "left").select(
+            key, "_t", "_c", F.col("block").alias("_b"), draw.alias("_u")
+        )
+        inside = (F.col("_u") >= F.col("low")) & (F.col("_u") < F.col("high"))
+        state = found.join(
+            ranges, (F.col("_c") == F.col("context")) & (F.col("_b") == F.col("block")) & inside, "left"
+        ).select(
+            key,
+            F.concat("_t", F.coalesce("next", F.lit(""))).alias("_t"),
+            F.col("next").isNotNull().alias("_live"),
         )
     return state.select(key, F.col("_t").alias("generated"))
 

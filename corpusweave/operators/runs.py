@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusweave.functions.ordered import with_ordered
+from corpusweave.session import durable
 
 NAN = float("nan")
 PERPLEXITY_LIMIT = 20.0
+# Cells of a histogram and rounds of narrowing; more than the logarithm of the smallest double, negated.
+CELLS = 4096
+MOST_TURNS = 64
+LOG_ROOM = 750.0
 
 # Configuration fields and their defaults.
 DEFAULTS = {
@@ -159,23 +165,73 @@ def best_run(runs: DataFrame, name: str = "name") -> DataFrame:
     return runs.filter("status = 'ok'").agg(best.alias("b")).filter("b IS NOT NULL").select("b.name", "b.train_tail")
 
 
+def _narrowed(value: Column, low: Column, high: Column, linear: bool) -> Column:
+    """Number of the histogram cell of a value between two borders; cells follow the order of values."""
+    if not linear:
+        # Even steps of the logarithm, for values of many magnitudes.
+        value, low, high = (
+            F.when(v == 0, 0.0).otherwise(F.signum(v) * (F.log(F.abs(v)) + LOG_ROOM)) for v in (value, low, high)
+        )
+    # Halves first: the width of the whole range of doubles would be infinite.
+    share = (value / 2 - low / 2) / (high / 2 - low / 2)
+    return F.least(F.floor(F.coalesce(share, F.lit(0.0)) * CELLS), F.lit(CELLS - 1)).cast("int")
+
+
+def exact_medians(rows: DataFrame, by: str, value: str) -> DataFrame:
+    """(by, median): the mean of the two middle values of every group, null for a group without values.
+
+    The two ranks are narrowed down by histograms. A round counts the values that are left in CELLS cells
+    between the borders of each group and keeps the cell with the rank; its least and greatest value are
+    the next borders. It ends when they are equal. A group never has more than CELLS rows in one place,
+    whatever its size; each round reads the values once. Infinities and NaN count as the
+    numbers at the ends of the range.
+    """
+    known = rows.select(F.col(by).alias("g"), F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    top = float(np.finfo(np.float64).max)
+    known = known.withColumn("v", F.when(F.isnan("v") | (F.col("v") > top), top).when(F.col("v") < -top, -top).otherwise(F.col("v")))
+    first = known.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    ranks = F.array(F.expr("(n - 1) div 2"), F.expr("n div 2"))
+    state = first.select("g", "low", "high", F.posexplode(ranks).alias("which", "rank"))
+    state = durable(state)
+    for turn in range(MOST_TURNS):
+        if state.filter("low < high").isEmpty():
+            break
+        open_ = state.filter("low < high").withColumnRenamed("g", "og")
+        seen = known.join(open_, F.col("g").eqNullSafe(F.col("og")) & F.col("v").between(F.col("low"), F.col("high")))
+        cell = _narrowed(F.col("v"), F.col("low"), F.col("high"), turn % 4 < 2)
+        cells = seen.select("og", "which", "rank", "v", cell.alias("cell")).groupBy("og", "which", "rank", "cell").agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")
+        )
+        # At most CELLS rows of a group and rank.
+        before = Window.partitionBy("og", "which").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        placed = cells.withColumn("skipped", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        found = placed.filter((F.col("rank") >= F.col("skipped")) & (F.col("rank") < F.col("skipped") + F.col("n")))
+        next_ = found.select(F.col("og").alias("g"), "low", "high", "which", (F.col("rank") - F.col("skipped")).alias("rank"))
+        state = durable(state.filter("low >= high").unionByName(next_))
+    else:
+        raise RuntimeError("the histograms did not come to an end")
+    return state.groupBy(F.col("g").alias(by)).agg(F.avg("low").alias("median"))
+
+
 def summarize_trials(trials: DataFrame, by: str) -> DataFrame:
     """Groups of (iterations, converged, final_loss, final_distance, grad_norm) rows.
 
     Iteration statistics cover converged trials only and are NaN when there are none.
     """
     done = F.col("converged")
+    sums = trials.groupBy(by).agg(
+        (100.0 * F.avg(done.cast("double"))).alias("convergence_rate"),
+        F.coalesce(F.avg(F.when(done, F.col("iterations"))), F.lit(NAN)).alias("mean_iterations"),
+        F.avg("final_loss").alias("mean_final_loss"),
+        F.avg("final_distance").alias("mean_final_distance"),
+        F.avg("grad_norm").alias("mean_grad_norm"),
+    )
+    middle = exact_medians(trials.filter(done), by, "iterations").withColumnRenamed(by, "_by")
     return (
-        trials.groupBy(by)
-        .agg(
-            (100.0 * F.avg(done.cast("double"))).alias("convergence_rate"),
-            F.coalesce(F.avg(F.when(done, F.col("iterations"))), F.lit(NAN)).alias("mean_iterations"),
-            F.coalesce(F.expr("percentile(iterations, 0.5) FILTER (WHERE converged)"), F.lit(NAN)).alias(
-                "median_iterations"
-            ),
-            F.avg("final_loss").alias("mean_final_loss"),
-            F.avg("final_distance").alias("mean_final_distance"),
-            F.avg("grad_norm").alias("mean_grad_norm"),
+        sums.join(middle, F.col(by).eqNullSafe(F.col("_by")), "left")
+        .select(
+            by, "convergence_rate", "mean_iterations", F.coalesce("median", F.lit(NAN)).alias("median_iterations"),
+            "mean_final_loss", "mean_final_distance", "mean_grad_norm",
         )
         # Spark orders NaN after every number, which is the wanted place.
         .orderBy("mean_iterations", by)

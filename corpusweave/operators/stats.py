@@ -8,16 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusweave.functions.draws import DIGEST_DIGITS, digest_number, residue
-from corpusweave.functions.ordered import row_index, with_ordered
+from corpusweave.functions.draws import DIGEST_DIGITS, digest_number
+from corpusweave.functions.ordered import Fold, row_index, with_ordered
+from corpusweave.operators import gram
 
-HASH_MODULUS = 1_000_003
 LOG_2PI = math.log(2 * math.pi)
-MAX_CLASSES = 10_000
-
-
-def _mixed(key: Column, seed: int) -> Column:
-    return residue(key, seed, HASH_MODULUS)
 
 
 # --- lines and splits -----------------------------------------------------------------------------
@@ -50,9 +45,9 @@ def line_band(rows: DataFrame, fits: DataFrame, x: str, by: list[str]) -> DataFr
 
 def hash_split(rows: DataFrame, key: str, test_fraction: float, seed: int = 0) -> DataFrame:
     """``split`` train or test from the key alone: stable however the rows are partitioned."""
-    cut = int(test_fraction * HASH_MODULUS)
+    cut = int(test_fraction * 16**DIGEST_DIGITS)
     return rows.withColumn(
-        "split", F.when(_mixed(F.col(key), seed) < cut, F.lit("test")).otherwise(F.lit("train"))
+        "split", F.when(digest_number(F.col(key), seed) < cut, F.lit("test")).otherwise(F.lit("train"))
     )
 
 
@@ -67,105 +62,9 @@ def risk_by_split(rows: DataFrame, x: str, y: str) -> DataFrame:
     return risks.withColumn("gap", F.col("test_risk") - F.col("train_risk"))
 
 
-def _ridge_parameter(alpha: float, size) -> float:
-    """MLlib's parameter for a penalty on the sum of squares.
-
-    MLlib penalises the mean and fits a label scaled to unit deviation without scaling the squared
-    penalty along, so both the row count and the deviation enter.
-    """
-    return alpha / max(size["n"], 1) * (size["s"] or 1.0)
-
-
-def polynomial_risk(rows: DataFrame, x: str, y: str, degrees: Sequence[int], ridge: float = 0.0) -> DataFrame:
-    """Train and test MSE by degree on rows with ``split``; ``x`` should be scaled to [-1, 1]."""
-    from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    base = VectorAssembler(inputCols=[x], outputCol="_x").transform(rows.select(x, y, "split")).persist()
-    try:
-        size = base.filter("split = 'train'").agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(y).alias("s")).first()
-        results = []
-        for degree in degrees:
-            expand = PolynomialExpansion(degree=degree, inputCol="_x", outputCol="_features")
-            wide = expand.transform(base)
-            model = LinearRegression(
-                featuresCol="_features", labelCol=y, solver="normal", regParam=_ridge_parameter(ridge, size),
-                standardization=False,
-            ).fit(wide.filter("split = 'train'"))
-            e = F.col(y) - F.col("prediction")
-            risk = model.transform(wide).groupBy("split").agg(F.avg(e * e).alias("mse")).collect()
-            mse = {r["split"]: r["mse"] for r in risk}
-            results.append((degree, mse.get("train"), mse.get("test")))
-    finally:
-        base.unpersist()
-    return rows.sparkSession.createDataFrame(results, "degree int, train_mse double, test_mse double")
-
-
 def penalized_fit(rows: DataFrame, features: list[str], y: str, alpha: float, lasso: bool = False) -> DataFrame:
     """Ridge or lasso coefficients; ``alpha`` weighs the sum of squares, not their mean."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    wide = VectorAssembler(inputCols=features, outputCol="_features").transform(rows).select("_features", y)
-    size = wide.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(y).alias("s")).first()
-    model = LinearRegression(
-        featuresCol="_features", labelCol=y,
-        regParam=alpha / (2 * max(size["n"], 1)) if lasso else _ridge_parameter(alpha, size), elasticNetParam=1.0 if lasso else 0.0,
-        standardization=False, solver="auto" if lasso else "normal",
-    ).fit(wide)
-    out = [("intercept", float(model.intercept)), *zip(features, map(float, model.coefficients))]
-    return rows.sparkSession.createDataFrame(out, "term string, value double")
-
-
-def logistic_probability(rows: DataFrame, features: list[str], label: str, c: float = 1.0) -> DataFrame:
-    """Adds the fitted probability of class 1; ``c`` is the inverse penalty on the sum of losses."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    wide = VectorAssembler(inputCols=features, outputCol="_features").transform(rows)
-    model = LogisticRegression(
-        featuresCol="_features", labelCol=label, regParam=1.0 / (c * wide.count()), standardization=False
-    ).fit(wide)
-    out = model.transform(wide).withColumn("p", vector_to_array("probability")[1])
-    return out.select(*rows.columns, "p")
-
-
-def mixture(rows: DataFrame, features: list[str], k: int, seed: int = 0) -> DataFrame:
-    """Gaussian mixture with full covariance: adds the component and all responsibilities."""
-    from pyspark.ml.clustering import GaussianMixture
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    wide = VectorAssembler(inputCols=features, outputCol="features").transform(rows)
-    model = GaussianMixture(k=k, seed=seed).fit(wide)
-    out = model.transform(wide)
-    return out.select(
-        *rows.columns, F.col("prediction").alias("component"), vector_to_array("probability").alias("responsibilities")
-    )
-
-
-def kmeans(rows: DataFrame, features: list[str], k: int, seed: int = 0) -> DataFrame:
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    wide = VectorAssembler(inputCols=features, outputCol="features").transform(rows)
-    return KMeans(k=k, seed=seed).fit(wide).transform(wide).select(*rows.columns, F.col("prediction").alias("cluster"))
-
-
-def nearest_centre(vector: Column, centres: Sequence[tuple[int, Sequence[float]]]) -> Column:
-    """Id of the closest centre; ties to the smaller id. The centres are a bounded constant."""
-    if len(centres) > MAX_CLASSES:
-        raise ValueError("too many centres for a constant")
-
-    def distance(values):
-        constant = F.array(*[F.lit(float(v)) for v in values])
-        return F.aggregate(
-            F.zip_with(vector, constant, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d
-        )
-
-    scored = F.array(*[F.struct(distance(v).alias("d"), F.lit(i).alias("id")) for i, v in centres])
-    return F.array_min(scored)["id"]
+    return gram.penalized_fit(rows, features, y, [alpha], lasso).drop("alpha")
 
 
 def learning_curve(
@@ -176,8 +75,11 @@ def learning_curve(
     All fits come from one aggregation: rows are summed per segment between the borders of folds
     and training sets, and every fit adds up its segments.
     """
-    placed = row_index(rows.select(*order, F.col(x).alias("_x"), F.col(y).alias("_y")), order, "_at")
-    total = rows.count()
+    # Sums around the means: squares of large values would cancel.
+    total, mean_x, mean_y = rows.agg(F.count(F.lit(1)), F.avg(x), F.avg(y)).first()
+    placed = row_index(
+        rows.select(*order, (F.col(x) - mean_x).alias("_x"), (F.col(y) - mean_y).alias("_y")), order, "_at"
+    )
     starts = [f * (total // folds) + min(f, total % folds) for f in range(folds + 1)]
     spans = list(zip(starts, starts[1:]))
     most = total - (spans[0][1] - spans[0][0])
@@ -226,19 +128,7 @@ def learning_curve(
     )
 
 
-# --- class densities ------------------------------------------------------------------------------
-
-
-def class_gaussians(rows: DataFrame, label: str, x: str) -> list[tuple]:
-    """(class, mean, sigma, prior) per class; bounded by the number of classes."""
-    stats = rows.groupBy(label).agg(
-        F.avg(x).alias("mean"), F.stddev_pop(x).alias("sigma"), F.count(F.lit(1)).alias("n")
-    )
-    found = stats.orderBy(label).limit(MAX_CLASSES + 1).collect()
-    if len(found) > MAX_CLASSES:
-        raise ValueError("too many classes")
-    total = sum(r["n"] for r in found)
-    return [(r[label], r["mean"], r["sigma"], r["n"] / total) for r in found]
+# --- densities ------------------------------------------------------------------------------
 
 
 def normal_log_density(x: Column, mean, sigma) -> Column:
@@ -247,35 +137,6 @@ def normal_log_density(x: Column, mean, sigma) -> Column:
     return -0.5 * z * z - log_sigma - 0.5 * LOG_2PI
 
 
-def classify(x: Column, classes: Sequence[tuple]) -> Column:
-    """Class with the largest log prior plus log density; ties to the smaller class."""
-    scored = [
-        F.struct((normal_log_density(x, m, s) + math.log(p)).alias("score"), F.lit(-c).alias("c"))
-        for c, m, s, p in classes
-    ]
-    return -F.array_max(F.array(*scored))["c"]
-
-
-def decision_boundary(a: tuple, b: tuple) -> float:
-    """Border of two classes of equal spread, from their means, spreads and priors."""
-    (_, m0, s0, p0), (_, m1, s1, p1) = a, b
-    return (m0 + m1) / 2 + s0**2 / (m1 - m0) * math.log((p1 * s0) / (p0 * s1))
-
-
-def bayes_error(spark, classes: Sequence[tuple], low: float, high: float, points: int) -> DataFrame:
-    """Integral of 1 - max over classes of prior times density, by the trapezoid rule on a grid."""
-    step = (high - low) / (points - 1)
-
-    def overlap(i):
-        x = low + i * step
-        parts = [p * F.exp(normal_log_density(x, m, s)) for _, m, s, p in classes]
-        return sum(parts[1:], parts[0]) - F.greatest(*parts)
-
-    grid = spark.range(points - 1)
-    cell = (overlap(F.col("id")) + overlap(F.col("id") + 1)) / 2 * step
-    return grid.agg(F.sum(cell).alias("bayes_error"))
-
-
 def moments(rows: DataFrame, x: str, by: list[str]) -> DataFrame:
     """Mean and both variances (divided by n and by n-1)."""
     return rows.groupBy(*by).agg(
@@ -284,9 +145,9 @@ def moments(rows: DataFrame, x: str, by: list[str]) -> DataFrame:
 
 
 def estimator_quality(rows: DataFrame, x: str, key: str, replicates: int, shift: float = 0.5, seed: int = 0) -> DataFrame:
-    """Bias, variance and MSE of the mean and of a shifted mean over hashed replicates."""
+    """Bias, variance and MSE of the mean and of a shifted mean over replicates drawn by digests of the key."""
     truth = rows.agg(F.avg(x).alias("theta")).first()["theta"]
-    means = rows.groupBy((_mixed(F.col(key), seed) % replicates).alias("_r")).agg(F.avg(x).alias("_m"))
+    means = rows.groupBy((digest_number(F.col(key), seed) % replicates).alias("_r")).agg(F.avg(x).alias("_m"))
     listed = means.select(
         F.inline(
             F.array(
@@ -380,14 +241,14 @@ def _grid(values: Sequence[float]) -> Column:
 
 
 def gaussian_grid(rows: DataFrame, x: str, by: list[str], means: Sequence[float], sigmas: Sequence[float]) -> DataFrame:
-    """Log-likelihood on a grid from n, sum x and sum x^2: the rows are read once."""
-    v = F.col(x)
-    stats = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(v).alias("s1"), F.sum(v * v).alias("s2"))
+    """Log-likelihood on a grid from n, mean and variance: the rows are read once, and no large squares cancel."""
+    v = F.col(x).cast("double")
+    stats = rows.groupBy(*by).agg(F.count(v).alias("n"), F.avg(v).alias("m"), F.var_pop(v).alias("v"))
     cells = stats.withColumn("mu", F.explode(_grid(means))).withColumn("sigma", F.explode(_grid(sigmas)))
     return cells.select(
         *by, "mu", "sigma",
         F.expr(
-            f"-n * ln(sigma) - 0.5D * n * {LOG_2PI}D - (s2 - 2 * mu * s1 + n * mu * mu) / (2 * sigma * sigma)"
+            f"-n * ln(sigma) - 0.5D * n * {LOG_2PI}D - n * (v + (m - mu) * (m - mu)) / (2 * sigma * sigma)"
         ).alias("log_likelihood"),
     )
 
@@ -395,29 +256,60 @@ def gaussian_grid(rows: DataFrame, x: str, by: list[str], means: Sequence[float]
 def line_grid(
     rows: DataFrame, x: str, y: str, by: list[str], intercepts: Sequence[float], slopes: Sequence[float], sigma: float
 ) -> DataFrame:
-    """Log-likelihood of a line with known noise on a grid, from six sums."""
-    u, v = F.col(x), F.col(y)
-    stats = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(u).alias("sx"), F.sum(v).alias("sy"),
-        F.sum(u * u).alias("sxx"), F.sum(u * v).alias("sxy"), F.sum(v * v).alias("syy"),
+    """Log-likelihood of a line with known noise on a grid, from the means and centred second moments."""
+    both = rows.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    stats = both.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(x).alias("mx"), F.avg(y).alias("my"),
+        F.var_pop(x).alias("vx"), F.var_pop(y).alias("vy"), F.covar_pop(x, y).alias("cxy"),
     )
     cells = stats.withColumn("b0", F.explode(_grid(intercepts))).withColumn("b1", F.explode(_grid(slopes)))
-    sse = "(syy - 2 * b1 * sxy - 2 * b0 * sy + b1 * b1 * sxx + 2 * b0 * b1 * sx + n * b0 * b0)"
+    off = "(my - b0 - b1 * mx)"
+    sse = f"n * (vy - 2 * b1 * cxy + b1 * b1 * vx + {off} * {off})"
     return cells.select(
         *by, "b0", "b1",
         F.expr(f"-n * ln({sigma}D) - 0.5D * n * {LOG_2PI}D - {sse} / (2 * {sigma}D * {sigma}D)").alias("log_likelihood"),
     )
 
 
+def _with_part(state: Column, part: Column) -> Column:
+    """Count, mean and sum of squared deviations of two parts together."""
+    n = state["n"] + part["n"]
+    gap = part["m"] - state["m"]
+    return F.when(part["n"] == 0, state).when(state["n"] == 0, part).otherwise(
+        F.struct(
+            n.alias("n"),
+            (state["m"] + gap * part["n"] / n).alias("m"),
+            (state["q"] + part["q"] + gap * gap * state["n"] * part["n"] / n).alias("q"),
+        )
+    )
+
+
 def running_mle(rows: DataFrame, key: str, order: list[str], x: str) -> DataFrame:
-    """Mean and standard deviation of every prefix of a key: adds n, mu and sigma."""
-    v = F.col(x)
-    out = with_ordered(rows, [key], order, index="_at", sums={"_s1": v, "_s2": v * v})
-    n = F.col("_at") + 1
-    mean = F.col("_s1") / n
+    """Mean and standard deviation of every prefix of a key: adds n, mu and sigma.
+
+    Deviations are taken from running means, inside a block of rows and between blocks, so large values with
+    a small spread keep their digits. A null value counts in neither.
+    """
+    v = F.col(x).cast("double")
+    zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("m"), F.lit(0.0).alias("q"))
+
+    def part(n: Column, m: Column, s: Column) -> Column:
+        return F.struct(n.alias("n"), F.coalesce(m, F.lit(0.0)).alias("m"), F.coalesce(s * n, F.lit(0.0)).alias("q"))
+
+    out = with_ordered(
+        rows, [key], order,
+        folds={
+            "_p": Fold(
+                lambda over: part(F.count(v).over(over), F.avg(v).over(over), F.var_pop(v).over(over)),
+                part(F.count(v), F.avg(v), F.var_pop(v)),
+                lambda parts: F.aggregate(parts, zero, _with_part),
+                _with_part,
+            )
+        },
+    )
     return out.select(
-        *rows.columns, n.alias("n"), mean.alias("mu"),
-        F.sqrt(F.greatest(F.lit(0.0), F.col("_s2") / n - mean * mean)).alias("sigma"),
+        *rows.columns, F.col("_p.n").alias("n"), F.when(F.col("_p.n") > 0, F.col("_p.m")).alias("mu"),
+        F.when(F.col("_p.n") > 0, F.sqrt(F.col("_p.q") / F.col("_p.n"))).alias("sigma"),
     )
 
 

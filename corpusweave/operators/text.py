@@ -6,12 +6,14 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusweave.functions import symbols as S
 from corpusweave.functions.ordered import row_index
+from corpusweave.session import written
 
 # Whitespace as the word splitter sees it: Unicode spaces and the four separator controls.
 WORD_SPACE = r"(?U)[\s\x1c-\x1f]+"
@@ -181,11 +183,35 @@ def first_words(docs: DataFrame, limit: int, order: str = "doc_id", text: str =
 def encode_words(
     docs: DataFrame, vocab: DataFrame, key: str = "doc_id", text: str = "text", lower: bool = False
 ) -> DataFrame:
-    """Word ids per document as (key, pos, word, id); words outside the vocabulary get ``<unk>``."""
-    placed = docs.select(key, F.posexplode(words(F.col(text), lower)).alias("pos", "word"))
-    return placed.join(vocab.select("word", "id"), "word", "left").select(
-        key, "pos", "word", F.coalesce("id", F.lit(1)).alias("id")
+    """Word ids per document as (key, pos, word, id); words outside the vocabulary get ``<unk>``.
+
+    A document becomes its distinct words and a code for every position. Only distinct words meet the
+    vocabulary and come back as a list of ids per document. Keys are distinct.
+    """
+    kind = docs.schema[key].dataType.simpleString()
+
+    def coded(batches):
+        for batch in batches:
+            listed = [pa.array(w or [], pa.string()).dictionary_encode() for w in batch.column("w").to_pylist()]
+            words_ = [d.dictionary.to_pylist() for d in listed]
+            codes = [d.indices.to_pylist() for d in listed]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key), pa.array(words_, pa.list_(pa.string())), pa.array(codes, pa.list_(pa.int32()))],
+                names=[key, "words", "codes"],
+            )
+
+    made = docs.select(key, words(F.col(text), lower).alias("w")).mapInArrow(
+        coded, f"`{key}` {kind}, words array<string>, codes array<int>"
+    )
+    held = written(made, "word-codes")
+    ids = (
+        held.select(key, F.posexplode("words").alias("i", "word"))
+        .join(vocab.select("word", "id"), "word", "left")
+        .groupBy(key)
+        .agg(F.array_sort(F.collect_list(F.struct("i", F.coalesce("id", F.lit(1)).alias("id")))).alias("_found"))
     )
+    placed = held.join(ids, key).select(key, "words", "_found", F.posexplode("codes").alias("pos", "_c"))
+    return placed.select(key, "pos", F.get("words", F.col("_c")).alias("word"), F.get("_found", F.col("_c"))["id"].alias("id"))
 
 
 def vocabulary_coverage(counts: DataFrame, vocab: DataFrame) -> DataFrame:

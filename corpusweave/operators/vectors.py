@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,8 +13,10 @@ from corpusweave.functions import arrays as A
 
 NORM_EPS = 1e-5
 FREQUENCY_BASE = 10000.0
-# A query set beyond this size is scored in several passes.
+# Queries and keys that one task has at most, about, and rows dealt to balls at a time.
 QUERY_BATCH = 4096
+SHARD_KEYS = 1 << 15
+BALL_ROWS = 1 << 13
 
 
 def lookup(rows: DataFrame, ids: str, vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -97,6 +99,125 @@ def similarity(a: Column, b: Column, scaled: bool = False) -> Column:
     return score / F.sqrt(F.size(a).cast("double")) if scaled else score
 
 
+def _packed(table: pa.Table, ident: str, vector: str) -> tuple[np.ndarray, np.ndarray]:
+    ids = table.column(ident).to_numpy()
+    values = table.column(vector).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return ids, values.astype(np.float64).reshape(len(ids), -1)
+
+
+def _balls(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(order of rows, first row of each ball, centres, radii): rows dealt to about sqrt(n) centres.
+
+    Centres are evenly chosen rows, moved once to the mean of their rows. Any dealing is right; a good
+    one only makes radii small.
+    """
+    n = len(matrix)
+    centres = matrix[np.linspace(0, n - 1, max(math.isqrt(n), 1)).astype(np.int64)]
+    for _ in range(2):
+        own = np.empty(n, np.int64)
+        for lo in range(0, n, BALL_ROWS):
+            part = matrix[lo : lo + BALL_ROWS]
+            own[lo : lo + BALL_ROWS] = ((centres**2).sum(1) - 2 * part @ centres.T).argmin(1)
+        order = np.argsort(own, kind="stable")
+        used, heads = np.unique(own[order], return_index=True)
+        sizes = np.diff(np.append(heads, n))
+        centres = np.add.reduceat(matrix[order], heads) / sizes[:, None]
+    away = np.sqrt(((matrix[order] - np.repeat(centres, sizes, axis=0)) ** 2).sum(1))
+    # A little room, so that rounding never puts a key outside its ball.
+    return order, np.append(heads, n), centres, np.maximum.reduceat(away, heads) * (1 + 1e-9) + 1e-12
+
+
+def _search(ids: np.ndarray, matrix: np.ndarray, names: np.ndarray, queries: np.ndarray, floors: np.ndarray, k: int):
+    """(query row, key, score, balls looked at) of the k best keys of every query, ties to the smaller key.
+
+    A ball cannot hold a score above q * centre + |q| * radius. Balls are taken in the order of these
+    bounds, and a query stops when the next one is below its k-th score, or below ``floors``.
+    """
+    order, heads, centres, radii = _balls(matrix)
+    matrix, ids = matrix[order], ids[order]
+    bounds = queries @ centres.T + np.sqrt((queries**2).sum(1))[:, None] * radii
+    slack = 1e-9 * (1 + np.abs(bounds))
+    ranked = np.argsort(-bounds, axis=1, kind="stable")
+    out = []
+    for q, query in enumerate(queries):
+        best_s, best_i, least, looked = np.empty(0), np.empty(0, ids.dtype), floors[q], 0
+        for ball in ranked[q]:
+            if bounds[q, ball] + slack[q, ball] < least:
+                break
+            looked += 1
+            lo, hi = heads[ball], heads[ball + 1]
+            best_s = np.concatenate([best_s, matrix[lo:hi] @ query])
+            best_i = np.concatenate([best_i, ids[lo:hi]])
+            if len(best_s) > k:
+                # All ties with the k-th score stay in the choice.
+                cut = np.partition(best_s, len(best_s) - k)[len(best_s) - k]
+                keep = best_s >= cut
+                best_s, best_i = best_s[keep], best_i[keep]
+            if len(best_s) >= k:
+                least = max(least, best_s.min())
+        top = np.lexsort((best_i, -best_s))[:k]
+        out.append((np.full(len(top), q), best_i[top], best_s[top], looked))
+    return out, len(radii)
+
+
+def _searched(keys: DataFrame, queries: DataFrame, k: int, shards: int, groups: int) -> DataFrame:
+    """The k best of every query in every shard, with the balls there were and those looked at.
+
+    Keys are dealt to shards and queries to groups, both of bounded size; a task has one of each.
+    """
+    spread_to = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+    dealt = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    left = keys.select("key", "vector", dealt("key", shards).alias("s"), spread_to(groups, "g"))
+    right = queries.select("query", "vector", "floor", dealt("query", groups).alias("g"), spread_to(shards, "s"))
+
+    def run(held: pa.Table, asked: pa.Table) -> pa.Table:
+        columns: list[list] = [[], [], [], [], []]
+        if held.num_rows and asked.num_rows:
+            ids, matrix = _packed(held, "key", "vector")
+            names, wanted = _packed(asked, "query", "vector")
+            floors = asked.column("floor").fill_null(-np.inf).to_numpy()
+            found, balls = _search(ids, matrix, names, wanted, floors, k)
+            for q, (at, best, scores, looked) in enumerate(found):
+                # The effort of a query stands on a row of its own, which holds no key.
+                columns[0].append(np.append(names[at], names[q]))
+                columns[1].append(pa.array([*best.tolist(), None], pa.int64()))
+                columns[2].append(np.append(scores, np.nan))
+                columns[3].append(np.append(np.zeros(len(at), np.int64), balls))
+                columns[4].append(np.append(np.zeros(len(at), np.int64), looked))
+        join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
+        return pa.table(
+            {
+                "query": pa.array(join(columns[0], np.int64), pa.int64()),
+                "key": pa.chunked_array(columns[1], pa.int64()),
+                "score": pa.array(join(columns[2], float), pa.float64()),
+                "balls": pa.array(join(columns[3], np.int64), pa.int64()),
+                "looked": pa.array(join(columns[4], np.int64), pa.int64()),
+            }
+        )
+
+    schema = "query long, key long, score double, balls long, looked long"
+    return left.groupBy("s", "g").cogroup(right.groupBy("s", "g")).applyInArrow(run, schema)
+
+
+def _ready(rows: DataFrame, ident: str, vector: str, name: str) -> DataFrame:
+    return rows.select(F.col(ident).cast("long").alias(name), A.doubles(vector).alias("vector")).dropna()
+
+
+def _prepared(keys: DataFrame, queries: DataFrame, k: int, shard: int) -> tuple[DataFrame, DataFrame, int, int]:
+    shards = max(-(-keys.count() // shard), 1)
+    groups = max(-(-queries.count() // QUERY_BATCH), 1)
+    queries = queries.withColumn("floor", F.lit(None).cast("double"))
+    if shards > 1:
+        # The k-th score among a part of the keys is a floor for the k-th among all.
+        some = keys.filter(F.pmod(F.xxhash64("key", F.lit(1)), F.lit(shards)) == 0)
+        first = _searched(some, queries, k, 1, groups).filter("key IS NOT NULL")
+        floors = first.groupBy("query").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n")).filter(F.col("n") == k)
+        queries = queries.join(floors.select("query", "least"), "query", "left").select(
+            "query", "vector", F.col("least").alias("floor")
+        )
+    return keys, queries, shards, groups
+
+
 def best_matches(
     keys: DataFrame,
     queries: DataFrame,
@@ -105,60 +226,42 @@ def best_matches(
     vector: str = "embedding",
     query_id: str = "query_id",
     query_vector: str = "query",
+    shard: int = SHARD_KEYS,
 ) -> DataFrame:
     """The k keys with the largest dot product for every query: (query_id, key_id, score, place).
 
-    Every candidate is scored, but a task keeps only its k best per query, so k rows per query and
-    task are shuffled. The query set travels in bounded batches, one pass each. Ties go to the
-    smaller key.
+    Both sides stay tables: shards of keys meet groups of queries in tasks of bounded size. Inside a shard
+    keys lie in balls, and a query skips the balls that cannot reach its k-th score (``match_effort`` tells
+    how many). k rows per query and shard are shuffled. Ties go to the smaller key; rows with a null id or
+    vector take no part.
     """
-    spark = keys.sparkSession
-    rows = queries.select(query_id, A.doubles(query_vector).alias(query_vector))
-    batches, open_batch = [], []
-    for r in rows.toLocalIterator():
-        open_batch.append((r[query_id], r[query_vector]))
-        if len(open_batch) == QUERY_BATCH:
-            batches.append(open_batch)
-            open_batch = []
-    if open_batch:
-        batches.append(open_batch)
-    slim = keys.select(key_id, vector)
-    schema = f"{query_id} long, {key_id} long, score double"
-    partial = None
-    for batch in batches:
-        shared = spark.sparkContext.broadcast(
-            (np.array([b[0] for b in batch]), np.array([b[1] for b in batch], dtype=float))
-        )
+    keys, queries, shards, groups = _prepared(
+        _ready(keys, key_id, vector, "key"), _ready(queries, query_id, query_vector, "query"), k, shard
+    )
+    found = _searched(keys, queries, k, shards, groups)
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "key")
+    placed = found.filter("key IS NOT NULL").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+    return placed.select(F.col("query").alias(query_id), F.col("key").alias(key_id), "score", "place")
+
 
-        def score(frames: Iterator[pd.DataFrame], shared=shared) -> Iterable[pd.DataFrame]:
-            ids, matrix = shared.value
-            best_scores = np.empty((len(ids), 0))
-            best_keys = np.empty((len(ids), 0), dtype=np.int64)
-            for frame in frames:
-                if frame.empty:
-                    continue
-                block = np.stack(frame[vector].to_numpy()).astype(float)
-                found = np.broadcast_to(frame[key_id].to_numpy(), (len(ids), len(frame)))
-                scores = np.concatenate([best_scores, matrix @ block.T], axis=1)
-                names = np.concatenate([best_keys, found], axis=1)
-                order = np.lexsort((names, -scores))[:, :k]
-                best_scores = np.take_along_axis(scores, order, axis=1)
-                best_keys = np.take_along_axis(names, order, axis=1)
-            if best_scores.shape[1]:
-                yield pd.DataFrame(
-                    {
-                        query_id: np.repeat(ids, best_scores.shape[1]),
-                        key_id: best_keys.ravel(),
-                        "score": best_scores.ravel(),
-                    }
-                )
-
-        part = slim.mapInPandas(score, schema)
-        partial = part if partial is None else partial.unionByName(part)
-    if partial is None:
-        return spark.createDataFrame([], schema + ", place int")
-    order = Window.partitionBy(query_id).orderBy(F.col("score").desc(), key_id)
-    return partial.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+def match_effort(
+    keys: DataFrame,
+    queries: DataFrame,
+    k: int,
+    key_id: str = "vec_id",
+    vector: str = "embedding",
+    query_id: str = "query_id",
+    query_vector: str = "query",
+    shard: int = SHARD_KEYS,
+) -> DataFrame:
+    """(query_id, balls, skipped): balls of keys there are, and those the search of ``best_matches`` skips."""
+    keys, queries, shards, groups = _prepared(
+        _ready(keys, key_id, vector, "key"), _ready(queries, query_id, query_vector, "query"), k, shard
+    )
+    found = _searched(keys, queries, k, shards, groups).filter("key IS NULL")
+    return found.groupBy(F.col("query").alias(query_id)).agg(
+        F.sum("balls").alias("balls"), F.sum(F.col("balls") - F.col("looked")).alias("skipped")
+    )
 
 
 def vector_sums(rows: DataFrame, by: list[str], vector: str, weight: Column | None = None) -> DataFrame:

@@ -148,8 +148,18 @@ def split_with_context(spark, sf):
 
 @query(
     "d8_shuffled_batches",
-    """
-    SELECT doc_id, (row_number() OVER (ORDER BY (doc_id * 2654435761 + 3) % 1000003, doc_id) - 1) // 128 AS batch_id FROM documents
+    f"""
+    WITH RECURSIVE i AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS x, count(*) OVER () AS n FROM documents),
+    c AS (SELECT *, CAST(floor(sqrt(n - 1)) AS BIGINT) + 1 AS a FROM i),
+    d AS (SELECT *, (n + a - 1) // a AS b FROM c),
+    w AS (
+      SELECT doc_id, n, a, b, x // b AS l, x % b AS r, 0 AS k FROM d
+      UNION ALL
+      SELECT doc_id, n, a, b, CASE WHEN k % 2 = 0 THEN (l + {digest_sql('3', 'k % 4', 'r')}) % a ELSE l END,
+        CASE WHEN k % 2 = 0 THEN r ELSE (r + {digest_sql('3', 'k % 4', 'l')}) % b END, k + 1
+      FROM w WHERE k % 4 > 0 OR k = 0 OR l * b + r >= n
+    )
+    SELECT doc_id, (l * b + r) // 128 AS batch_id FROM w WHERE k > 0 AND k % 4 = 0 AND l * b + r < n
     """,
 )
 def shuffled_batches(spark, sf):

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from corpusweave.functions import arrays as A
 from corpusweave.operators import metrics as L
+from corpusweave.functions.draws import digest_sql
 from corpusweave.plans.registry import query, table
 
 LONG = """
@@ -102,7 +103,7 @@ def greedy_class(spark, sf):
     f"""
     WITH {LONG},
     c AS (SELECT vec_id, i, sum(p) OVER (PARTITION BY vec_id ORDER BY i) AS upto,
-                 ((vec_id * 2654435761 + 5) % 1000003 + 0.5::DOUBLE) / 1000003 AS u FROM p)
+                 (({digest_sql('vec_id', '5')} >> 8) + 0.5::DOUBLE) / 4503599627370496 AS u FROM p)
     SELECT vec_id, CAST(least(count(*) FILTER (upto < u), 63) AS INTEGER) AS class FROM c GROUP BY vec_id
     """,
 )

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from corpusweave.operators import fit, runs as R
+from corpusweave.plans.fit_queries import ROWS
 from corpusweave.plans.registry import query, table
 
 DEFAULT_ROWS = " UNION ALL ".join(f"SELECT '{f}' AS field, '{v}' AS value" for f, v in R.DEFAULTS.items())
@@ -214,17 +215,52 @@ def _batches(spark, sf):
     )
 
 
-@query("r9_sweep")
+SWEEP = [(rule, rate) for rule in ("sgd", "momentum", "adam") for rate in (0.05, 0.1)]
+SWEEP_STEPS = 8
+
+
+def sweep_sql():
+    """Every setting unrolled: one aggregation and one update per step."""
+    score = "w0 + w1 * x1 + w2 * x2"
+    out, last = [ROWS], []
+    number = lambda v: f"({v!r}::DOUBLE)"
+    for k, (rule, rate) in enumerate(SWEEP):
+        names = [f"{n}{i}" for i in range(3) for n in "wsv"]
+        out.append(f"t{k}_0 AS (SELECT " + ", ".join(f"0.0::DOUBLE AS {n}" for n in names) + ")")
+        for t in range(1, SWEEP_STEPS + 1):
+            grads = ", ".join(f"avg(2 * ({score} - y){x}) AS g{i}" for i, x in enumerate(("", " * x1", " * x2")))
+            out.append(
+                f"a{k}_{t} AS MATERIALIZED (SELECT {grads}, avg(({score} - y) * ({score} - y)) AS loss FROM r, t{k}_{t - 1})"
+            )
+            columns = []
+            for i in range(3):
+                s, v = f"s{i}", f"v{i}"
+                change = f"-{number(rate)} * g{i}"
+                if rule == "momentum":
+                    v = change = f"(0.9::DOUBLE * v{i} - {number(rate)} * g{i})"
+                if rule == "adam":
+                    s = f"({number(0.9)} * s{i} + {number(1 - 0.9)} * g{i})"
+                    v = f"({number(0.999)} * v{i} + {number(1 - 0.999)} * g{i} * g{i})"
+                    mean, root = f"{s} / {number(1 - 0.9**t)}", f"(sqrt({v} / {number(1 - 0.999**t)}) + 1e-8::DOUBLE)"
+                    change = f"-{number(rate)} * {mean} / {root}"
+                columns += [f"{s} AS s{i}", f"{v} AS v{i}", f"w{i} + ({change}) AS w{i}"]
+            out.append(f"t{k}_{t} AS MATERIALIZED (SELECT {', '.join(columns)} FROM t{k}_{t - 1}, a{k}_{t})")
+        last.append(
+            f"SELECT '{rule}_{rate}' AS name, {SWEEP_STEPS} AS steps, round(a.loss, 6) AS first_loss, round(b.loss, 6) AS last_loss "
+            f"FROM a{k}_1 a, a{k}_{SWEEP_STEPS} b"
+        )
+    return "WITH " + ",\n".join(out) + "\n" + " UNION ALL ".join(last)
+
+
+@query("r9_sweep", sweep_sql())
 def sweep(spark, sf):
     """Every update rule and learning rate on the same rows, in one pass per step."""
     rows = table(spark, sf, "lineitem").select(
         F.array((F.col("l_quantity") - 25.5) / 14.4, F.col("l_discount") * 20 - 1).alias("x"),
         (F.col("l_extendedprice") / 50000 - 1).alias("y"),
     )
-    settings = [
-        fit.Setting(f"{rule}_{rate}", rule, rate) for rule in ("sgd", "momentum", "adam") for rate in (0.05, 0.1)
-    ]
-    fits = fit.fit_many(rows, settings, steps=8, loss="squared")
+    settings = [fit.Setting(f"{rule}_{rate}", rule, rate) for rule, rate in SWEEP]
+    fits = fit.fit_many(rows, settings, steps=SWEEP_STEPS, loss="squared")
     return spark.createDataFrame(
         [(s.name, f.steps, round(f.first_loss, 6), round(f.last_loss, 6)) for s, f in zip(settings, fits)],
         "name string, steps int, first_loss double, last_loss double",

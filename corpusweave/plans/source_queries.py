@@ -8,7 +8,7 @@ from corpusweave.plans.bpe_queries import ENCODED, LEARN, LEARNED, learned
 from corpusweave.plans.run_queries import METRICS
 from corpusweave.plans.registry import query, table, texts
 from corpusweave.session import scratch_path
-from corpusweave.sources import models, runs as run_files, texts as X
+from corpusweave.sources import byte_ranges, models, runs as run_files, texts as X
 
 TOKEN = "<|endoftext|>"
 TOKEN_HEX = TOKEN.encode().hex().upper()
@@ -108,6 +108,78 @@ def split_even(spark, sf):
     return parts.select("doc_id", "part_no", F.octet_length("part").alias("n_bytes"))
 
 
+FILE_DOCS = 16
+FILES = f"""
+    files AS MATERIALIZED (SELECT doc_id // {FILE_DOCS} AS file, string_agg({MARKED} || chr(10), '' ORDER BY doc_id) AS text
+      FROM documents GROUP BY file)
+"""
+
+
+def joined_files(spark, sf):
+    """Files of several documents each, line after line; far more bytes than the ranges they are read by."""
+    path = scratch_path(spark, "files")
+    docs = table(spark, sf, "documents").select(
+        F.expr(f"doc_id div {FILE_DOCS}").alias("file"), "doc_id", F.expr(MARKED).alias("value")
+    )
+    dealt = docs.repartition("file").sortWithinPartitions("file", "doc_id")
+    dealt.select("file", "value").write.partitionBy("file").text(path)
+    return path
+
+
+def by_file(rows, *columns):
+    return rows.select(F.regexp_extract("path", r"file=(\d+)", 1).cast("long").alias("file"), *columns)
+
+
+RANGE = 1500
+
+
+@query(
+    "s3_file_line_batches",
+    f"""
+    WITH RECURSIVE {FILES},
+    l AS MATERIALIZED (SELECT file, unnest({LINES}) AS line, generate_subscripts({LINES}, 1) AS i FROM files),
+    r AS (SELECT file, i, line, length(line) AS filled, 0 AS batch_no FROM l WHERE i = 1
+          UNION ALL
+          SELECT l.file, l.i, l.line, CASE WHEN r.filled >= 900 THEN length(l.line) ELSE r.filled + length(l.line) END,
+                 CASE WHEN r.filled >= 900 THEN r.batch_no + 1 ELSE r.batch_no END
+          FROM r JOIN l ON l.file = r.file AND l.i = r.i + 1)
+    SELECT file, batch_no, string_agg(line, '' ORDER BY i) AS batch FROM r GROUP BY file, batch_no
+    """,
+)
+def file_line_batches(spark, sf):
+    batches = byte_ranges.line_batches(spark, joined_files(spark, sf), 900, RANGE)
+    return by_file(batches, "batch_no", "batch")
+
+
+@query(
+    "s4_file_chunks",
+    f"""
+    WITH {FILES},
+    c AS (SELECT file, unnest(string_split(text, '')) AS ch, generate_subscripts(string_split(text, ''), 1) AS i FROM files),
+    e AS (SELECT *, sum(octet_length(encode(ch))) OVER (PARTITION BY file ORDER BY i) AS upto FROM c)
+    SELECT file, CAST((upto - 1) // 2048 AS BIGINT) AS chunk_no, string_agg(ch, '' ORDER BY i) AS chunk FROM e GROUP BY ALL
+    """,
+)
+def file_chunks(spark, sf):
+    chunks = byte_ranges.read_ranges(spark, joined_files(spark, sf), "chunks", size=2048, range_bytes=4096)
+    return by_file(chunks, F.col("at").alias("chunk_no"), F.col("text").alias("chunk"))
+
+
+@query(
+    "s5_file_records",
+    f"""
+    WITH {FILES},
+    u AS (SELECT file, unnest(string_split(text, '{TOKEN}')) AS part, generate_subscripts(string_split(text, '{TOKEN}'), 1) AS i FROM files),
+    r AS (SELECT file, i, CASE WHEN i = 1 THEN part ELSE '{TOKEN}' || part END AS record FROM u)
+    SELECT file, CAST(coalesce(sum(octet_length(encode(record))) OVER (PARTITION BY file ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS at, record
+    FROM r WHERE record <> ''
+    """,
+)
+def file_records(spark, sf):
+    records = byte_ranges.read_ranges(spark, joined_files(spark, sf), "records", token=TOKEN, range_bytes=RANGE)
+    return by_file(records, "at", F.col("text").alias("record"))
+
+
 @query("s6_schema")
 def schema(spark, sf):
     return X.schema_table(table(spark, sf, "lineitem"))

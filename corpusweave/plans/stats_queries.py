@@ -1,10 +1,14 @@
 """Registered queries for statistical learning."""
 
+import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from corpusweave.functions.draws import digest_sql
+from corpusweave.functions.draws import DIGEST_DIGITS, digest_sql
 from corpusweave.functions import arrays as A
+from corpusweave.operators import classes, gram
 from corpusweave.operators import stats as M
+from corpusweave.operators.vectors import group_means
 from corpusweave.plans.registry import query, table
 
 
@@ -60,7 +64,10 @@ def scaled(spark, sf):
     return rows.select(((F.col("x") - 25.5) / 24.5).alias("x"), (F.col("y") / 1000).alias("y"), "split")
 
 
-SPLIT = f"r AS (SELECT *, CASE WHEN (key * 2654435761 + 1) % 1000003 < 400001 THEN 'test' ELSE 'train' END AS split FROM ({LINE}))"
+SPLIT = (
+    f"r AS (SELECT *, CASE WHEN {digest_sql('key', '1')} < {int(0.4 * 16**DIGEST_DIGITS)} THEN 'test' ELSE 'train' END AS split "
+    f"FROM ({LINE}))"
+)
 
 
 @query(
@@ -73,12 +80,41 @@ SPLIT = f"r AS (SELECT *, CASE WHEN (key * 2654435761 + 1) % 1000003 < 400001 TH
     """,
 )
 def polynomial_one(spark, sf):
-    return rounded(M.polynomial_risk(scaled(spark, sf), "x", "y", [1]), 4, "train_mse", "test_mse")
+    return rounded(gram.polynomial_risk(scaled(spark, sf), "x", "y", [1]), 4, "train_mse", "test_mse")
+
+
+def orthogonal_sql(degrees):
+    """Least squares by polynomials that are orthogonal over the train rows, built from one another in SQL.
+
+    p0 = 1 and p(k+1) = (x - a) pk - b p(k-1); the fit of a degree adds up the projections on its polynomials.
+    """
+    top = max(degrees)
+    out = [
+        f"{SPLIT}, q AS (SELECT (x - 25.5) / 24.5 AS x, y / 1000 AS y, split FROM r)",
+        "t0 AS MATERIALIZED (SELECT x, y, split, 0.0::DOUBLE AS o, 1.0::DOUBLE AS p, 0.0::DOUBLE AS f0 FROM q)",
+    ]
+    for k in range(top + 1):
+        out.append(
+            f"s{k} AS MATERIALIZED (SELECT sum(y * p) / sum(p * p) AS c, sum(x * p * p) / sum(p * p) AS a, "
+            f"sum(p * p) AS h FROM t{k} WHERE split = 'train')"
+        )
+        kept = ", ".join(f"f{d}" for d in range(k + 1))
+        back = f"- s.h / (SELECT h FROM s{k - 1}) * o" if k else ""
+        out.append(
+            f"t{k + 1} AS MATERIALIZED (SELECT x, y, split, p AS o, {kept}, f{k} + s.c * p AS f{k + 1}, "
+            f"(x - s.a) * p {back} AS p FROM t{k}, s{k} s)"
+        )
+    risk = " UNION ALL ".join(
+        f"SELECT {d} AS degree, round(avg((y - f{d + 1}) * (y - f{d + 1})) FILTER (split = 'train'), 4) AS train_mse, "
+        f"round(avg((y - f{d + 1}) * (y - f{d + 1})) FILTER (split = 'test'), 4) AS test_mse FROM t{top + 1}"
+        for d in degrees
+    )
+    return "WITH " + ",\n".join(out) + "\n" + risk
 
 
-@query("m2_polynomial_risk")
+@query("m2_polynomial_risk", orthogonal_sql([1, 3, 7]))
 def polynomial(spark, sf):
-    return rounded(M.polynomial_risk(scaled(spark, sf), "x", "y", [1, 3, 7]), 4, "train_mse", "test_mse")
+    return rounded(gram.polynomial_risk(scaled(spark, sf), "x", "y", [1, 3, 7]), 4, "train_mse", "test_mse")
 
 
 @query(
@@ -120,25 +156,71 @@ def labelled(spark, sf):
     return table(spark, sf, "labels").join(docs, "doc_id").withColumn("x", F.col("n_chars") / 1000.0)
 
 
-@query("m4_logistic_probability")
+def newton_sql(rounds):
+    """Logistic regression of quality on x by Newton steps, one aggregation each; half the squared weight is added."""
+    out = [
+        "r AS MATERIALIZED (SELECT doc_id, quality, n_chars / 1000.0::DOUBLE AS x FROM labels JOIN documents USING (doc_id))",
+        "n0 AS (SELECT 0.0::DOUBLE AS a, 0.0::DOUBLE AS b)",
+    ]
+    for k in range(rounds):
+        out.append(
+            f"z{k} AS (SELECT x, quality, a, b, 1 / (1 + exp(-(a + b * x))) AS p FROM r, n{k}),"
+            f"h{k} AS MATERIALIZED (SELECT any_value(a) AS a, any_value(b) AS b, sum(p - quality) AS ga, sum((p - quality) * x) + any_value(b) AS gb, "
+            f"sum(p * (1 - p)) AS aa, sum(p * (1 - p) * x) AS ab, sum(p * (1 - p) * x * x) + 1 AS bb FROM z{k}),"
+            f"n{k + 1} AS MATERIALIZED (SELECT a - (bb * ga - ab * gb) / (aa * bb - ab * ab) AS a, "
+            f"b - (aa * gb - ab * ga) / (aa * bb - ab * ab) AS b FROM h{k})"
+        )
+    last = f"SELECT doc_id, quality, round(1 / (1 + exp(-(a + b * x))), 6) AS p FROM r, n{rounds}"
+    return "WITH " + ",\n".join(out) + "\n" + last
+
+
+@query("m4_logistic_probability", newton_sql(12))
 def logistic(spark, sf):
-    out = M.logistic_probability(labelled(spark, sf), ["x"], "quality")
-    return rounded(out.select("doc_id", "quality", "p"), 4, "p")
+    out = gram.logistic_probability(labelled(spark, sf), ["x"], "quality")
+    return rounded(out.select("doc_id", "quality", "p"), 6, "p")
 
 
-def first_dims(spark, sf):
-    v = A.doubles("embedding")
-    return table(spark, sf, "embeddings").select("vec_id", "label", v[0].alias("a"), v[1].alias("b"))
+def first_vectors(spark, sf, k):
+    """(class, centre): the vectors with the smallest ids."""
+    first = table(spark, sf, "embeddings").orderBy("vec_id").limit(k)
+    return first.select("vec_id", A.doubles("embedding").alias("centre")).withColumn(
+        "class", F.row_number().over(Window.orderBy("vec_id")) - 1
+    ).drop("vec_id")
 
 
 @query("m5_gaussian_mixture")
 def gaussian_mixture(spark, sf):
-    return M.mixture(first_dims(spark, sf), ["a", "b"], 3).select("vec_id", "component")
-
-
-@query("m6_kmeans")
+    """All 64 dimensions; tests compare the fixed point with plain numpy."""
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    start = np.array([r["centre"] for r in first_vectors(spark, sf, 3).orderBy("class").collect()])
+    model = classes.fit_mixture(rows, "embedding", start)
+    return classes.mixture(rows, "embedding", model).select("vec_id", "component")
+
+
+def lloyd_sql(k, rounds):
+    """Lloyd's rounds over all dimensions from the vectors with the smallest ids."""
+    out = [
+        "z AS MATERIALIZED (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS dim FROM embeddings)",
+        f"f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS centre FROM embeddings ORDER BY vec_id LIMIT {k})",
+        "c0 AS MATERIALIZED (SELECT centre, dim, v AS m FROM z JOIN f USING (vec_id))",
+    ]
+    for i in range(rounds + 1):
+        out.append(
+            f"a{i} AS MATERIALIZED (SELECT vec_id, arg_min(centre, (d, centre)) AS centre FROM "
+            f"(SELECT vec_id, centre, sum((v - m) * (v - m)) AS d FROM z JOIN c{i} USING (dim) GROUP BY ALL) GROUP BY vec_id)"
+        )
+        out.append(
+            f"c{i + 1} AS MATERIALIZED (SELECT centre, dim, coalesce(n.m, c.m) AS m FROM c{i} c LEFT JOIN "
+            f"(SELECT centre, dim, avg(v) AS m FROM z JOIN a{i} USING (vec_id) GROUP BY ALL) n USING (centre, dim))"
+        )
+    return "WITH " + ",\n".join(out) + f"\nSELECT vec_id, CAST(centre AS INTEGER) AS cluster FROM a{rounds}"
+
+
+@query("m6_kmeans", lloyd_sql(3, 6))
 def kmeans(spark, sf):
-    return M.kmeans(first_dims(spark, sf), ["a", "b"], 3).select("vec_id", "cluster")
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    out, _ = classes.kmeans(rows, "embedding", first_vectors(spark, sf, 3), rounds=6)
+    return out.select("vec_id", "cluster")
 
 
 @query(
@@ -151,11 +233,9 @@ def kmeans(spark, sf):
     """,
 )
 def nearest_centre(spark, sf):
-    from corpusweave.operators.vectors import group_means
-
     rows = table(spark, sf, "embeddings")
-    centres = [(r["label"], r["mean"]) for r in group_means(rows, "label", "embedding").orderBy("label").collect()]
-    return rows.select("vec_id", M.nearest_centre(A.doubles("embedding"), centres).alias("cluster"))
+    centres = group_means(rows, "label", "embedding").select(F.col("label").alias("class"), F.col("mean").alias("centre"))
+    return classes.nearest_centre(rows.select("vec_id", "embedding"), "embedding", centres).select("vec_id", "cluster")
 
 
 @query(
@@ -167,9 +247,10 @@ def hash_split(spark, sf):
     return rows.groupBy("l_returnflag", "split").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("m8_validation_curve")
+# A penalty of 1e-6 on sums of tens of thousands does not show at four decimals.
+@query("m8_validation_curve", orthogonal_sql([1, 2, 3, 4, 5]))
 def validation_curve(spark, sf):
-    out = M.polynomial_risk(scaled(spark, sf), "x", "y", [1, 2, 3, 4, 5], ridge=1e-6)
+    out = gram.polynomial_risk(scaled(spark, sf), "x", "y", [1, 2, 3, 4, 5], ridge=1e-6)
     return rounded(out, 4, "train_mse", "test_mse")
 
 
@@ -207,10 +288,8 @@ CLASSES = """
 
 @query("m10_class_gaussians", f"WITH {CLASSES} SELECT doc_id, quality, predicted FROM w")
 def class_gaussians(spark, sf):
-    rows = labelled(spark, sf)
-    return rows.select(
-        "doc_id", "quality", M.classify(F.col("x"), M.class_gaussians(rows, "quality", "x")).alias("predicted")
-    )
+    rows = labelled(spark, sf).select("doc_id", "quality", "x")
+    return classes.classify(rows, "x", classes.class_gaussians(rows, "quality", "x")).select("doc_id", "quality", "predicted")
 
 
 @query(
@@ -225,12 +304,14 @@ def class_gaussians(spark, sf):
     """,
 )
 def bayes_error(spark, sf):
-    rows = labelled(spark, sf)
-    classes = M.class_gaussians(rows, "quality", "x")
-    wrong = (M.classify(F.col("x"), classes) != F.col("quality")).cast("double")
-    seen = rows.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.avg(wrong).alias("rate")).first()
-    out = M.bayes_error(spark, classes, seen["lo"] - 1, seen["hi"] + 1, 2001)
-    return rounded(out.withColumn("error_rate", F.lit(seen["rate"])), 6, "bayes_error", "error_rate")
+    rows = labelled(spark, sf).select("doc_id", "quality", "x")
+    densities = classes.class_gaussians(rows, "quality", "x")
+    scored = classes.classify(rows, "x", densities)
+    wrong = (F.col("predicted") != F.col("quality")).cast("double")
+    seen = scored.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.avg(wrong).alias("rate")).first()
+    error = classes.bayes_error(densities, seen["lo"] - 1, seen["hi"] + 1, 2001)
+    out = spark.createDataFrame([(error, seen["rate"])], "bayes_error double, error_rate double")
+    return rounded(out, 6, "bayes_error", "error_rate")
 
 
 @query(
@@ -243,9 +324,9 @@ def moments(spark, sf):
 
 @query(
     "m13_estimator_quality",
-    """
+    f"""
     WITH t AS (SELECT avg(value) AS theta FROM events),
-    m AS (SELECT (event_id * 2654435761) % 1000003 % 50 AS r, avg(value) AS m FROM events GROUP BY r),
+    m AS (SELECT {digest_sql('event_id', '0')} % 50 AS r, avg(value) AS m FROM events GROUP BY r),
     e AS (SELECT 'mean' AS estimator, m AS e FROM m UNION ALL SELECT 'shifted', m + 0.5::DOUBLE FROM m)
     SELECT estimator, round(avg(e) - any_value(theta), 6) AS bias, round(var_pop(e), 6) AS variance,
            round((avg(e) - any_value(theta)) * (avg(e) - any_value(theta)) + var_pop(e), 6) AS mse FROM e, t GROUP BY estimator

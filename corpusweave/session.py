@@ -68,3 +68,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder below the checkpoint folder, which all executors can reach."""
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Compute a frame once, into a compressed scratch table that later plans read column by column."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusweave.functions.patterns import GPT2_PATTERN
-from corpusweave.operators.bpe import BpeModel, encode_documents
+from corpusweave.operators.bpe import BpeModel, encode_documents, model_from_ranks
 
 
 def write_tokens(docs: DataFrame, model: BpeModel, path: str, key: str = "doc_id") -> None:
@@ -92,3 +92,25 @@ def import_model(
     model = BpeModel(merges, pattern, special_ids, base)
     model.require_ordered()
     return model
+
+
+def read_ranks(spark: SparkSession, path: str) -> DataFrame:
+    """(bytes, rank) of a vocabulary file with one token per line: its bytes in base 64, a blank, its rank."""
+    parts = F.split(F.trim("value"), " ")
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    return lines.select(F.unbase64(parts[0]).alias("bytes"), parts[1].cast("int").alias("rank"))
+
+
+def write_ranks(ranked: DataFrame, path: str) -> None:
+    """The same file from (bytes, rank), in the order of ranks."""
+    # One file of one vocabulary. Long base 64 comes in lines.
+    token = F.regexp_replace(F.base64("bytes"), r"\s", "")
+    lines = ranked.orderBy("rank").select(F.concat_ws(" ", token, F.col("rank").cast("string")).alias("value"))
+    lines.coalesce(1).write.text(path)
+
+
+def load_ranked_model(
+    spark: SparkSession, path: str, specials: dict[str, int] | None = None, pattern: str = GPT2_PATTERN
+) -> BpeModel:
+    """A tokenizer from a vocabulary file of ranks."""
+    return model_from_ranks(read_ranks(spark, path), pattern=pattern, specials=specials)
