@@ -9,8 +9,8 @@ hashes are compared word by word, so the answer is exact.
 Three things keep groups of copies and frequent passages from meeting in one task:
 
 * A task sends equal packed strings once, from their earliest place; the later ones it knows to be repeats.
-  What it sends to one partition is one compressed row, for packed strings overlap and are longer than
-  the texts.
+  What it sends to one target, a fixed share of the buckets, is one compressed row, for packed strings
+  overlap and are longer than the texts. There are as many targets as the corpus needs for each to be small.
 * Minimisers that are frequent in the corpus are counted first. Windows of a frequent one travel
   singly, by a hash of the whole window, and equal ones are again sent once by every task.
 * Only repeats come back, as runs of windows. They are tied to the documents by key.
@@ -51,17 +51,18 @@ FREQUENT = 4096
 SHARED = 1 << 20
 # Windows in one packed string, so that a text of one repeated word is cut too.
 LONGEST_RUN = 512
-# Words of one step, bytes of packed strings in which a task looks for equal ones, bytes sorted at a time,
-# windows compared and minimisers counted at a time.
+# Words of one step, bytes of packed strings in which a task looks for equal ones, bytes of a target, windows
+# compared and minimisers counted at a time.
 STEP_WORDS = 1 << 16
-COMBINE_BYTES = 8 << 20
-SORT_BYTES = 6 << 20
+COMBINE_BYTES = 12 << 20
+TARGET_BYTES = 8 << 20
 COMPARED = 1 << 15
 COUNTED = 1 << 20
 
-LEVEL = 3
+LEVEL = 6
 
-TRAVEL = "key long, packed string, doc long, copy long, start int, n int"
+# Bytes of packed strings for each byte of text, about.
+SPREAD = 3
 PARCEL = "target int, rows int, docs int, body binary"
 RUNS = "doc long, copy long, start int, n int"
 SEPARATORS = byte_set(WHITE_SPACE)
@@ -225,7 +226,7 @@ def parcels(table: pa.Table, targets: int):
     target = (key.view(np.uint64) % np.uint64(targets)).astype(np.int64)
     # Rows of a target in the order of the documents, which compresses best.
     order = places.order[np.argsort(target[places.order], kind="stable")]
-    table, target, rank, key = table.take(pa.array(order)).combine_chunks(), target[order], places.rank[order], key[order]
+    table, target, rank = table.take(pa.array(order)).combine_chunks(), target[order], places.rank[order]
     packed = table.column("packed").combine_chunks()
     data, borders = text_bytes(packed)
     data = memoryview(np.ascontiguousarray(data))
@@ -239,7 +240,7 @@ def parcels(table: pa.Table, targets: int):
     for number, lo, hi in zip(numbers.tolist(), heads.tolist(), np.append(heads[1:], len(target)).tolist(), strict=True):
         new = np.append(True, rank[lo + 1 : hi] != rank[lo : hi - 1])
         at = lo + np.flatnonzero(new)
-        fields = [doc[at], copy[at], key[lo:hi], null[at].astype(np.uint8)]
+        fields = [doc[at], copy[at], null[at].astype(np.uint8)]
         fields += [np.diff(at, append=hi).astype(np.int32), start[lo:hi], n[lo:hi], lengths[lo:hi]]
         body = b"".join([*[f.tobytes() for f in fields], data[borders[lo] : borders[hi]]])
         out.append((number, hi - lo, len(at), packer.compress(body)))
@@ -260,21 +261,21 @@ def unpacked(rows: int, docs: int, body: bytes) -> pa.RecordBatch:
         at += found.nbytes
         return found
 
-    doc, copy, key, null = take("<i8", docs), take("<i8", docs), take("<i8", rows), take("u1", docs)
+    doc, copy, null = take("<i8", docs), take("<i8", docs), take("u1", docs)
     per_doc, start, n, lengths = (take("<i4", k) for k in (docs, rows, rows, rows))
     row = np.repeat(np.arange(docs), per_doc)
     borders = np.concatenate([[0], np.cumsum(np.maximum(lengths, 0), dtype=np.int64)])
     packed = text_array(np.frombuffer(data, np.uint8, offset=at), borders).cast(pa.string())
     packed = pc.if_else(pa.array(lengths >= 0), packed, pa.scalar(None, pa.string()))
-    arrays = [key, packed, pa.array(doc[row], mask=null[row] > 0), copy[row], start, n]
-    return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["key", "packed", "doc", "copy", "start", "n"])
+    arrays = [packed, pa.array(doc[row], mask=null[row] > 0), copy[row], start, n]
+    return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=["packed", "doc", "copy", "start", "n"])
 
 
 def super_kmers(docs: DataFrame, text: str, window: int, minimiser: int, frequent: np.ndarray) -> DataFrame:
-    """Packed strings in the partitions of their buckets; ``docs`` has doc, copy and the text."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(frequent)
-    targets = work_partitions(spark)
+    """Parcels of packed strings by target; ``docs`` has doc, copy and the text."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    targets = -(-max(size * SPREAD, 1) // TARGET_BYTES)
 
     def packed_rows(part: pa.RecordBatch):
         words, singles = Words(part.column(text)), shared.value
@@ -312,13 +313,7 @@ def super_kmers(docs: DataFrame, text: str, window: int, minimiser: int, frequen
         if held:
             yield parcels(combined(pa.concat_tables(held)), targets)
 
-    def unpack(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                yield unpacked(*[batch.column(c)[k].as_py() for c in ("rows", "docs", "body")])
-
-    sent = docs.select("doc", "copy", text).mapInArrow(run, PARCEL)
-    return sent.repartitionById(targets, F.col("target")).mapInArrow(unpack, TRAVEL)
+    return docs.select("doc", "copy", text).mapInArrow(run, PARCEL)
 
 
 def equal_windows(ids: np.ndarray, at: np.ndarray, window: int, place: np.ndarray, bits: int = 64):
@@ -383,36 +378,37 @@ def repeats_in(table: pa.Table, window: int) -> pa.Table:
     )
 
 
-def repeated_runs(kmers: DataFrame, window: int) -> DataFrame:
-    """(doc, copy, start, n): all runs of windows that an equal window precedes."""
+def repeated_runs(sent: DataFrame, window: int) -> DataFrame:
+    """(doc, copy, start, n): all runs of windows that an equal window precedes. A task goes target by target."""
 
     def run(batches):
-        held, size = [], 0
+        held, now = [], None
 
-        def settle(table: pa.Table):
+        def settle():
+            table = pa.Table.from_batches([unpacked(*parcel) for parcel in held])
             known = table.filter(pc.is_null(table.column("packed")))
             yield from known.select(["doc", "copy", "start", "n"]).to_batches()
             travel = table.filter(pc.is_valid(table.column("packed")))
+            del table
             if travel.num_rows:
                 yield from repeats_in(travel, window).to_batches()
 
         for batch in batches:
-            held.append(pa.table(batch))
-            size += batch.nbytes
-            if size >= SORT_BYTES:
-                table = pa.concat_tables(held)
-                key = table.column("key").to_numpy()
-                # The last bucket may go on in the next batch.
-                border = int(np.searchsorted(key, key[-1]))
-                if border:
-                    yield from settle(table.slice(0, border))
-                held = [table.slice(border)]
-                size = held[0].nbytes
+            for k in range(batch.num_rows):
+                target, *parcel = (batch.column(c)[k].as_py() for c in ("target", "rows", "docs", "body"))
+                if held and target != now:
+                    yield from settle()
+                    held = []
+                now = target
+                held.append(parcel)
         if held:
-            yield from settle(pa.concat_tables(held))
+            yield from settle()
+        # A worker goes on to other tasks; it need not keep what this one needed.
+        pa.default_memory_pool().release_unused()
 
-    # All rows of a key are in one partition already.
-    return kmers.sortWithinPartitions("key").mapInArrow(run, RUNS)
+    parts = work_partitions(sent.sparkSession)
+    dealt = sent.repartitionById(parts, F.col("target") % parts).sortWithinPartitions("target")
+    return dealt.mapInArrow(run, RUNS)
 
 
 def deduplicate(
@@ -452,7 +448,7 @@ def deduplicate(
     columns = source.columns
 
     def squeeze(part: pa.RecordBatch) -> pa.RecordBatch:
-        packer = zstandard.ZstdCompressor(level=1)
+        packer = zstandard.ZstdCompressor(level=3)
         texts = part.column(body).cast(pa.binary()).to_pylist()
         squeezed = pa.array([t if t is None else packer.compress(t) for t in texts], pa.binary())
         arrays = [squeezed if c == body else part.column(c) for c in columns]
