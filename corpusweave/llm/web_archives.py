@@ -25,7 +25,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusweave.llm.batches import slices, write_and_read
+from corpusweave.llm.batches import broadcast_if_bytes, slices, write_and_read
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 DATE = "2024-01-01T00:00:00Z"
@@ -33,6 +33,8 @@ DATE = "2024-01-01T00:00:00Z"
 REVISIT_BYTES = 1000
 # Bytes of payload after which a task begins a new package.
 PACKAGE_BYTES = 256 << 20
+# Records of a package, whose index lines a task holds: empty pages have no bytes to count.
+PACKAGE_RECORDS = 100_000
 SALTS = 16
 HOT_COPIES = 10_000
 
@@ -200,11 +202,15 @@ def planned(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     )
     hot = F.when(F.col("n") > HOT_COPIES, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(-1)))
     dealt = write_and_read(copies.select("digest", "target", "n", F.explode(hot).alias("salt")), "warc-copies")
-    plain = dealt.filter("salt < 0").select("digest", "target")
-    often = dealt.filter("salt >= 0").select("digest", F.col("target").alias("hot_target"), "salt")
-    found = marked.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"))
-    found = found.join(plain, "digest", "left").join(often, ["digest", "salt"], "left")
-    target = F.when(large, F.coalesce("target", "hot_target"))
+    # Small payloads need no target and join nothing. Of the others, copies of a hot payload are salted before
+    # the one join that moves pages.
+    hot_digests = broadcast_if_bytes(dealt.filter("salt = 0").select("digest", F.lit(True).alias("hot")))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS))).otherwise(-1).cast("int")
+    salted = marked.filter(large).join(hot_digests, "digest", "left").withColumn("salt", salt).drop("hot")
+    joined = salted.join(dealt.select("digest", "salt", "target"), ["digest", "salt"], "left").drop("salt")
+    small = marked.filter(~large).withColumn("target", F.lit(None).cast(joined.schema["target"].dataType))
+    found = joined.unionByName(small)
+    target = F.col("target")
     revisit = target.isNotNull() & ~F.col("page_id").eqNullSafe(target)
     return found.select(
         "page_id", "url", "html", "bytes", "digest",
@@ -247,7 +253,7 @@ def write(plan: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES) -> D
                     payload = html.encode("utf-8", "surrogatepass")
                     record = record_bytes(page_id, url, payload, digest, kind, target, size)
                     package.add(page_id, url, record, digest, kind, len(payload))
-                    if package.payload >= package_bytes:
+                    if package.payload >= package_bytes or len(package.lines) >= PACKAGE_RECORDS:
                         yield done()
                         package = None
         if package is not None:
