@@ -187,7 +187,7 @@ def fit_many(
     """Fit all settings side by side on rows (x ARRAY<DOUBLE>, y), full batch, cached once."""
     for s in settings:
         if s.rate < 0:
-            raise ValueError(f"invalid learning rate: {s.rate}")
+            raise ValueError(f"setting {s.name!r} has the rate {s.rate}; it must be 0 or more")
         if s.rule not in RULES:
             raise ValueError(f"unknown update rule {s.rule!r}")
     data = rows.persist()

@@ -65,7 +65,7 @@ def predicted_class(logits: Column, temperature: float = 0.0, u: Column | None =
     ``u`` is the draw in [0, 1); the class is the first whose cumulative probability reaches it.
     """
     if temperature < 0:
-        raise ValueError("temperature must be non-negative")
+        raise ValueError(f"a temperature of {temperature} is below 0")
     if temperature == 0:
         return (F.array_position(logits, F.array_max(logits)) - 1).cast("int")
     if u is None:

@@ -60,7 +60,7 @@ def encoding_pieces(
     splitting cuts them out as well. ``none_raise`` fails when a special token occurs.
     """
     if allowed_special not in ("all", "none", "none_raise"):
-        raise ValueError(f"allowed_special={allowed_special} not understood")
+        raise ValueError(f"special tokens are handled as all, none or none_raise, not {allowed_special!r}")
 
     def plain(parts: Column) -> Column:
         return F.transform(

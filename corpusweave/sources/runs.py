@@ -20,13 +20,13 @@ def read_experiments(spark: SparkSession, path: str) -> DataFrame:
 
 def check_experiments(runs: DataFrame) -> None:
     if runs.isEmpty():
-        raise ValueError("expected a non-empty list of experiments")
+        raise ValueError("the table of experiments has no row")
     missing = runs.filter(F.col("name").isNull() | F.col("overrides").isNull()).limit(1).collect()
     if missing:
-        raise ValueError(f"experiment without name or overrides: {missing[0].asDict()}")
+        raise ValueError(f"a row has a null in the columns name or overrides: {missing[0].asDict()}")
     twice = runs.groupBy("name").count().filter("count > 1").orderBy("name").limit(1).collect()
     if twice:
-        raise ValueError(f"duplicate experiment name: {twice[0]['name']!r}")
+        raise ValueError(f"the column name has duplicates: {twice[0]['name']!r} in {twice[0]['count']} rows")
 
 
 def write_history_lines(lines: DataFrame, path: str, order: list[str]) -> None:
