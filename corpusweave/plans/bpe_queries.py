@@ -6,6 +6,8 @@ from corpusweave.functions import symbols as S
 from corpusweave.operators import bpe, pretok, text as X
 from corpusweave.plans import sqltext as Q
 from corpusweave.plans.registry import query, texts
+from corpusweave.session import scratch_path
+from corpusweave.sources import models
 
 LEARNED = 8
 _models: dict = {}
@@ -188,17 +190,19 @@ def encode_with_specials(spark, sf):
     "b10_encode_stream_of_texts",
     f"""
     {LEARN},
-    cp AS (SELECT conv_id, turn, unnest({Q.gpt2_pieces('text')}) AS piece FROM conversations),
+    cp AS (SELECT conv_id, turn, unnest({Q.gpt2_pieces('text')}) AS piece,
+                  generate_subscripts({Q.gpt2_pieces('text')}, 1) AS pos FROM conversations),
     cs AS (SELECT piece, {Q.hex_symbols('hex(encode(piece))')} AS sym FROM (SELECT DISTINCT piece FROM cp)),
-    cm AS (SELECT piece, {Q.apply_merges('sym', LEARNED)} AS sym FROM cs)
-    SELECT conv_id, turn, CAST(sum(length(sym)) AS INTEGER) AS n_tokens FROM cp JOIN cm USING (piece) GROUP BY conv_id, turn
+    cm AS (SELECT piece, {Q.apply_merges('sym', LEARNED)} AS sym FROM cs),
+    ce AS (SELECT conv_id, turn, string_agg(sym, '' ORDER BY pos) AS sym FROM cp JOIN cm USING (piece) GROUP BY conv_id, turn)
+    SELECT conv_id, turn, {IDS} AS ids, CAST(length(sym) AS INTEGER) AS n_tokens FROM ce
     """,
 )
 def encode_batches(spark, sf):
     """Every row is a batch of its own, so pieces never depend on a read boundary."""
     docs = texts(spark, sf, "conv_id", "turn", "text", name="conversations")
     out = bpe.encode_documents(pretok.require_text(docs), learned(spark, sf))
-    return out.select("conv_id", "turn", "n_tokens")
+    return out.select("conv_id", "turn", _ids("ids").alias("ids"), "n_tokens")
 
 
 @query("b11_decode_round_trip", "SELECT doc_id, text AS decoded FROM documents")
@@ -256,22 +260,45 @@ def _permuted(model):
     return bpe.BpeModel(merges, model.pattern, {}, base)
 
 
+def moved_sql(code, offset):
+    return f"({offset} + CASE WHEN {code} < 256 THEN ({code} * 7 + 3) % 256 ELSE {code} END)"
+
+
 @query(
     "b15_permuted_bytes",
     f"""
-    {LEARN}, {ENCODED},
-    t AS (SELECT doc_id, unicode(unnest(string_split(sym, ''))) AS i FROM e)
-    SELECT doc_id, CAST(sum(CASE WHEN i < 256 THEN (i * 7 + 3) % 256 ELSE i END) AS BIGINT) AS id_sum, TRUE AS restored
-    FROM t GROUP BY doc_id
+    {LEARN}, {ENCODED}
+    SELECT doc_id, {IDS.replace('unicode(c)', moved_sql('unicode(c)', 0))} AS ids, TRUE AS restored FROM e
     """,
 )
 def permuted_bytes(spark, sf):
     model = _permuted(learned(spark, sf))
     encoded = bpe.encode_documents(texts(spark, sf, "doc_id", "text"), model)
     return bpe.decode_documents(encoded, model).select(
-        "doc_id",
-        F.aggregate("ids", F.lit(0).cast("long"), lambda a, i: a + i).alias("id_sum"),
-        (F.col("decoded") == F.col("text")).alias("restored"),
+        "doc_id", _ids("ids").alias("ids"), (F.col("decoded") == F.col("text")).alias("restored")
+    )
+
+
+RANKS_FROM = 70_000
+
+
+@query(
+    "b14_model_from_ranks",
+    f"""
+    {LEARN}, {ENCODED}
+    SELECT doc_id, {IDS.replace('unicode(c)', moved_sql('unicode(c)', RANKS_FROM))} AS ids, TRUE AS restored FROM e
+    """,
+)
+def model_from_ranks(spark, sf):
+    """A vocabulary file of bytes and ranks, bytes in another order and ids past 65,535, read as a tokenizer."""
+    vocab = _permuted(learned(spark, sf)).vocab()
+    ranked = spark.createDataFrame([(bytearray(b), RANKS_FROM + i) for i, b in vocab.items()], "bytes binary, rank int")
+    path = scratch_path(spark, "ranks")
+    models.write_ranks(ranked, path)
+    model = models.load_ranked_model(spark, path)
+    encoded = bpe.encode_documents(texts(spark, sf, "doc_id", "text"), model)
+    return bpe.decode_documents(encoded, model).select(
+        "doc_id", _ids("ids").alias("ids"), (F.col("decoded") == F.col("text")).alias("restored")
     )
 
 

@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from corpusweave.plans import sqltext as Q
-from corpusweave.plans.bpe_queries import ENCODED, LEARN, learned
+from corpusweave.plans.bpe_queries import ENCODED, IDS, LEARN, learned
 from corpusweave.plans.registry import query, table
+from corpusweave.plans.stats_queries import BETA
 from corpusweave.session import scratch_path
 from corpusweave.streaming import corpus_stream as W
 
@@ -23,13 +24,14 @@ def dated(spark, sf):
     )
 
 
-@query("w1_encode_stream", f"{LEARN}, {ENCODED} SELECT doc_id, length(sym) AS n_tokens FROM e")
+@query("w1_encode_stream", f"{LEARN}, {ENCODED} SELECT doc_id, {IDS} AS ids, length(sym) AS n_tokens FROM e")
 def encode_stream(spark, sf):
     stream = arriving(spark, table(spark, sf, "documents").select("doc_id", "text"))
     sink = scratch_path(spark, "encoded")
-    encoded = W.encode_stream(stream, learned(spark, sf)).select("doc_id", "n_tokens")
+    encoded = W.encode_stream(stream, learned(spark, sf)).select("doc_id", "ids", "n_tokens")
     W.run_available(encoded, sink, scratch_path(spark, "progress"))
-    return spark.read.parquet(sink).select("doc_id", F.col("n_tokens").cast("long").alias("n_tokens"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",").alias("ids")
+    return spark.read.parquet(sink).select("doc_id", ids, F.col("n_tokens").cast("long").alias("n_tokens"))
 
 
 def _counts(spark, stream, name):
@@ -96,3 +98,31 @@ def beta_stream(spark, sf):
     return out.select(
         "user_id", day.cast("long").alias("day"), "n", "heads", F.round("posterior_mean", 9).alias("posterior_mean")
     )
+
+
+@query(
+    "w3_prefix_posterior_stream",
+    f"""
+    WITH {BETA}
+    SELECT user_id, event_id, n, heads, alpha, beta, map, posterior_mean, mle FROM o
+    """,
+)
+def prefix_posterior_stream(spark, sf):
+    """The posterior after every event; a last event far ahead closes the stream and lets all others out."""
+    events = table(spark, sf, "events").select(
+        "user_id", "event_id", W.event_time("ts").alias("ts"), (F.col("event_type") == "purchase").alias("hit")
+    )
+    path = scratch_path(spark, "arriving")
+    events.repartition(3).write.parquet(path)
+    end = events.agg(F.max("ts").alias("ts")).select(
+        F.lit(None).cast("long").alias("user_id"), F.lit(0).cast("long").alias("event_id"),
+        (F.col("ts") + F.expr("INTERVAL 200 DAYS")).alias("ts"), F.lit(False).alias("hit"),
+    )
+    end.select(*[F.col(f.name).cast(f.dataType) for f in events.schema.fields]).write.mode("append").parquet(path)
+    stream = W.read_stream(spark, path, events.schema, 1)
+    sink = scratch_path(spark, "posterior")
+    with W.use_rocksdb(spark):
+        out = W.prefix_posterior_stream(stream, "user_id", "ts", "event_id", F.col("hit"), delay="100 days")
+        W.run_available(out, sink, scratch_path(spark, "progress"))
+    done = spark.read.parquet(sink).filter("user_id IS NOT NULL").drop("ts")
+    return done.select(*[F.round(c, 9).alias(c) if c in ("map", "posterior_mean", "mle") else c for c in done.columns])
