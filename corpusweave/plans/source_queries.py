@@ -130,7 +130,7 @@ def by_file(rows, *columns):
     return rows.select(F.regexp_extract("path", r"file=(\d+)", 1).cast("long").alias("file"), *columns)
 
 
-RANGE = 1500
+RANGE = 12_000
 
 
 @query(
@@ -161,7 +161,7 @@ def file_line_batches(spark, sf):
     """,
 )
 def file_chunks(spark, sf):
-    chunks = byte_ranges.read_ranges(spark, joined_files(spark, sf), "chunks", size=2048, range_bytes=4096)
+    chunks = byte_ranges.read_ranges(spark, joined_files(spark, sf), "chunks", size=2048, range_bytes=RANGE)
     return by_file(chunks, F.col("at").alias("chunk_no"), F.col("text").alias("chunk"))
 
 
