@@ -243,14 +243,18 @@ def perplexity(loss: Column) -> Column:
 
 
 def loss_reduction(history: DataFrame, run: str = "run", order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
-    """First and last loss of every run and the reduction in percent."""
+    """First and last loss of every run and the reduction in percent.
+
+    A run that begins at a loss of zero has an infinite reduction, or NaN if it stays there.
+    """
     at = F.struct(*order)
     ends = history.groupBy(run).agg(
         F.min_by("train_loss", at).alias("first_loss"), F.max_by("train_loss", at).alias("last_loss")
     )
-    return ends.withColumn(
-        "reduction_pct", 100.0 * (F.col("first_loss") - F.col("last_loss")) / F.col("first_loss")
-    )
+    first, change = F.col("first_loss"), 100.0 * (F.col("first_loss") - F.col("last_loss"))
+    # The division operator refuses zero; the power of -1 is the infinity of its sign.
+    by_zero = change * F.pow(first, F.lit(-1.0))
+    return ends.withColumn("reduction_pct", F.when(first == 0, by_zero).otherwise(change / first))
 
 
 def epoch_losses(batches: DataFrame, epoch: str = "epoch") -> DataFrame:

@@ -192,3 +192,10 @@ def test_histories_keep_run_and_order(spark, tmp_path):
     (tmp_path / "one.txt").write_text("# train_loss val_loss\n3.0 nan\n2.0 1.5\n")
     single = runs.read_history(spark, f"{tmp_path}/one.txt").orderBy("step").collect()
     assert [(r["run"], r["step"], r["train_loss"]) for r in single] == [("one.txt", 0, 3.0), ("one.txt", 1, 2.0)]
+
+
+def test_a_run_that_begins_at_zero_has_an_infinite_reduction(spark):
+    rows = [(1, 1, 0.0), (1, 2, 3.0), (2, 1, 0.0), (2, 2, 0.0), (3, 1, 4.0), (3, 2, 1.0), (4, 1, None)]
+    history = spark.createDataFrame(rows, "run int, ts int, train_loss double").withColumn("event_id", F.col("ts"))
+    found = {r["run"]: r["reduction_pct"] for r in runs.loss_reduction(history).collect()}
+    assert found[1] == -math.inf and math.isnan(found[2]) and found[3] == 75.0 and found[4] is None
