@@ -1,8 +1,9 @@
 """Text files larger than a task, read by byte ranges.
 
-``spark.read.format("text_ranges")`` cuts every file into ranges of ``range_bytes`` and reads each in a
-task of its own. A range settles its borders by itself: a unit belongs to the range in which it begins, and
-its task reads on behind the range to the unit's end. Units are
+``spark.read.format("text_ranges")`` cuts every file into ranges of ``range_bytes``. A task reads one range, or
+its share of the ranges where many small files give more of them than ``tasks``. A range settles its borders
+by itself: a unit belongs to the range in which it begins, and its task reads on behind the range to the
+unit's end. Units are
 
 ``lines``    lines with their line ends
 ``records``  texts that begin at a token, and what comes before the first token
@@ -27,12 +28,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from corpusweave.functions.patterns import END_OF_TEXT
+from corpusweave.session import work_partitions
 
 RANGE_BYTES = 64 << 20
 # A search for a border reads a little first, then more.
 FIRST_BYTES = 1 << 12
 READ_BYTES = 1 << 20
 ROWS = 4096
+ROW_CHARS = 4 << 20
 
 
 def file_system(path: str) -> tuple[fs.FileSystem, str]:
@@ -52,11 +55,24 @@ class Range(InputPartition):
     size: int
 
 
+@dataclass
+class Share(InputPartition):
+    """Ranges that one task reads in turn."""
+
+    ranges: list[Range]
+
+
+def task_count(sizes: list[int], least: int) -> int:
+    """Tasks for ranges of these sizes: one each up to ``least``, beyond that as many as the bytes fill."""
+    return max(min(len(sizes), max(least, -(-sum(sizes) // RANGE_BYTES))), 1)
+
+
 class Reader:
     """Bytes of one file by position."""
 
     def __init__(self, path: str):
         system, inner = file_system(path)
+        self.path = path
         self.file = system.open_input_file(inner)
         self.size = self.file.size()
 
@@ -123,12 +139,13 @@ class RangeReader(DataSourceReader):
         self.size = int(options.get("size", 4 << 20))
         self.chunks = int(options.get("chunks", 4))
         self.range_bytes = max(int(options.get("range_bytes", RANGE_BYTES)), 1)
+        self.tasks = int(options.get("tasks", 64))
         if self.unit == "chunks":
             # Whole chunks in every range.
             self.range_bytes = max(self.range_bytes // self.size, 1) * self.size
 
-    def partitions(self) -> list[Range]:
-        out = []
+    def partitions(self) -> list[Share]:
+        out: list[Range] = []
         for path, size in listed(self.path):
             if not size:
                 continue
@@ -137,22 +154,32 @@ class RangeReader(DataSourceReader):
             if self.unit == "parts":
                 borders = borders[: self.chunks]
             out += [Range(path, b, e, size) for b, e in zip(borders, [*borders[1:], size], strict=True)]
-        return out
-
-    def read(self, partition: Range):
-        reader = Reader(partition.path)
-        at, texts = [], []
-        for place, text in self.units(reader, partition):
-            at.append(place)
-            texts.append(text)
-            if len(at) == ROWS:
-                yield self._batch(partition.path, at, texts)
-                at, texts = [], []
-        if at:
-            yield self._batch(partition.path, at, texts)
-
-    def _batch(self, path: str, at: list[int], texts: list[str]) -> pa.RecordBatch:
-        return pa.record_batch({"path": [path] * len(at), "at": pa.array(at, pa.int64()), "text": pa.array(texts, pa.string())})
+        sizes = [r.end - r.begin for r in out]
+        tasks = task_count(sizes, self.tasks)
+        if tasks >= len(out):
+            return [Share([r]) for r in out]
+        # Neighbours in the list, about the same bytes for each task.
+        owner = (np.cumsum(sizes) - 1) * tasks // sum(sizes)
+        cuts = [0, *(np.flatnonzero(np.diff(owner)) + 1).tolist(), len(out)]
+        return [Share(out[a:b]) for a, b in zip(cuts, cuts[1:])]
+
+    def read(self, partition: Share):
+        reader, held, chars = None, [], 0
+        for part in partition.ranges:
+            if reader is None or reader.path != part.path:
+                reader = Reader(part.path)
+            for place, text in self.units(reader, part):
+                held.append((part.path, place, text))
+                chars += len(text)
+                if len(held) == ROWS or chars >= ROW_CHARS:
+                    yield self._batch(held)
+                    held, chars = [], 0
+        if held:
+            yield self._batch(held)
+
+    def _batch(self, held: list[tuple[str, int, str]]) -> pa.RecordBatch:
+        path, at, texts = (list(x) for x in zip(*held, strict=True))
+        return pa.record_batch({"path": path, "at": pa.array(at, pa.int64()), "text": pa.array(texts, pa.string())})
 
     def units(self, reader: Reader, part: Range):
         if self.unit == "chunks":
@@ -175,7 +202,7 @@ class RangeReader(DataSourceReader):
 
 
 class TextRanges(DataSource):
-    """The registered source; options: path, unit, range_bytes, token, size, chunks."""
+    """The registered source; options: path, unit, range_bytes, token, size, chunks, tasks."""
 
     @classmethod
     def name(cls) -> str:
@@ -209,6 +236,7 @@ def listed(path: str) -> list[tuple[str, int]]:
 def read_ranges(spark: SparkSession, path: str, unit: str = "lines", **options) -> DataFrame:
     """(path, at, text) of every unit; see the module for units and options."""
     spark.dataSource.register(TextRanges)
+    options = {"tasks": work_partitions(spark), **options}
     return spark.read.format("text_ranges").options(path=path, unit=unit, **options).load()
 
 
@@ -244,8 +272,9 @@ def line_batches(spark: SparkSession, path: str, batch_size: int = 4096, range_b
     ranges = [
         (p, b, min(b + range_bytes, size)) for p, size in listed(path) for b in range(0, size, range_bytes)
     ]
+    tasks = task_count([e - b for _, b, e in ranges], work_partitions(spark))
     table = spark.createDataFrame(ranges, "path string, begin long, end long")
-    table = table.repartition(max(len(ranges), 1), "path", "begin")
+    table = table.repartition(tasks, "path", "begin")
 
     def closings(batches):
         for batch in batches:
@@ -290,7 +319,7 @@ def line_batches(spark: SparkSession, path: str, batch_size: int = 4096, range_b
         table.mapInArrow(closings, fields)
         .groupBy("path")
         .applyInPandas(follow, "path string, begin long, end long, open long, number long")
-        .repartition(max(len(ranges), 1), "path", "begin")
+        .repartition(tasks, "path", "begin")
     )
     return begun.mapInArrow(cut, "path string, batch_no int, batch string")
 

@@ -114,3 +114,17 @@ def test_whole_texts(spark, files):
     path, made = files
     rows = texts.read_whole_texts(spark, path).collect()
     assert {r["path"].rsplit("/", 1)[-1]: r["text"] for r in rows} == {k: t for k, t in made.items() if t}
+
+
+def test_many_small_files_share_the_tasks(spark, tmp_path):
+    for k in range(60):
+        (tmp_path / f"{k:02}.txt").write_text(f"line {k}\n" * 5)
+    rows = byte_ranges.read_ranges(spark, str(tmp_path), "lines", range_bytes=16, tasks=5)
+    assert 1 < rows.rdd.getNumPartitions() <= 5
+    found = by_file(rows.collect(), "text")
+    assert found == {f"{k:02}.txt": [(f"line {k}\n",)] * 5 for k in range(60)}
+    batches = byte_ranges.line_batches(spark, str(tmp_path), 15, 16)
+    assert batches.rdd.getNumPartitions() < 60
+    assert sorted("".join(t for _, t in v) for v in by_file(batches.collect(), "batch_no", "batch").values()) == sorted(
+        f"line {k}\n" * 5 for k in range(60)
+    )
