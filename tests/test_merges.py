@@ -6,6 +6,7 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 import tiktoken
@@ -173,3 +174,17 @@ def test_vocabularies_that_are_no_tokenizer(spark):
             bpe.model_from_ranks(ranked(rows), specials=specials)
     with pytest.raises(Exception, match="does not split"):
         bpe.model_from_ranks(ranked([*whole, (b"abc", 256)]))
+
+
+def test_blocks_stay_small_whatever_a_batch_holds(spark):
+    texts = spark.range(600).select(F.repeat(F.lit("ab"), F.lit(2000)).alias("symbols"), F.lit(1).cast("long").alias("n"))
+    sizes = [len(r["ids"]) // 4 for r in merge_learning.pack(texts.coalesce(1)).select("ids").collect()]
+    assert sum(sizes) == 600 * 4001
+    assert max(sizes) <= 2 * merge_learning.BLOCK_SYMBOLS
+
+
+def test_an_encoding_task_holds_a_slice_of_a_batch(spark):
+    texts = pa.array(["x" * 300_000, None, "", "y" * (3 << 20), *["z" * 1000] * 5000])
+    parts = list(bpe._text_slices(texts))
+    assert pa.concat_arrays(parts).equals(texts)
+    assert all(len(p) == 1 or len("".join(t or "" for t in p.to_pylist())) <= bpe.SLICE_BYTES for p in parts)
