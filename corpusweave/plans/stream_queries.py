@@ -6,15 +6,19 @@ from corpusweave.plans import sqltext as Q
 from corpusweave.plans.bpe_queries import ENCODED, IDS, LEARN, learned
 from corpusweave.plans.registry import query, table
 from corpusweave.plans.stats_queries import BETA
-from corpusweave.session import scratch_path
+from corpusweave.session import scratch_path, work_partitions
 from corpusweave.streaming import corpus_stream as W
 
 
-def arriving(spark, df, files=3):
-    """A folder of several files with the rows of a table, read back as a stream."""
-    path = scratch_path(spark, "arriving")
-    df.repartition(files).write.parquet(path)
-    return W.read_stream(spark, path, spark.read.parquet(path).schema, 1)
+def arriving(spark, df, batches=3):
+    """A folder of files with the rows of a table, read back as a stream of some batches.
+
+    A batch is as many files as the session has work partitions, so neither writing nor reading it is left
+    to a few tasks.
+    """
+    path, files = scratch_path(spark, "arriving"), work_partitions(spark)
+    df.repartition(batches * files).write.parquet(path)
+    return W.read_stream(spark, path, df.schema, files)
 
 
 def dated(spark, sf):

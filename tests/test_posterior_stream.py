@@ -52,3 +52,20 @@ def test_prefixes_in_event_time_and_late_rows(spark, tmp_path, two_partitions):
             heads += hit
             expected.append((event, n, heads, round((heads + 2) / (n + 4), 6)))
         assert found[key] == expected
+
+
+def test_a_table_arrives_in_batches_of_many_files(spark):
+    from corpusweave.plans.stream_queries import arriving
+    from corpusweave.session import scratch_path, work_partitions
+
+    stream = arriving(spark, spark.range(3000))
+    stream = stream.withColumn("file", F.input_file_name())
+    sink = scratch_path(spark, "seen")
+    query = stream.writeStream.format("parquet").option("path", sink).option(
+        "checkpointLocation", scratch_path(spark, "progress")
+    ).trigger(availableNow=True).start()
+    query.awaitTermination()
+    seen = spark.read.parquet(sink)
+    assert seen.select("id").distinct().count() == 3000
+    assert seen.select("file").distinct().count() == 3 * work_partitions(spark)
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
