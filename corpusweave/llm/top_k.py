@@ -18,13 +18,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusweave.llm.batches import write_and_read
+from corpusweave.session import work_partitions
 
 SCALE = 256
 BLOCK = 64
 # Vectors that are ordered by likeness before they are cut into blocks, and that a task scores at once.
 SHARD = 4096
 QUERY_SHARD = 256
+# Query packs that a task holds while shards pass by, and shards that may pass one such group in one task.
+PACKS = 16
+SHARDS = 16
 K = 5
+# The id of a place that no vector takes.
+NONE = np.iinfo(np.int64).max
 
 
 def quantised(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
@@ -102,7 +108,7 @@ def pack(vectors: DataFrame, size: int, order: bool) -> DataFrame:
                     pa.array([len(ids)], pa.int32()),
                     pa.array([matrix.shape[1]], pa.int32()),
                     pa.array([ids.astype("<i8").tobytes()]),
-                    pa.array([matrix.astype("<i8").tobytes()]),
+                    pa.array([_narrow(matrix).tobytes()]),
                 ],
                 names=["shard", "n", "width", "ids", "forward"],
             )
@@ -110,17 +116,32 @@ def pack(vectors: DataFrame, size: int, order: bool) -> DataFrame:
     return vectors.mapInArrow(run, PACKED)
 
 
+def _narrow(matrix: np.ndarray) -> np.ndarray:
+    """The same whole numbers in as few bytes as hold them all."""
+    low, high = matrix.min(initial=0), matrix.max(initial=0)
+    return matrix.astype(next(k for k in ("<i2", "<i4", "<i8") if np.iinfo(k).min <= low and high <= np.iinfo(k).max))
+
+
 def _unpacked(ids: bytes, forward: bytes, n: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(ids, "<i8"), np.frombuffer(forward, "<i8").reshape(n, width)
+    kind = f"<i{len(forward) // (n * width)}" if width else "<i8"
+    return np.frombuffer(ids, "<i8"), np.frombuffer(forward, kind).reshape(n, width).astype(np.int64)
 
 
 def search(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, block: int = BLOCK
+    query_ids: np.ndarray,
+    queries: np.ndarray,
+    ids: np.ndarray,
+    vectors: np.ndarray,
+    k: int,
+    block: int = BLOCK,
+    before: tuple[np.ndarray, np.ndarray] | None = None,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(query row, vec_id, score) of the k best of a shard for each query, and the blocks scored.
 
     Ties go to the smaller id. A query never finds a row with its own id. All queries go on together,
-    each in its own order of blocks, so a round is one stacked product.
+    each in its own order of blocks, so a round is one stacked product. ``before`` has the k best
+    (vec_ids, scores) of other shards for each query, places without one as ``NONE``; they stay among
+    the k best, and their last is the first threshold.
     """
     width = max(queries.shape[1], vectors.shape[1])
     queries = np.pad(queries, ((0, 0), (0, width - queries.shape[1])))
@@ -140,7 +161,10 @@ def search(
     blocks = [slice(s, min(s + block, len(ids))) for s in starts]
     least = -(bound + 1)
     best = np.full((len(queries), k), least, kind)
-    best_ids = np.full((len(queries), k), np.iinfo(np.int64).max)
+    best_ids = np.full((len(queries), k), NONE)
+    if before is not None:
+        best_ids = before[0].copy()
+        best = np.where(best_ids == NONE, best, before[1].astype(kind))
     live = np.arange(len(queries))
     scored = 0
     for step in range(n_blocks):
@@ -154,9 +178,14 @@ def search(
             found = queries[rows] @ vectors[blocks[b]].T
             names = np.broadcast_to(ids[blocks[b]], found.shape)
             found = np.where(names == query_ids[rows, None], least, found)
+            # Rows without a score that reaches their k-th best stay as they are.
+            better = (found >= best[rows, -1:]).any(1)
+            if not better.any():
+                continue
+            rows, found, names = rows[better], found[better], names[better]
             scores = np.concatenate([best[rows], found], axis=1)
             names = np.concatenate([best_ids[rows], names], axis=1)
-            names = np.where(scores == least, np.iinfo(np.int64).max, names)
+            names = np.where(scores == least, NONE, names)
             if scores.shape[1] > 4 * k and kind is float:
                 # Whatever ties with the k-th score stays in the sort.
                 kth = -np.partition(-scores, k - 1, axis=1)[:, k - 1]
@@ -166,43 +195,73 @@ def search(
             chosen = np.lexsort((names, -scores), axis=1)[:, :k]
             best[rows] = np.take_along_axis(scores, chosen, 1)
             best_ids[rows] = np.take_along_axis(names, chosen, 1)
-    row, rank = np.nonzero(best != least)
+    row, rank = np.nonzero(best_ids != NONE)
     return row, best_ids[row, rank], best[row, rank].astype(np.int64), scored
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of ``vectors`` for each of ``queries``.
 
-    Both have (vec_id, vector) as ``quantised`` makes them. Queries travel in packs of bounded size and
-    meet each shard of vectors once; the shards' best go through one small merge. A repeated vec_id in
-    ``vectors`` counts as often as it comes; repeated queries are one query, and of different vectors
-    with one id the least is asked.
+    Both have (vec_id, vector) as ``quantised`` makes them. Groups of query packs and rows of shards make
+    cells, and a pack meets each shard once, in the task of their cell: it holds the packs of one group while
+    the shards pass by, each with the threshold of those before. A shard travels once for every group of
+    ``PACKS`` packs, a pack once for every row of shards, and a cell gives back k rows a query. A repeated
+    vec_id in ``vectors`` counts as often as it comes; repeated queries are one query, and of different
+    vectors with one id the least is asked.
     """
     spark = vectors.sparkSession
     asked = queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))
     shards = write_and_read(pack(vectors, SHARD, True), "topk-shards")
-    packs = write_and_read(pack(asked, QUERY_SHARD, False), "topk-queries").withColumnsRenamed(
-        {c.split()[0]: f"q_{c.split()[0]}" for c in PACKED.split(", ")}
-    )
-    # A stated query set against all rows, in blocks: every task gets a few packs and every shard.
-    lanes = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    dealt = shards.withColumn("lane", F.pmod(F.xxhash64("shard"), F.lit(lanes)))
-    asked_all = packs.withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))))
-    pairs = dealt.join(asked_all, "lane")
+    packs = write_and_read(pack(asked, QUERY_SHARD, False), "topk-queries")
+    tasks = work_partitions(spark)
+    groups = max(-(-packs.count() // PACKS), 1)
+    rows = max(min(shards.count(), tasks), -(-shards.count() // SHARDS), 1)
+
+    def dealt(packed: DataFrame, own: str, n_own: int, other: str, n_other: int, kind: int) -> DataFrame:
+        everywhere = F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).alias(other)
+        own_place = F.pmod(F.xxhash64("shard"), F.lit(n_own)).cast("int").alias(own)
+        placed = packed.select("n", "width", "ids", "forward", own_place, F.lit(kind).alias("kind"))
+        return placed.select("*", everywhere).select("group", "row", "kind", "n", "width", "ids", "forward")
+
+    # Every cell's packs come before its shards.
+    cells = dealt(packs, "group", groups, "row", rows, 0).unionByName(dealt(shards, "row", rows, "group", groups, 1))
+    parts = min(groups * rows, max(tasks, rows))
+    cells = cells.repartitionById(parts, F.expr(f"int((bigint(row) * {groups} + group) % {parts})"))
+    cells = cells.sortWithinPartitions("group", "row", "kind")
 
     def run(batches):
+        cell, held, state = None, [], []
+
+        def settled():
+            for (query_ids, _), (names, scores) in zip(held, state, strict=True):
+                at, rank = np.nonzero(names != NONE)
+                if len(at):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(query_ids[at]), pa.array(names[at, rank]), pa.array(scores[at, rank])],
+                        names=["query_id", "vec_id", "score"],
+                    )
+
         for batch in batches:
             for row in range(batch.num_rows):
                 value = {c: batch.column(c)[row].as_py() for c in batch.schema.names}
-                query_ids, asked = _unpacked(value["q_ids"], value["q_forward"], value["q_n"], value["q_width"])
+                if cell != (value["group"], value["row"]):
+                    yield from settled()
+                    cell, held, state = (value["group"], value["row"]), [], []
                 ids, found = _unpacked(value["ids"], value["forward"], value["n"], value["width"])
-                at, names, scores, _ = search(query_ids, asked, ids, found, k)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(query_ids[at]), pa.array(names), pa.array(scores)], names=["query_id", "vec_id", "score"]
-                )
-
-    columns = ["n", "width", "ids", "forward", "q_n", "q_width", "q_ids", "q_forward"]
-    found = pairs.select(*columns).mapInArrow(run, "query_id long, vec_id long, score long")
+                if value["kind"] == 0:
+                    held.append((ids, found))
+                    state.append((np.full((len(ids), k), NONE), np.zeros((len(ids), k), np.int64)))
+                    continue
+                for number, (query_ids, asked) in enumerate(held):
+                    at, names, scores, _ = search(query_ids, asked, ids, found, k, before=state[number])
+                    # Rows come in order, the best first.
+                    place = np.arange(len(at)) - np.searchsorted(at, at)
+                    best_names, best_scores = np.full((len(query_ids), k), NONE), np.zeros((len(query_ids), k), np.int64)
+                    best_names[at, place], best_scores[at, place] = names, scores
+                    state[number] = best_names, best_scores
+        yield from settled()
+
+    found = cells.mapInArrow(run, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))

@@ -57,6 +57,21 @@ def test_top_k_equals_brute_force(spark):
     assert top_k.top_k(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_packs_travel_once_a_row_of_shards(spark, monkeypatch):
+    """More packs and shards than a cell holds: each pair meets once, and no pack is copied for every lane."""
+    monkeypatch.setattr(top_k, "SHARD", 16)
+    monkeypatch.setattr(top_k, "QUERY_SHARD", 2)
+    monkeypatch.setattr(top_k, "PACKS", 2)
+    monkeypatch.setattr(top_k, "SHARDS", 3)
+    rng = random.Random(5)
+    rows = [(k, [rng.choice([-1.0, 0.0, 0.5, 1.0]) for _ in range(6)]) for k in range(900)]
+    vectors = top_k.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4))
+    found = top_k.top_k(vectors, vectors.filter("vec_id % 50 = 0"), 5)
+    assert "BroadcastNestedLoopJoin" not in found._jdf.queryExecution().toString()
+    assert "Join" not in found._jdf.queryExecution().toString()
+    assert {tuple(r) for r in found.collect()} == plain_top(rows, 5)
+
+
 def test_large_components_stay_exact():
     ids = np.arange(3)
     big = np.array([[3_000_000_019, 7], [3_000_000_019, 8], [5, 1]])
