@@ -52,11 +52,18 @@ def map_slices(
     return df.mapInArrow(run, schema)
 
 
-def write_and_read(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Cut the lineage with a compressed table in the shared scratch folder."""
+def write_and_read(df: DataFrame, name: str, *partition_by: str, rows: int | None = None) -> DataFrame:
+    """Cut the lineage with a compressed table in the shared scratch folder.
+
+    ``rows`` bounds the rows of a row group, for rows of megabytes: a group is held when it is written, and
+    a reader decodes thousands of its rows at once.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    if rows is not None:
+        writer = writer.option("parquet.block.row.count.limit", rows).option("parquet.page.size.row.check.min", 1)
+    writer.parquet(path)
     return spark.read.parquet(path)
 
 

@@ -47,6 +47,8 @@ BLOCK_BYTES = 2 << 20
 BLOCK_WORDS = 1 << 19
 FILTER_KEYS = 1 << 21
 SHARD_KEYS = 1 << 19
+# Blocks of a row group: Spark's reader decodes the words and codes of up to 4,096 rows of a group at once.
+FILE_BLOCKS = 4
 LIMIT_BITS = 32
 
 WORDS = "array<struct<lang:string,word:string,n:bigint>>"
@@ -116,7 +118,8 @@ def blocks(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame
                     )
 
     made = source.mapInArrow(run, f"words {WORDS}, codes binary, width int, own long")
-    return write_and_read(made.withColumn("block", F.monotonically_increasing_id()), "phrase-blocks")
+    made = made.withColumn("block", F.monotonically_increasing_id())
+    return write_and_read(made, "phrase-blocks", rows=FILE_BLOCKS)
 
 
 def word_counts(made: DataFrame) -> DataFrame:
@@ -124,19 +127,24 @@ def word_counts(made: DataFrame) -> DataFrame:
 
 
 def joined_numbers(made: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Blocks with the codes and numbers of their frequent words, by a join on distinct words of blocks.
+    """(block, code, id, codes, width, own): each block's row, with code -1, and then its frequent words.
 
-    The lists of a block are no longer than its own.
+    Words of blocks meet the vocabulary in a join. What belongs to a block comes in one task in a row, by a sort
+    that may spill, and no list of it is held in the JVM.
     """
-    found = (
+    numbered = (
         made.select("block", F.posexplode("words").alias("code", "w"))
         .select("block", "code", "w.lang", "w.word")
         .join(vocabulary.select("lang", "word", "id"), ["lang", "word"])
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("code", "id")).alias("found"))
+        .select("block", "code", "id")
+    )
+    own = made.select("block", F.lit(-1).alias("code"), "codes", "width", "own")
+    return (
+        own.unionByName(numbered, allowMissingColumns=True)
+        .select("block", "code", "id", "codes", "width", "own")
+        .repartition("block")
+        .sortWithinPartitions("block", "code")
     )
-    joined = made.select("block", "codes", "width", "own").join(found, "block")
-    return joined.select("codes", "width", "own", F.col("found.code").alias("code"), F.col("found.id").alias("id"))
 
 
 def shared_numbers(made: DataFrame, vocabulary: DataFrame, limit: int):
@@ -159,8 +167,48 @@ def shared_numbers(made: DataFrame, vocabulary: DataFrame, limit: int):
     return find
 
 
-def _joined_row(row: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    return row.column("code").flatten().to_numpy(), row.column("id").flatten().to_numpy().astype(np.uint64)
+def _stream(row: pa.RecordBatch) -> tuple[np.ndarray, int]:
+    """The stream of a block's only row, and the places in it that are its own."""
+    width = np.uint16 if row.column("width")[0].as_py() == 2 else np.uint32
+    return np.frombuffer(row.column("codes")[0].as_buffer(), width), row.column("own")[0].as_py()
+
+
+def shared_blocks(find):
+    """A function from batches of blocks to (stream, own, codes, numbers) of each block."""
+
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1)
+                yield *_stream(row), *find(row)
+
+    return run
+
+
+def joined_blocks(batches):
+    """(stream, own, codes, numbers) of each block, from the rows of ``joined_numbers``."""
+    block, codes, numbers = None, [], []
+
+    def settle():
+        empty = np.zeros(0, np.int64)
+        return *block, np.concatenate([empty, *codes]), np.concatenate([empty, *numbers]).astype(np.uint64)
+
+    for batch in batches:
+        code = batch.column("code").to_numpy()
+        starts = np.flatnonzero(code < 0)
+        for lo, hi in zip([0, *starts], [*starts, batch.num_rows], strict=True):
+            if lo < hi and code[lo] < 0:
+                if block is not None:
+                    yield settle()
+                # The bytes are copied, so that the batch can go.
+                stream, own = _stream(batch.slice(lo, 1))
+                block, codes, numbers = (stream.copy(), own), [], []
+                lo += 1
+            if lo < hi:
+                codes.append(code[lo:hi].copy())
+                numbers.append(batch.column("id").slice(lo, hi - lo).to_numpy().copy())
+    if block is not None:
+        yield settle()
 
 
 def _phrases(ids: np.ndarray, own: int):
@@ -177,10 +225,10 @@ def _phrases(ids: np.ndarray, own: int):
 STORED = ("runs", "remainders", "repeated", "counters")
 
 
-def filters(made: DataFrame, find, bits: int, shard_bits: int) -> DataFrame:
+def filters(made: DataFrame, numbered, bits: int, shard_bits: int) -> DataFrame:
     """(words, shard, entries, ...): filters of what every task counts, flushed at a fixed number of keys.
 
-    ``find`` gives the codes of a block's frequent words and their numbers.
+    ``numbered`` gives the stream of each block with the codes of its frequent words and their numbers.
     """
 
     def flush(held):
@@ -200,22 +248,17 @@ def filters(made: DataFrame, find, bits: int, shard_bits: int) -> DataFrame:
 
     def run(batches):
         held, size = {}, 0
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1)
-                width = np.uint16 if row.column("width")[0].as_py() == 2 else np.uint32
-                stream = np.frombuffer(row.column("codes")[0].as_buffer(), width)
-                code, number = find(row)
-                # Codes of words that have no number lead to 0, as breaks do.
-                table = np.zeros(int(stream.max(initial=0)) + 1, np.uint64)
-                table[code + 1] = number
-                for columns in _phrases(table[stream], row.column("own")[0].as_py()):
-                    if len(columns[0]):
-                        held.setdefault(len(columns), []).append(Keys(len(columns), bits).permute(columns))
-                        size += len(columns[0])
-                if size >= FILTER_KEYS:
-                    yield from flush(held)
-                    held, size = {}, 0
+        for stream, own, code, number in numbered(batches):
+            # Codes of words that have no number lead to 0, as breaks do.
+            table = np.zeros(int(stream.max(initial=0)) + 1, np.uint64)
+            table[code + 1] = number
+            for columns in _phrases(table[stream], own):
+                if len(columns[0]):
+                    held.setdefault(len(columns), []).append(Keys(len(columns), bits).permute(columns))
+                    size += len(columns[0])
+            if size >= FILTER_KEYS:
+                yield from flush(held)
+                held, size = {}, 0
         yield from flush(held)
 
     stored = ", ".join(f"{k} binary" for k in STORED)
@@ -335,7 +378,7 @@ def mine(
     # A small vocabulary goes to every task, a larger one joins the distinct words of the blocks.
     find = shared_numbers(made, vocabulary, broadcast_bytes)
     source = made.drop("block") if find else joined_numbers(made, vocabulary)
-    sent = filters(source, find or _joined_row, bits, shard_bits)
+    sent = filters(source, shared_blocks(find) if find else joined_blocks, bits, shard_bits)
     phrases = write_and_read(frequent_phrases(sent, bits, shard_bits, least), "phrases")
 
     scored = weakest_cuts(phrases, vocabulary)

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from corpusweave.llm import collocations, fill_middle, quotient_filter, spans, substring_dedup
 from pyspark.sql import functions as F
@@ -266,6 +267,26 @@ def test_collocations_equal_plain_counts(spark, least, first, shard_keys, broadc
     assert sorted(tuple(r) for r in out.collect()) == plain_phrases(rows, least, 80, first)
 
 
+def test_blocks_of_a_file_are_read_a_few_at_a_time(spark):
+    """A reader decodes a row group at once, so a group holds few of the rows of megabytes."""
+    docs = spark.createDataFrame([("en", "a b " * 1_500_000)], "lang string, text string")
+    made = collocations.blocks(docs)
+    files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in made.inputFiles()]
+    sizes = [f.row_group(k).num_rows for f in files for k in range(f.num_row_groups)]
+    assert sum(sizes) == 6 and max(sizes) <= collocations.FILE_BLOCKS
+
+
+def test_words_of_a_block_are_no_list_in_the_jvm(spark):
+    docs = spark.createDataFrame([("en", "a b c"), ("de", "b. b d")], "lang string, text string").repartition(2)
+    made = collocations.blocks(docs)
+    listed = spark.createDataFrame([("en", "b", 1), ("de", "b", 2), ("de", "d", 3)], "lang string, word string, id long")
+    joined = collocations.joined_numbers(made, listed)
+    assert "collect_list" not in joined._jdf.queryExecution().toString()
+    found = collocations.joined_blocks(pa.Table.from_pandas(joined.coalesce(1).toPandas()).to_batches(max_chunksize=2))
+    # A null id makes a column of floats in pandas, so numbers are compared as such.
+    assert sorted(sorted(int(n) for n in numbers) for _, _, _, numbers in found) == [[1], [2, 3]]
+
+
 def test_collocations_of_no_rows_and_no_words(spark):
     for rows in ([], [(1, None, None), (2, ".,", "en")], [(1, "once only", "en")]):
         assert collocations.mine(spark.createDataFrame(rows, EMPTY)).count() == 0
