@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from corpusweave.functions.draws import digest_number
 from corpusweave.functions.ordered import with_ordered
-from corpusweave.operators.text import words
+from corpusweave.operators.text import WORD_SPACE, text_slices
 from corpusweave.session import durable
 
 MAX_LOSS = 20.0
 # Rows of a context that a draw looks through after it has found their block.
 BLOCK_ROWS = 256
+# Text bytes and windows that a task counts at a time.
+COUNTED_BYTES = 4 << 20
+WINDOWS = 1 << 22
 
 
 def char_ngrams(text: Column, n: int, include_last: bool = False) -> Column:
@@ -25,14 +30,63 @@ def char_ngrams(text: Column, n: int, include_last: bool = False) -> Column:
     return F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{n}}}){tail})."), F.lit(1))
 
 
+def _counted_windows(texts: list[str], n: int, include_last: bool):
+    """(grams, counts) of the windows of n characters of some texts, a bounded number of windows at a time."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    windows = np.maximum(sizes - n + include_last, 0)
+    ends = np.cumsum(windows)
+    seen = np.zeros(0x110000, bool)
+    seen[points] = True
+    alphabet = np.flatnonzero(seen).astype("<u4")
+    ranks = np.zeros(0x110000, np.int32)
+    ranks[alphabet] = np.arange(len(alphabet))
+    ids, base = ranks[points], len(alphabet)
+    moves = np.cumsum(sizes) - sizes - (ends - windows)
+    for lo in range(0, int(ends[-1]) if len(ends) else 0, WINDOWS):
+        at = np.arange(lo, min(lo + WINDOWS, int(ends[-1])))
+        at += moves[np.searchsorted(ends, at, side="right")]
+        codes, bound, exact = ids[at].astype(np.int64), base, True
+        for k in range(1, n):
+            if bound * base >= 1 << 62:
+                # Too many characters for one number: what was seen so far is numbered anew.
+                found, codes = np.unique(codes, return_inverse=True)
+                bound, exact = len(found), False
+            codes *= base
+            codes += ids[at + k]
+            bound *= base
+        if exact:
+            found, counts = np.unique(codes, return_counts=True)
+            made = np.zeros((len(found), n), "<u4")
+            for k in reversed(range(n)):
+                found, digit = np.divmod(found, base)
+                made[:, k] = alphabet[digit]
+        else:
+            _, first, counts = np.unique(codes, return_index=True, return_counts=True)
+            made = points[at[first][:, None] + np.arange(n)]
+        whole = made.tobytes().decode("utf-32-le", "surrogatepass")
+        yield [whole[k : k + n] for k in range(0, len(whole), n)], counts
+
+
 def char_ngram_counts(
     docs: DataFrame, n: int, text: str = "text", include_last: bool = False
 ) -> DataFrame:
-    """Counts of (context, next) with a context of n-1 characters."""
+    """Counts of (context, next) with a context of n-1 characters.
+
+    Tasks count the windows of a few megabytes of text as numbers, so a row is made for each distinct window
+    of those and not for each character.
+    """
     if n < 1:
         raise ValueError("n must be at least 1")
-    grams = docs.select(F.explode(char_ngrams(F.col(text), n, include_last)).alias("gram"))
-    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("cnt"))
+
+    def count(batches):
+        for batch in batches:
+            for part in text_slices(batch.column("text"), COUNTED_BYTES):
+                for grams, counts in _counted_windows(part.drop_null().to_pylist(), n, include_last):
+                    yield pa.record_batch({"gram": pa.array(grams, pa.string()), "cnt": pa.array(counts, pa.int64())})
+
+    partial = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(count, "gram string, cnt long")
+    counts = partial.groupBy("gram").agg(F.sum("cnt").alias("cnt"))
     return counts.select(
         F.substring("gram", 1, n - 1).alias("context"), F.substring("gram", n, 1).alias("next"), "cnt"
     )
@@ -41,22 +95,22 @@ def char_ngram_counts(
 def word_ngram_counts(
     docs: DataFrame, n: int, text: str = "text", lower: bool = True, include_last: bool = False
 ) -> DataFrame:
-    """The same over words; the context is the words joined by a blank."""
-    listed = docs.select(words(F.col(text), lower).alias("w"))
-    last = F.size("w") - n - (0 if include_last else 1)
-    windows = F.transform(
-        F.sequence(F.lit(0), last),
-        lambda i: F.struct(
-            F.array_join(F.slice("w", i + 1, F.lit(n - 1)), " ").alias("context"),
-            F.get("w", i + n - 1).alias("next"),
-        ),
-    )
-    return (
-        listed.filter(last >= 0)
-        .select(F.inline(windows))
-        .groupBy("context", "next")
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
+    """The same over words; the context is the words joined by a blank.
+
+    Words are parted by one blank each, and a pattern consumes a word at a time and looks ahead for the window,
+    so a window is one string from the start.
+    """
+    if n < 1:
+        raise ValueError("n must be at least 1")
+    source = F.lower(text) if lower else F.col(text)
+    parted = F.concat(F.trim(F.regexp_replace(source, WORD_SPACE, " ")), F.lit(" "))
+    word, beyond = "[^ ]++", "" if include_last else "[^ ]"
+    window = rf"(?<![^ ])(?=({word}(?: {word}){{{n - 1}}}) {beyond}){word}"
+    grams = docs.select(F.explode(F.regexp_extract_all(parted, F.lit(window), F.lit(1))).alias("gram"))
+    counts = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("cnt"))
+    last = F.substring_index("gram", " ", -1)
+    context = F.left("gram", F.length("gram") - F.length(last) - 1) if n > 1 else F.lit("")
+    return counts.select(context.alias("context"), last.alias("next"), "cnt")
 
 
 def with_probability(counts: DataFrame) -> DataFrame:

@@ -1,4 +1,6 @@
+import hashlib
 import math
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -199,3 +201,39 @@ def test_a_run_that_begins_at_zero_has_an_infinite_reduction(spark):
     history = spark.createDataFrame(rows, "run int, ts int, train_loss double").withColumn("event_id", F.col("ts"))
     found = {r["run"]: r["reduction_pct"] for r in runs.loss_reduction(history).collect()}
     assert found[1] == -math.inf and math.isnan(found[2]) and found[3] == 75.0 and found[4] is None
+
+
+ODD_TEXTS = [None, "", " ", "a", "A b", "a b  c\td\n", " Ärger über b c d e f a b c ", "x　y z\x1cw v", "🙂 b 🙂 b 🙂 b 🙂"]
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("include_last", [False, True])
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_word_windows_are_strings_from_the_start(spark, n, include_last):
+    docs = spark.createDataFrame([(t,) for t in ODD_TEXTS], "text string")
+    out = ngram.word_ngram_counts(docs, n, include_last=include_last)
+    assert "transform(" not in optimized(out)
+    want = Counter()
+    for t in ODD_TEXTS:
+        w = (t or "").lower().split()
+        for i in range(max(len(w) - n + include_last, 0)):
+            want[" ".join(w[i : i + n - 1]), w[i + n - 1]] += 1
+    assert {(r["context"], r["next"]): r["cnt"] for r in out.collect()} == want
+
+
+@pytest.mark.parametrize("include_last", [False, True])
+@pytest.mark.parametrize("n", [1, 2, 4, 7])
+def test_character_windows_are_counted_in_tasks(spark, n, include_last):
+    # Seven of 8,000 characters do not fit into one number.
+    texts = [*ODD_TEXTS, "abcabcabcabc" * 20, "".join(map(chr, range(0x4E00, 0x4E00 + 8000))) * 2]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    out = ngram.char_ngram_counts(docs, n, include_last=include_last)
+    assert "explode(" not in optimized(out)
+    want = Counter()
+    for t in texts:
+        for i in range(max(len(t or "") - n + include_last, 0)):
+            want[t[i : i + n - 1], t[i + n - 1]] += 1
+    assert {(r["context"], r["next"]): r["cnt"] for r in out.collect()} == want
