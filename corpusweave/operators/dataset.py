@@ -172,17 +172,15 @@ def stream_strided_blocks(tokens: DataFrame, seq: int, key: str = "doc_id") -> D
 
 
 def sliding_windows(tokens: DataFrame, k: int, key: str = "doc_id") -> DataFrame:
-    """Every context of k tokens with the token that follows; len-k rows per document."""
+    """Every context of k tokens with the token that follows; len-k rows per document.
+
+    The tokens of a window stand next to each other in moved copies of the ids, so no window is sliced.
+    """
     n = F.size("ids")
-    made = F.transform(
-        F.sequence(F.lit(0), n - k - 1),
-        lambda i: F.struct(
-            i.alias("start"),
-            F.slice("ids", i + 1, F.lit(k)).alias("context"),
-            F.get("ids", i + k).alias("target"),
-        ),
-    )
-    return tokens.filter(n - k - 1 >= 0).select(key, F.inline(made))
+    moved = F.arrays_zip(*[F.slice("ids", F.lit(j + 1), n - k).alias(f"t{j}") for j in range(k + 1)])
+    made = tokens.filter(n - k - 1 >= 0).select(key, F.posexplode(moved).alias("start", "_w"))
+    context = F.array(*[F.col(f"_w.t{j}") for j in range(k)]).cast(tokens.schema["ids"].dataType)
+    return made.select(key, "start", context.alias("context"), F.col(f"_w.t{k}").alias("target"))
 
 
 def draw_start(k: Column, seed: int, max_start: int) -> Column:

@@ -237,3 +237,11 @@ def test_character_windows_are_counted_in_tasks(spark, n, include_last):
         for i in range(max(len(t or "") - n + include_last, 0)):
             want[t[i : i + n - 1], t[i + n - 1]] += 1
     assert {(r["context"], r["next"]): r["cnt"] for r in out.collect()} == want
+
+
+def test_windows_are_not_sliced_one_by_one(spark):
+    rows = spark.createDataFrame([(1, [5, 6, 7, 8, 9]), (2, [1, 2]), (3, None), (None, [4, 4, 4])], "doc_id long, ids array<int>")
+    out = dataset.sliding_windows(rows, 2)
+    assert "transform(" not in optimized(out)
+    found = {(r["doc_id"], r["start"], tuple(r["context"]), r["target"]) for r in out.collect()}
+    assert found == {(1, 0, (5, 6), 7), (1, 1, (6, 7), 8), (1, 2, (7, 8), 9), (None, 0, (4, 4), 4)}
