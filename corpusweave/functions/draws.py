@@ -17,10 +17,15 @@ def residue(key: Column, seed: int, modulus: int) -> Column:
     return F.pmod(small * F.lit(FACTOR) + F.lit(seed), F.lit(modulus))
 
 
+def digest(*parts: Column | int) -> Column:
+    """Digest of the parts, joined by colons, in lower-case hex digits."""
+    text = F.concat_ws(":", *[(p if isinstance(p, Column) else F.lit(p)).cast("string") for p in parts])
+    return F.md5(text.cast("binary"))
+
+
 def digest_number(*parts: Column | int) -> Column:
     """Uniform whole number of 60 bits from a digest of the parts, joined by colons."""
-    text = F.concat_ws(":", *[(p if isinstance(p, Column) else F.lit(p)).cast("string") for p in parts])
-    return F.conv(F.substring(F.md5(text.cast("binary")), 1, DIGEST_DIGITS), 16, 10).cast("long")
+    return F.conv(F.substring(digest(*parts), 1, DIGEST_DIGITS), 16, 10).cast("long")
 
 
 def digest_sql(*parts: str) -> str:

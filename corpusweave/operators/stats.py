@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusweave.functions.draws import DIGEST_DIGITS, digest_number
+from corpusweave.functions.draws import DIGEST_DIGITS, digest, digest_number
 from corpusweave.functions.ordered import Fold, row_index, with_ordered
 from corpusweave.operators import gram
 
@@ -163,11 +163,20 @@ def estimator_quality(rows: DataFrame, x: str, key: str, replicates: int, shift:
 
 
 def resample_weight(key: Column, replicate: Column) -> Column:
-    """Poisson(1) weight of a row in a replicate, drawn anew for each pair of row and replicate."""
-    cuts = F.array(*[F.lit(c) for c in poisson_cuts()])
-    # The array of one holds the draw, so that it is taken once and not for every border.
-    drawn = F.transform(F.array(digest_number(key, replicate)), lambda u: F.size(F.filter(cuts, lambda c: u >= c)))
-    return drawn[0]
+    """Poisson(1) weight of a row in a replicate, drawn anew for each pair of row and replicate.
+
+    The hex digits of a digest order as its number does, so they are compared with the borders as they are.
+    """
+    borders = [f"{c:0{DIGEST_DIGITS}x}" for c in poisson_cuts()]
+
+    def weight(drawn: Column) -> Column:
+        found = F.when(drawn < borders[0], 0)
+        for k, border in enumerate(borders[1:], 1):
+            found = found.when(drawn < border, k)
+        return found.otherwise(len(borders))
+
+    # The array of one holds the digest, so that it is taken once and not for every border.
+    return F.transform(F.array(digest(key, replicate)), weight)[0]
 
 
 def poisson_cuts() -> list[int]:
@@ -191,12 +200,13 @@ def bias_variance(rows: DataFrame, x: str, y: str, key: str, at: float, replicat
     drawn = rows.select(
         F.col(x).alias("_x"), F.col(y).alias("_y"), F.col(key).cast("long").alias("_k"),
         F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("_r"),
-    ).withColumn("_w", resample_weight(F.col("_k"), F.col("_r").cast("long"))).filter("_w > 0")
-    w, vx, vy = F.col("_w"), F.col("_x"), F.col("_y")
+    ).withColumn("_w", resample_weight(F.col("_k"), F.col("_r").cast("long")))
+    # A filter by the weight would draw it twice, so rows without weight are left out of the sums instead.
+    w, vx, vy = F.when(F.col("_w") > 0, F.col("_w")), F.col("_x"), F.col("_y")
     fits = drawn.groupBy("_r").agg(
         F.sum(w).alias("n"), F.sum(w * vx).alias("sx"), F.sum(w * vy).alias("sy"),
         F.sum(w * vx * vx).alias("sxx"), F.sum(w * vx * vy).alias("sxy"),
-    )
+    ).filter("n > 0")
     slope = F.expr("(n * sxy - sx * sy) / (n * sxx - sx * sx)")
     predicted = fits.withColumn("_b", slope).select((F.expr("(sy - _b * sx) / n") + F.col("_b") * at).alias("_p"))
     out = predicted.agg(F.avg("_p").alias("_mean"), F.var_pop("_p").alias("variance"))

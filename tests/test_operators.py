@@ -245,3 +245,14 @@ def test_windows_are_not_sliced_one_by_one(spark):
     assert "transform(" not in optimized(out)
     found = {(r["doc_id"], r["start"], tuple(r["context"]), r["target"]) for r in out.collect()}
     assert found == {(1, 0, (5, 6), 7), (1, 1, (6, 7), 8), (1, 2, (7, 8), 9), (None, 0, (4, 4), 4)}
+
+
+def test_resamples_draw_once(spark):
+    rows = spark.range(40).selectExpr("id AS key", "double(id % 5) AS x", "double(id) AS y")
+    out = rows.select(stats.resample_weight(F.col("key"), F.lit(3)).alias("w"), "key").withColumn("v", F.col("w") * 2)
+    cuts = stats.poisson_cuts()
+    for r in out.collect():
+        drawn = int(hashlib.md5(f"{r['key']}:3".encode()).hexdigest()[:15], 16)
+        assert r["w"] == sum(drawn >= c for c in cuts)
+    assert stats.bias_variance(rows, "x", "y", "key", 2.0, 8).first()["variance"] > 0
+    assert "conv(" not in optimized(out)
