@@ -172,3 +172,20 @@ def test_a_token_of_two_high_bytes_decodes(spark):
     model = bpe.BpeModel([(255, 255, 300)], None)
     row = spark.createDataFrame([(1, [300, 97])], "doc_id long, ids array<int>")
     assert bpe.decode_documents(row, model).first()["decoded"] == "��a"
+
+
+def test_ids_are_looked_up_by_piece_and_not_by_symbol(spark):
+    """Nulls, special tokens, moved byte ids and ids past the surrogates, equal to the native fold."""
+    docs = frame(spark, [*SAMPLES, None, f"low{END}lower {END}{END} newest\x00", "low low low", END]).coalesce(1)
+    base = {(b * 7 + 3) % 256: bytes([b]) for b in range(256)}
+    ids = {t[0]: i for i, t in base.items()}
+    merges = [(ids[ord("l")], ids[ord("o")], 0xD7FF), (0xD7FF, ids[ord("w")], 0xD800), (ids[ord(" ")], 0xD800, 70_000)]
+    model = bpe.BpeModel(merges, GPT2_PATTERN, {}, base)
+    for one in (model, model.with_specials({END: 0xDABC, END + END: 80_001})):
+        found = bpe.encode_documents(docs, one)
+        assert "transform(" not in bpe.encode_documents(docs, model)._jdf.queryExecution().optimizedPlan().toString()
+        fold = bpe.encode_documents(docs, one, strategy="fold")
+        assert found.collect() == fold.collect()
+        back = bpe.decode_documents(found, one)
+        assert "transform(" not in back.select(bpe.decode_column(F.lit([1]), one))._jdf.queryExecution().optimizedPlan().toString()
+        assert back.filter("NOT (decoded <=> text)").count() == 0
