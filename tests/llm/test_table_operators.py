@@ -167,6 +167,35 @@ def test_large_groups_are_dealt_in_blocks(spark, monkeypatch):
     assert {r["doc_id"]: r["class_id"] for r in weighted_minhash.assign(docs).collect()} == {k: c for (k, _), c in want.items()}
 
 
+def test_every_shingle_is_counted(spark, monkeypatch):
+    monkeypatch.setattr(weighted_minhash, "SLICE_TEXT", 3000)
+    monkeypatch.setattr(weighted_minhash, "BUCKET_TEXT", 5000)
+    rows = near_copies(random.Random(4))
+    docs = spark.createDataFrame([*rows, (len(rows), rows[0][1])], "doc_id long, text string")
+    texts = weighted_minhash.in_slices(weighted_minhash._readable(docs, "doc_id", "text")).cache()
+    shared = weighted_minhash.shared_shingles(weighted_minhash.requests(texts, 7))
+    found = weighted_minhash.signatures(texts, shared, texts.count()).join(texts, "node").collect()
+    bags = {}
+    for _, text in rows:
+        words = WORD.findall(text)
+        bags[text] = {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+    df = Counter(s for bag in bags.values() for s in bag)
+    assert {r["text"] for r in found} == set(bags)
+    for row in found:
+        assert sorted(row["frequencies"]) == sorted(df[s] for s in bags[row["text"]])
+
+
+def test_rare_shingles_outweigh_shared_ones(spark):
+    # Of 400 texts 20 share 50 of their 55 shingles: 0.83 by term frequency, less than 0.8 by TF-IDF.
+    passage = " ".join(f"p{k}" for k in range(54))
+    rows = [(d, f"{passage} " + " ".join(f"u{d}x{k}" for k in range(5))) for d in range(20)]
+    rows += [(d, " ".join(f"o{d}x{k}" for k in range(10))) for d in range(20, 400)]
+    want = weighted_jaccard_classes(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["class_id"] for r in weighted_minhash.assign(docs).collect()}
+    assert found == {k: c for (k, _), c in want.items()} == {k: k for k, _ in rows}
+
+
 def test_samples_estimate_the_similarity():
     rng = random.Random(2)
     weights = weighted_minhash.Weights(100, {})
