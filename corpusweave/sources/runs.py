@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusweave.functions.ordered import with_ordered
+from corpusweave.session import work_partitions
 
 EXPERIMENT = "name string, overrides map<string,string>"
 HISTORY = "train_loss double, val_loss double"
@@ -30,8 +31,11 @@ def check_experiments(runs: DataFrame) -> None:
 
 
 def write_history_lines(lines: DataFrame, path: str, order: list[str]) -> None:
-    """Text lines ``value`` of every ``run`` in order, one file below ``run=<name>`` each."""
-    placed = lines.repartition("run").sortWithinPartitions("run", *order)
+    """Text lines ``value`` of every ``run`` in order, one file below ``run=<name>`` each.
+
+    Files take the time, not bytes, so the number of tasks is given: Spark would join small partitions.
+    """
+    placed = lines.repartition(work_partitions(lines.sparkSession), "run").sortWithinPartitions("run", *order)
     placed.select("run", "value").write.partitionBy("run").text(path)
 
 

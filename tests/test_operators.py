@@ -183,6 +183,13 @@ def test_random_windows_span_documents(spark):
         assert r["y"] == flat[r["start"] + 1 : r["start"] + 5]
 
 
+def test_small_histories_are_written_by_several_tasks(spark, tmp_path):
+    few = spark.range(64).selectExpr("concat('r', id) AS run", "id AS k", "'1.0 nan' AS value")
+    run_files.write_history_lines(few, f"{tmp_path}/few", ["k"])
+    written = list((tmp_path / "few").glob("run=*/part-*"))
+    assert len(written) == 64 and len({file.name.split("-")[1] for file in written}) > 1
+
+
 def test_histories_keep_run_and_order(spark, tmp_path):
     from corpusweave.sources import runs
 
