@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from corpusweave.llm import token_files, top_k, web_archives, weighted_minhash
 from corpusweave.llm.batches import WORD
@@ -185,6 +186,29 @@ def test_every_shingle_is_counted(spark, monkeypatch):
         assert sorted(row["frequencies"]) == sorted(df[s] for s in bags[row["text"]])
 
 
+def test_answers_are_a_table_before_texts_move(spark, monkeypatch):
+    # While texts move to their answers, the requests' shuffle must be gone, so the answers are read from files.
+    monkeypatch.setattr(weighted_minhash, "SLICE_TEXT", 3000)
+    monkeypatch.setattr(weighted_minhash, "BUCKET_TEXT", 5000)
+    monkeypatch.setattr(weighted_minhash, "ANSWER_ROWS", 3)
+    files = []
+    signatures = weighted_minhash.signatures
+
+    def noted(texts, shared, n_texts):
+        files.extend(shared.inputFiles())
+        return signatures(texts, shared, n_texts)
+
+    monkeypatch.setattr(weighted_minhash, "signatures", noted)
+    rows = near_copies(random.Random(4))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = weighted_jaccard_classes(rows)
+    assert {r["doc_id"]: r["class_id"] for r in weighted_minhash.assign(docs).collect()} == {k: c for (k, _), c in want.items()}
+    assert files and all("minhash-shared" in f for f in files)
+    for file in files:
+        meta = pq.read_metadata(file.removeprefix("file:").replace("///", "/"))
+        assert all(meta.row_group(k).num_rows <= 3 for k in range(meta.num_row_groups))
+
+
 def test_rare_shingles_outweigh_shared_ones(spark):
     # Of 400 texts 20 share 50 of their 55 shingles: 0.83 by term frequency, less than 0.8 by TF-IDF.
     passage = " ".join(f"p{k}" for k in range(54))
