@@ -234,6 +234,29 @@ def test_samples_estimate_the_similarity():
     assert (made[0] == made[2]).mean() < 0.05
 
 
+def test_tables_of_weights_change_no_sample(monkeypatch):
+    # Weights come from tables where many shingles have them, else from the formula; the samples are the same.
+    rng = np.random.default_rng(7)
+    key = rng.integers(1 << 63, size=20_000, dtype=np.uint64)
+    at = np.sort(rng.integers(0, 50, 20_000))
+    weight = rng.integers(1, 9, 20_000) * 1.7
+    made = weighted_minhash.Sampler(1.7)(key, at, weight, 50)
+    monkeypatch.setattr(weighted_minhash, "LEVELS", 1)
+    assert np.array_equal(made, weighted_minhash.Sampler(1.7)(key, at, weight, 50))
+    # The first sample of the first text, by its definition.
+    sampler = weighted_minhash.Sampler(1.7)
+    best = []
+    for k, w in zip(key[at == 0].tolist(), weight[at == 0], strict=True):
+        x = k * int(sampler.odd[0]) % 2**64
+        x = (x ^ x >> 29) * int(weighted_minhash.MIX) % 2**64
+        r, b = sampler.r[x >> 32 & 0xFFFF], sampler.b[x >> 32 & 0xFFFF]
+        t = np.floor(np.float32(np.log(w)) / r + b)
+        mark = x ^ int(t) * int(weighted_minhash.MIX) % 2**64
+        value = sampler.log_c[x >> 48] - r * (t - b + np.float32(1)) + np.float32(200)
+        best.append((value, (mark ^ mark >> 32) & 0xFFFFFFFF))
+    assert min(best)[1] == made[0, 0]
+
+
 def test_empty_documents_table(spark):
     docs = spark.createDataFrame([], EMPTY)
     assert weighted_minhash.assign(docs).count() == 0
