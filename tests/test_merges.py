@@ -16,6 +16,7 @@ import public_tokenizers
 from corpusweave.functions import symbols as S
 from corpusweave.functions.patterns import GPT2_PATTERN, GPT4_PATTERN
 from corpusweave.operators import bpe, merge_learning
+from corpusweave.plans.registry import load_all
 from corpusweave.sources import models
 from test_bpe import frame, one_by_one
 
@@ -76,6 +77,54 @@ def test_changes_add_up_to_full_counts():
         assert {p: n for p, n in kept.items() if n} == full
 
 
+def test_linked_blocks_merge_like_plain_ones():
+    """Known and unknown pairs, runs of one symbol, symbols made twice, and merges whose changes nobody asks for."""
+    for trial in range(200):
+        rng, names = np.random.default_rng(trial), random.Random(trial)
+        ids = rng.integers(0, 3, int(rng.integers(5, 300))).astype(np.uint32)
+        ids[rng.random(len(ids)) < 0.15] = merge_learning.SEPARATOR
+        ids[-1] = merge_learning.SEPARATOR
+        weights = rng.integers(1, 9, int((ids == merge_learning.SEPARATOR).sum()))
+        symbols, merges = [0, 1, 2], []
+        for new in range(3, 3 + names.randrange(1, 12)):
+            new = merges[-1][2] if merges and names.random() < 0.1 else new
+            merges.append((names.choice(symbols), names.choice(symbols), new))
+            symbols.append(new)
+        plain = merge_learning.Block(ids.copy(), weights)
+        live = merge_learning.LiveBlock(merge_learning.Block(ids.copy(), weights), merges[: names.randrange(len(merges) + 1)])
+        for merge in merges:
+            if names.random() < 0.7:
+                keys, n = merge_learning.summed(*plain.changes(*merge))
+                found = merge_learning.summed(*live.merge(*merge, told=True))
+                assert keys.tolist() == found[0].tolist() and n.tolist() == found[1].tolist()
+            else:
+                plain.merge(*merge)
+                live.merge(*merge)
+            assert live.block().ids.tolist() == plain.ids.tolist()
+
+
+def test_the_round_trip_has_a_whole_vocabulary(spark, tmp_path, monkeypatch):
+    """B11 decodes tokens of several bytes, not bytes and eight pairs of them."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefghijk", k=rng.randrange(3, 10))) for _ in range(1500)]
+    rows = [(k // 2, " ".join(rng.choices([*words, "¡ñandú", "🙂"], k=50))) for k in range(300)]
+    rows += [(900, ""), (901, None), (None, "low lower"), (None, "low lower")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    seen, decode = [], bpe.decode_documents
+
+    def watched(encoded, model):
+        seen.append((encoded, model))
+        return decode(encoded, model)
+
+    monkeypatch.setattr(bpe, "decode_documents", watched)
+    out = load_all()["b11_decode_round_trip"].run(spark, str(tmp_path))
+    assert Counter(map(tuple, out.select("doc_id", "decoded").collect())) == Counter(rows)
+    ((encoded, model),) = seen
+    assert len(model.vocab()) == 2048
+    tokens = sum(len(r["ids"] or []) for r in encoded.collect())
+    assert tokens < sum(len((text or "").encode()) for _, text in rows) / 3
+
+
 def random_ranks(rng, symbols, n):
     """Merges in any order, parts not always made before they are used."""
     ranks, made = {}, list(symbols)
